@@ -53,6 +53,7 @@ def typed_column(name: str, dtype: str) -> Column:
 
     ``dtype`` is ``"double"`` or ``"bigint"``; the result keeps ``name``.
     """
-    s = strip_chars(F.col(name))
+    c = F.col(f"`{name}`")
+    s = strip_chars(c)
     parsed = try_double(s) if dtype == "double" else try_long(s)
-    return F.when(F.col(name).isNull() | (s == ""), F.lit(None).cast(dtype)).otherwise(parsed).alias(name)
+    return F.when(c.isNull() | (s == ""), F.lit(None).cast(dtype)).otherwise(parsed).alias(name)

@@ -31,3 +31,16 @@ def pct_change(cur: Column | str, prior: Column | str) -> Column:
 def join_parts(*parts: Column, sep: str = ", ") -> Column:
     """Join the non-null parts; null when every part is null."""
     return F.nullif(F.concat_ws(sep, *parts), F.lit(""))
+
+
+def mean_cents(c: Column | str) -> Column:
+    """Aggregate: mean of a money column, rounded half-up to whole cents.
+
+    Computed on integer cents (sum and count are exact), so the result does
+    not depend on summation order or on how a binary tie is rounded.
+    """
+    cents = F.sum(F.round(_c(c) * 100).cast("long"))
+    n = F.count(_c(c))
+    q = F.floor(cents / n).cast("long")
+    r = cents - q * n
+    return ((q + F.when(2 * r >= n, 1).otherwise(0)) / 100.0).alias("mean")

@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_EDGE_WS = r"^\s+|\s+$"
+# Unicode White_Space (what the source's strip uses), spelled out so the
+# pattern means the same in Java and RE2 regex engines.
+WS_CLASS = (r"[\t\n\x0B\f\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}"
+            r"\x{202F}\x{205F}\x{3000}]")
+_EDGE_WS = f"^{WS_CLASS}+|{WS_CLASS}+$"
 
 
 def _c(c: Column | str) -> Column:
