@@ -187,7 +187,7 @@ WITH g AS (SELECT o_orderpriority,
                   sum(o_totalprice) AS s, count(*) AS n FROM orders GROUP BY 1),
 o AS (SELECT avg(o_totalprice) AS m FROM orders)
 SELECT o_orderpriority, format('{:,.2f}', mean_price) AS mean_text,
-       format('{:+.1f}', round((s / n / o.m - 1) * 100, 6)) AS rel_text, CASE WHEN n >= 0 THEN '+' ELSE '' END || format('{:,.0f}', n) AS n_text
+       format('{:+.1f}', round((s / n / o.m - 1) * 100, 6)) AS rel_text, CASE WHEN n >= 0 THEN '+' ELSE '' END || format('{:,.0f}', CAST(n AS DOUBLE)) AS n_text
 FROM g, o
 """
 
