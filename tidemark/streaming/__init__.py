@@ -1,0 +1,12 @@
+"""Incremental runs over landing folders.
+
+The source has no streaming operators; its "re-run to fill new days" loop
+is expressed as a Structured Streaming file source with
+``trigger(availableNow=True)``: each run picks up only the files that
+arrived since the last run (tracked in the checkpoint), builds them with the
+same batch plan, and replaces exactly those date partitions.
+"""
+
+from .incremental import run_incremental
+
+__all__ = ["run_incremental"]
