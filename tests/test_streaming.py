@@ -1,0 +1,27 @@
+import datetime as dt
+import os
+
+from pyspark.sql import functions as F
+
+from tidemark.sources.readers import file_date
+from tidemark.streaming import SOURCE_FILE, run_incremental
+
+
+def _land(root, day, rows):
+    d = os.path.join(root, "land")
+    os.makedirs(d, exist_ok=True)
+    with open(os.path.join(d, f"{day}.csv"), "w") as f:
+        f.write("ticker,volume\n" + "".join(f"{t},{v}\n" for t, v in rows))
+
+
+def test_incremental_runs_only_new_files(spark, tmpdir_path):
+    out, ckpt = os.path.join(tmpdir_path, "out"), os.path.join(tmpdir_path, "ckpt")
+    build = lambda df: df.withColumn("date", file_date(path_col=SOURCE_FILE))
+    _land(tmpdir_path, "2025-01-02", [("A", 1.0), ("B", 2.0)])
+    run_incremental(spark, os.path.join(tmpdir_path, "land"), "ticker string, volume double", build, out,
+                    ["date"], ckpt, options={"header": "true"})
+    _land(tmpdir_path, "2025-01-03", [("A", 3.0)])
+    run_incremental(spark, os.path.join(tmpdir_path, "land"), "ticker string, volume double", build, out,
+                    ["date"], ckpt, options={"header": "true"})
+    got = {r.date: r["count"] for r in spark.read.parquet(out).groupBy("date").count().collect()}
+    assert got == {dt.date(2025, 1, 2): 2, dt.date(2025, 1, 3): 1}

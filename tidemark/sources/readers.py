@@ -15,9 +15,13 @@ from .schemas import (BLS_JSON, FIGI_REPLY, FRED_CSV, FRED_RELEASE_DATES_JSON, F
                       TREASURY_AUCTION, all_strings)
 
 
-def file_date(pattern: str = r"(\d{4}-\d{2}-\d{2})") -> Column:
-    """Date taken from the file path (``.../2024/01/2024-01-02.csv.gz``)."""
-    return F.to_date(F.regexp_extract(F.col("_metadata.file_path"), pattern, 1), "yyyy-MM-dd")
+def file_date(pattern: str = r"(\d{4}-\d{2}-\d{2})", path_col: str = "_metadata.file_path") -> Column:
+    """Date taken from the file path (``.../2024/01/2024-01-02.csv.gz``).
+
+    ``path_col`` names a column holding the path when ``_metadata`` is not
+    available (inside a streaming micro-batch use ``SOURCE_FILE``).
+    """
+    return F.to_date(F.regexp_extract(F.col(path_col), pattern, 1), "yyyy-MM-dd")
 
 
 def read_csv_typed(spark: SparkSession, path: str | list[str], ddl: str, sep: str = ",",

@@ -7,6 +7,6 @@ arrived since the last run (tracked in the checkpoint), builds them with the
 same batch plan, and replaces exactly those date partitions.
 """
 
-from .incremental import run_incremental
+from .incremental import SOURCE_FILE, run_incremental
 
-__all__ = ["run_incremental"]
+__all__ = ["SOURCE_FILE", "run_incremental"]

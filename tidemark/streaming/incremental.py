@@ -5,17 +5,22 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..sources.sinks import write_partitioned
 
+SOURCE_FILE = "_source_file"
+
 
 def run_incremental(spark: SparkSession, source_dir: str, schema: str, build: Callable[[DataFrame], DataFrame],
                     out_path: str, keys: Sequence[str], checkpoint: str, fmt: str = "csv",
                     options: dict[str, str] | None = None) -> None:
     """Build every not-yet-seen file under ``source_dir`` and write its partitions.
 
-    ``build`` turns one micro-batch of raw rows into output rows (for
-    example ``lambda df: stock_day(df.withColumn("date", file_date()), ...)``).
+    ``build`` turns one micro-batch of raw rows into output rows. The batch
+    carries the landed file's path in ``SOURCE_FILE`` (``_metadata`` is not
+    visible inside a micro-batch), e.g.
+    ``lambda df: df.withColumn("date", file_date(path_col=SOURCE_FILE))``.
     ``checkpoint`` must be a shared folder (e.g. under ``spark.checkpoint.dir``);
     it records which files were done, so a rerun after a lost executor or a
     crash resumes without duplicates: each batch rewrites whole partitions.
@@ -23,10 +28,11 @@ def run_incremental(spark: SparkSession, source_dir: str, schema: str, build: Ca
     reader = spark.readStream.schema(schema).format(fmt)
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
-    stream = reader.load(source_dir)
+    stream = reader.load(source_dir).withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
 
     def write_batch(batch: DataFrame, _epoch: int) -> None:
-        write_partitioned(build(batch), out_path, list(keys))
+        out = build(batch)
+        write_partitioned(out.drop(SOURCE_FILE) if SOURCE_FILE in out.columns else out, out_path, list(keys))
 
     q = (stream.writeStream.foreachBatch(write_batch)
                .option("checkpointLocation", checkpoint)
