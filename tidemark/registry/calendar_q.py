@@ -270,6 +270,35 @@ def q_auction_rows(spark, sf):
     return ev.select("d", "sym", "event_name", _auction_text().alias("results_text"))
 
 
+SQL_AUCTION_ROWS = """
+WITH span AS (SELECT CAST(min(o_orderdate) AS DATE) AS lo, CAST(max(o_orderdate) AS DATE) AS hi FROM orders),
+f AS (SELECT CASE WHEN l_returnflag = 'N' THEN 'Note' ELSE 'Bond' END AS type,
+             CAST(l_linenumber AS VARCHAR) || '-Year' AS term_txt, CAST(l_shipdate AS DATE) AS d,
+             CAST(l_partkey AS VARCHAR) AS cusip,
+             CASE WHEN l_discount > 0.05 THEN 'Yes' ELSE 'No' END AS reopening,
+             CASE WHEN l_returnflag <> 'R' THEN l_partkey * 1000000000 END AS amount_num,
+             CASE WHEN l_returnflag <> 'R' THEN CAST(l_partkey * 1000000000 AS VARCHAR) END AS offering,
+             CASE WHEN l_linestatus = 'F' THEN format('{:,.3f}', l_tax * 100) END AS high_yield,
+             CASE WHEN l_linestatus = 'F' THEN CAST(l_quantity AS VARCHAR) END AS btc,
+             CASE WHEN l_linestatus = 'O' THEN 0 ELSE 1 END AS feed_rank
+      FROM lineitem WHERE l_linenumber IN (2, 3, 5, 7)),
+k AS (SELECT *, row_number() OVER (PARTITION BY d, cusip ORDER BY feed_rank, type, term_txt, reopening NULLS FIRST,
+                                   offering NULLS FIRST, high_yield NULLS FIRST, btc NULLS FIRST) AS rn FROM f),
+e AS (SELECT k.*, split_part(term_txt, '-', 1) AS term, CASE WHEN type = 'Note' THEN 'note' ELSE 'bond' END AS kind,
+             CASE WHEN reopening = 'Yes' THEN ' reopening' ELSE '' END AS reopen
+      FROM k, span WHERE rn = 1 AND d BETWEEN span.lo AND span.hi)
+SELECT d, 'AUCTION_' || term || 'Y' AS sym,
+       'Treasury ' || term || '-year ' || kind || reopen || ' auction (' ||
+         coalesce('$' || format('{:.0f}', amount_num / 1e9) || 'B', 'size TBA') || '), results ~13:02 ET' AS event_name,
+       CASE WHEN high_yield IS NOT NULL AND btc IS NOT NULL THEN
+         'Treasury ' || term || '-year ' || kind || reopen || ': high yield ' ||
+         format('{:.3f}', CAST(replace(high_yield, ',', '') AS DOUBLE)) || '%, bid-to-cover ' ||
+         format('{:.2f}', CAST(btc AS DOUBLE)) || coalesce(', $' || format('{:.0f}', amount_num / 1e9) || 'B', '') || '.'
+       END AS results_text
+FROM e
+"""
+
+
 QUERIES = {
     "nth_weekday": (q_nth_weekday, SQL_NTH_WEEKDAY),
     "last_weekday": (q_last_weekday, SQL_LAST_WEEKDAY),
@@ -279,5 +308,5 @@ QUERIES = {
     "event_status": (q_event_status, SQL_EVENT_STATUS),
     "calendar_rules": (q_calendar_rules, SQL_CALENDAR_RULES),
     "macro_rules": (q_macro_rules, None),
-    "auction_rows": (q_auction_rows, None),
+    "auction_rows": (q_auction_rows, SQL_AUCTION_ROWS),
 }
