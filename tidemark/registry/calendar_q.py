@@ -299,6 +299,49 @@ FROM e
 """
 
 
+_SQL_MACRO_SIMPLE = " UNION ALL ".join([
+    _rule_sql("CPI", None, "CAST(m + INTERVAL 9 DAY AS DATE)", "next_session", "rule"),
+    _rule_sql("RETAIL_SALES", None, "CAST(m + INTERVAL 14 DAY AS DATE)", "next_session", "rule"),
+    _rule_sql("GDP", None, f"CASE WHEN month(m) = 12 THEN make_date(year(m), 12, 23) ELSE {_last_sql('m', 3)} END",
+              "prev_session", "rule"),
+    _rule_sql("PCE", None, f"CASE WHEN month(m) = 12 THEN make_date(year(m), 12, 22) ELSE {_last_sql('m', 4)} END",
+              "prev_session", "rule"),
+    _rule_sql("UMICH_PRELIM", None, _nth_sql("m", 4, 2), "prev_session", "rule"),
+    _rule_sql("UMICH_FINAL", None, _last_sql("m", 4), "prev_session", "rule"),
+    _rule_sql("DURABLE_GOODS", None, "CAST(m + INTERVAL 24 DAY AS DATE)", "next_session", "rule"),
+    _rule_sql("ECI", (1, 4, 7, 10), "CAST(last_day(m) AS DATE)", "prev_session", "rule"),
+    _rule_sql("CB_CONFIDENCE", None, _last_sql("m", 1), "prev_session", "rule"),
+])
+
+SQL_MACRO_RULES = f"""
+WITH {_SQL_CAL},
+mt AS (SELECT DISTINCT month AS m FROM cal),
+ppi AS (SELECT mt.m, c2.next_session AS d FROM mt
+          JOIN cal c1 ON c1.d = CAST(mt.m + INTERVAL 9 DAY AS DATE)
+          JOIN cal c2 ON c2.d = CAST(c1.next_session + 1 AS DATE)),
+nr AS (SELECT m, CAST(m - INTERVAL 1 MONTH + INTERVAL 11 DAY AS DATE) AS ref_day FROM mt),
+ns AS (SELECT m, CAST(ref_day + INTERVAL (((5 - (isodow(ref_day) - 1)) % 7 + 7) % 7) DAY + INTERVAL 20 DAY AS DATE) AS rel FROM nr),
+nfp AS (SELECT ns.m, c.prev_session AS d FROM ns JOIN cal c
+          ON c.d = CASE WHEN month(rel) = 1 AND day(rel) <= 5 THEN CAST(rel + 7 AS DATE) ELSE rel END),
+adp AS (SELECT nfp.m, c.prev_session AS d FROM nfp JOIN cal c
+          ON c.d = CAST(nfp.d - INTERVAL ((((isodow(nfp.d) - 1) - 2 + 6) % 7 + 7) % 7 + 1) DAY AS DATE)),
+claims AS (SELECT c.d FROM cal c LEFT JOIN cal t ON t.d = CAST(c.d + 1 AS DATE)
+           WHERE (isodow(c.d) = 4 AND c.is_session AND NOT (month(c.d) = 11 AND day(c.d) = 11))
+              OR (isodow(c.d) = 3 AND (NOT coalesce(t.is_session, false)
+                                       OR (month(c.d + 1) = 11 AND day(c.d + 1) = 11)))),
+ev AS ({_SQL_MACRO_SIMPLE}
+  UNION ALL SELECT 'PPI', d, 'rule' FROM ppi WHERE date_trunc('month', d) = m
+  UNION ALL SELECT 'NFP', d, 'rule' FROM nfp WHERE date_trunc('month', d) = m
+  UNION ALL SELECT 'ADP', d, 'rule' FROM adp WHERE date_trunc('month', d) = m
+  UNION ALL SELECT 'ISM_MFG', d, 'rule' FROM cal WHERE session_no = 1
+  UNION ALL SELECT 'ISM_SVC', d, 'rule' FROM cal WHERE session_no = 3
+  UNION ALL SELECT 'JOBLESS_CLAIMS', d, 'rule' FROM claims),
+od AS (SELECT CAST(o_orderdate AS DATE) AS d, count(*) AS n FROM orders GROUP BY 1)
+SELECT ev.d, ev.sym, ev.schedule_source, coalesce(od.n, 0) AS n_orders
+FROM ev LEFT JOIN od USING (d), span WHERE ev.d BETWEEN span.lo AND span.hi
+"""
+
+
 QUERIES = {
     "nth_weekday": (q_nth_weekday, SQL_NTH_WEEKDAY),
     "last_weekday": (q_last_weekday, SQL_LAST_WEEKDAY),
@@ -307,6 +350,6 @@ QUERIES = {
     "period_labels": (q_period_labels, SQL_PERIOD_LABELS),
     "event_status": (q_event_status, SQL_EVENT_STATUS),
     "calendar_rules": (q_calendar_rules, SQL_CALENDAR_RULES),
-    "macro_rules": (q_macro_rules, None),
+    "macro_rules": (q_macro_rules, SQL_MACRO_RULES),
     "auction_rows": (q_auction_rows, SQL_AUCTION_ROWS),
 }
