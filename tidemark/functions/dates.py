@@ -65,10 +65,10 @@ def wall_clock(d: Column | str, hour: int, minute: int = 0, tz: str = NEW_YORK)
 
 
 def wall_clock_utc(d: Column | str, hour: int, minute: int = 0, tz: str = NEW_YORK) -> Column:
-    """Same instant as a UTC ``timestamp_ntz`` (session time zone is UTC)."""
-    return F.to_utc_timestamp(
-        F.make_timestamp_ntz(F.year(_c(d)), F.month(_c(d)), F.dayofmonth(_c(d)),
-                             F.lit(hour), F.lit(minute), F.lit(0)), tz).cast("timestamp_ntz")
+    """Same instant as a UTC ``timestamp_ntz`` (independent of the session zone)."""
+    local = F.make_timestamp_ntz(F.year(_c(d)), F.month(_c(d)), F.dayofmonth(_c(d)),
+                                 F.lit(hour), F.lit(minute), F.lit(0))
+    return F.convert_timezone(F.lit(tz), F.lit("UTC"), local)
 
 
 def month_floor_ntz(ts: Column | str) -> Column:

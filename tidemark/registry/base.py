@@ -14,6 +14,9 @@ class Tables:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self._spark, self._dir = spark, sf_dir
+        # instants are compared and rendered in UTC (see session.py)
+        if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
