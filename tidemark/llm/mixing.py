@@ -2,11 +2,11 @@
 
 A document of a source with target t and total size s should be taken t / s
 times: the whole part always, the fraction p by chance. Fractions are settled
-in pairs. Two open documents of a source, with sizes a and b, exchange words:
-one gains what the other loses (a * p_i + b * p_j stays as it is) until one of
-the fractions is 0 or 1; which of the two possible transfers is made is drawn so
-that neither probability changes on average. So a source's words are exactly
-conserved until its last open document, which alone is rounded by a draw.
+in pairs: the largest open document of a source and the other open ones, which
+take part as one mass. The two exchange words: one gains what the other loses,
+until the document's fraction is 0 or 1; which of the two possible transfers is made is drawn so
+that no probability changes on average. So a source's words are exactly
+conserved until its last open document, a small one, which alone is rounded.
 
 The pairing is a reduction tree: leaves of about ``LEAF`` documents, dealt by a hash of
 id and source, settle all but one document of each source; groups of ``FAN``
@@ -78,12 +78,40 @@ def _draw(*parts) -> float:
 
 
 def settle(items: list[tuple], last: bool) -> list[tuple]:
-    """Settles (key, size, p) items of one source: (key, p) with p 0 or 1, the open one as it is unless ``last``."""
-    out, held = [], None
-    for key, size, p in items:
+    """Settles (key, size, p) items of one source: p is 0 or 1 after it, but for one open item unless ``last``.
+
+    The largest open item is paired with the others together; theirs is one
+    mass, so that a transfer moves each of their fractions by the same rule,
+    p to alpha * p + beta. If they can balance one of the transfers only, that
+    one is made: a large document would otherwise miss the target by up to its
+    size. Items that they cannot balance either way are paired one by one at the
+    end, and the last is rounded to the nearer side.
+    """
+    out, late = [], []
+    items = sorted(items, key=lambda x: (-x[1], x[0]))
+    mass = float(sum(s for _, s, _ in items))
+    ones = float(sum(s * p for _, s, p in items))
+    alpha, beta = 1.0, 0.0
+    for key, size, p0 in items:
+        p = min(1.0, max(0.0, alpha * p0 + beta))
+        mass, ones = mass - size, max(0.0, ones - size * p)
         if size <= 0 or p <= EPS or p >= 1 - EPS:
             out.append((key, size, round(p) if size > 0 else 0))
             continue
+        can_rise, can_fall = size * (1 - p) < ones, size * p < mass - ones
+        if can_rise or can_fall:
+            up = _draw(key) < p if can_rise and can_fall else can_rise
+            out.append((key, size, int(up)))
+            if up:
+                shrink = 1 - size * (1 - p) / ones
+                alpha, beta, ones = alpha * shrink, beta * shrink, ones - size * (1 - p)
+            else:
+                shrink = 1 - size * p / (mass - ones)
+                alpha, beta, ones = alpha * shrink, 1 - shrink * (1 - beta), ones + size * p
+        else:
+            late.append((key, size, p))
+    held = None
+    for key, size, p in late:
         if held is None:
             held = (key, size, p)
             continue
@@ -92,19 +120,16 @@ def settle(items: list[tuple], last: bool) -> list[tuple]:
         there, back = min(a * q, size * (1 - p)), min(a * (1 - q), size * p)
         move = there if _draw(k, key) * (there + back) < back else -back
         q, p = q - move / a, p + move / size
-        first, second = (k, a, q), (key, size, p)
-        if EPS < q < 1 - EPS:
-            out.append((key, size, round(p)))
-            held = first
-        else:
-            out.append((k, a, round(q)))
-            held = second
-            if not EPS < p < 1 - EPS:
-                out.append((key, size, round(p)))
-                held = None
+        one, two = (k, a, q), (key, size, p)
+        held = None
+        for x in (one, two):
+            if EPS < x[2] < 1 - EPS and held is None:
+                held = x
+            else:
+                out.append((x[0], x[1], round(x[2])))
     if held is not None:
         k, a, q = held
-        out.append((k, a, float(_draw(k, "last") < q) if last else q))
+        out.append((k, a, int(q >= 0.5) if last else q))
     return out
 
 
