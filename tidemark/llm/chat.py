@@ -37,7 +37,7 @@ _PIECE = re.compile(rf"(\[INST\] |<s>)((?:\\.|[^\\\n])*)\n(.*?)( \[/INST\]|</s>)
 
 
 def escape(column) -> F.Column:
-    return F.regexp_replace(column, r"(\\|" + CONTROL + ")", r"\\\\$1")
+    return F.regexp_replace(column, r"(\\|" + CONTROL + ")", r"\\$1")
 
 
 def escape_text(text: str) -> str:
@@ -61,7 +61,7 @@ def render(conversations: DataFrame) -> DataFrame:
     empty = F.lit("")
     role, text = F.coalesce("role", empty), F.coalesce("text", empty)
     target = role == TRAINABLE
-    head = F.concat(F.when(target, "<s>").otherwise("[INST] "), F.regexp_replace(escape(role), "\n", r"\\\\n"), F.lit("\n"))
+    head = F.concat(F.when(target, "<s>").otherwise("[INST] "), F.regexp_replace(escape(role), "\n", r"\\n"), F.lit("\n"))
     body = escape(text)
     rows = conversations.select("conv_id", "turn", role.alias("role"), text.alias("text"), target.alias("target"), head.alias("head"), body.alias("body"))
     rows = rows.withColumn("piece", F.concat("head", "body", F.when(F.col("target"), "</s>").otherwise(" [/INST]")))
