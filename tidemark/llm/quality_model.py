@@ -34,18 +34,19 @@ LEVEL = 3
 PREDICT = 0.7
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, learn) -> list[tuple[int, bytes]]:
-    """(quality, text) of at most SAMPLE documents of each label, in order of the hash of their id."""
+def labelled_sample(docs: DataFrame, labels: DataFrame, learn) -> tuple[list[tuple[int, bytes]], dict[int, int]]:
+    """(quality, text) of at most SAMPLE documents of each label, in order of the hash of their id; how often each label is given."""
     known = labels.where(learn).groupBy(F.col("doc_id").cast("long").alias("__id")).agg(F.min("quality").alias("__low"), F.max("quality").alias("__high"))
     known = known.where("__low = __high AND __low IN (0, 1)").select("__id", F.col("__low").alias("__quality"), F.xxhash64("__id").alias("__rank"))
     texts = docs.select(F.col("doc_id").cast("long").alias("__id"), F.col("text").alias("__text")).where(F.octet_length("__text").between(1, LONGEST))
+    given = {r["__quality"]: r["n"] for r in known.groupBy("__quality").agg(F.count(F.lit(1)).alias("n")).collect()}
     out = []
     for quality in (0, 1):
         chosen = known.where(F.col("__quality") == quality).orderBy("__rank", "__id").limit(2 * SAMPLE).select("__id", "__rank")
         # at most 2 * SAMPLE ids
         rows = texts.join(F.broadcast(chosen), "__id").orderBy("__rank", "__id", "__text").limit(SAMPLE).collect()
         out += [(quality, r["__text"].encode()) for r in rows]
-    return out
+    return out, given
 
 
 def _compressor(raw: bytes) -> zstandard.ZstdCompressor:
@@ -74,11 +75,11 @@ def difference(text: bytes, good: zstandard.ZstdCompressor, bad: zstandard.ZstdC
     return more / len(text)
 
 
-def fit_curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of a logistic curve, by Newton steps with a slight pull to zero; classes weigh alike."""
+def fit_curve(x: np.ndarray, y: np.ndarray, given: dict[int, int]) -> tuple[float, float]:
+    """Slope and offset of a logistic curve, by Newton steps with a slight pull to zero; labels weigh as often as they are given."""
     scale = float(np.std(x)) or 1.0
     z = np.stack([x / scale, np.ones(len(x))], 1)
-    weight = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum())) * len(y)
+    weight = np.where(y == 1, given[1] / max(1, (y == 1).sum()), given[0] / max(1, (y == 0).sum())) * len(y) / (given[0] + given[1])
     beta = np.zeros(2)
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(z @ beta, -30, 30)))
@@ -94,14 +95,14 @@ def fit_curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 class Model:
     """Two dictionaries and a curve; small enough to travel with a task."""
 
-    def __init__(self, sample: list[tuple[int, bytes]]):
+    def __init__(self, sample: list[tuple[int, bytes]], given: dict[int, int]):
         by = {q: [t for x, t in sample if x == q] for q in (0, 1)}
         self.ready = all(len(v) >= 2 for v in by.values())
         if self.ready:
             self.raw = {q: _dictionary(v[::2]) for q, v in by.items()}
             good, bad = self.compressors()
             held = [(q, difference(t, good, bad)) for q, v in by.items() for t in v[1::2]]
-            self.slope, self.offset = fit_curve(np.array([d for _, d in held]), np.array([q for q, _ in held]))
+            self.slope, self.offset = fit_curve(np.array([d for _, d in held]), np.array([q for q, _ in held]), given)
 
     def compressors(self) -> tuple[zstandard.ZstdCompressor, zstandard.ZstdCompressor]:
         return _compressor(self.raw[1]), _compressor(self.raw[0])
@@ -112,7 +113,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, folds: int = 4, held_fold:
 
     Learns from labels whose crc32(id as text) modulo ``folds`` is not ``held_fold``; a null id is held out.
     """
-    model = Model(labelled_sample(docs, labels, F.coalesce(crc_mod("doc_id", folds) != held_fold, F.lit(False))))
+    model = Model(*labelled_sample(docs, labels, F.coalesce(crc_mod("doc_id", folds) != held_fold, F.lit(False))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tools = model.compressors() if model.ready else None
