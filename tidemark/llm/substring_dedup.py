@@ -43,7 +43,7 @@ WINDOW = 50
 GRAM = 24
 #: difference cover: every distance modulo 13 is a difference of two of these
 PERIOD, COVER = 13, (0, 1, 3, 9)
-SORT_WINDOWS = 1 << 20
+SORT_WINDOWS = 1 << 18
 KEY_BITS = 56
 NO_ID = (1 << 63) - 1
 
@@ -230,10 +230,10 @@ def later_copies(text: np.ndarray, own: np.ndarray, count: np.ndarray, anchor: n
     rank[sample] = np.searchsorted(ordered, names)
     # the bytes before and after the cover string
     padded = np.concatenate([np.zeros(3, np.uint8), text, np.zeros(8, np.uint8)])
-    words = np.lib.stride_tricks.as_strided(padded.view(np.uint8), (len(text) + 4, 8), (1, 1))
-    words = np.ascontiguousarray(words).view(">u8").ravel().astype(U64)
+    view = np.lib.stride_tricks.as_strided(padded, (len(text) + 4, 8), (1, 1))
+    first, final = (view[at + k].view(">u8").ravel().astype(U64) for k in (3, WINDOW - 8 + 3))
     five = U64((1 << 8 * EDGE) - 1)
-    edge = ((words[at + 3] >> U64(64 - 8 * EDGE)) & _HEAD[ahead]) | (words[at + WINDOW - 8 + 3] & five & _TAIL[ahead])
+    edge = ((first >> U64(64 - 8 * EDGE)) & _HEAD[ahead]) | (final & five & _TAIL[ahead])
     tied = rank[covered] * 16 + phase
     if len(ordered) < 1 << 20:
         key = (tied.astype(U64) << U64(8 * EDGE)) | edge
@@ -355,7 +355,7 @@ def remove_repeats(docs: DataFrame, keep: list[str] | None = None, text_column:
     keep = ["doc_id"] if keep is None else keep
     total = text_bytes(docs)
     n_blocks = max(1, -(-total // BLOCK_BYTES))
-    bits = (power_of_two(total / (2 * BLOCK_BYTES))).bit_length() - 1
+    bits = power_of_two(total / BLOCK_BYTES).bit_length() - 1
     blocked = docs.select(block_column(n_blocks, "doc_id", "text").alias("__block"), F.col("doc_id").cast("long").alias("__id"),
                           F.col("text").alias("__text"), *(F.col(c) for c in keep))
     by_block = blocked.groupBy("__block")
