@@ -32,10 +32,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import (BLOCK_BYTES, U64, Lookup, ascii_lower_table, block_column, bucket_bounds, checkpointed, crc_mod, pack,
+from tidemark.llm.common import (U64, Lookup, ascii_lower_table, block_column, bucket_bounds, checkpointed, crc_mod, pack,
                                  pieces, power_of_two, sorted_unique, text_bytes, texts_of, thick, thin, unpack)
 
 ORDER = 4
+#: bytes of text in a block: a larger one asks for fewer grams and tokens altogether
+BLOCK_BYTES = 16 << 20
 GRAM_BITS = 8 * (ORDER + 1)
 #: an odd factor takes grams to keys and its inverse takes keys back
 _FACTOR = U64(0xD1342543DE82EF95)
@@ -131,11 +133,11 @@ def _total(table: pa.Table) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
 
 
 def _answer_tokens(table: pa.Table) -> pa.Table:
-    """To each block the counts of its tokens; on the first row the training tokens and how many differ."""
+    """To each block the counts of its tokens, in the order asked; on the first row the training tokens and how many differ."""
     names, keys, counts = _total(table)
-    rows = [pack(thin(n), counts[np.searchsorted(keys, n)]) for n in names]
+    rows = [pack(counts[np.searchsorted(keys, n)]) for n in names]
     first = [True] + [False] * (len(rows) - 1)
-    return pa.table({"__block": table["block"], "kind": table["kind"], "answer": pa.array(rows, pa.binary()),
+    return pa.table({"__block": table["block"], "bucket": table["bucket"], "kind": table["kind"], "answer": pa.array(rows, pa.binary()),
                      "n": pa.array([int(counts.sum()) if f else 0 for f in first], pa.int64()),
                      "v": pa.array([int((counts > 0).sum()) if f else 0 for f in first], pa.int64())})
 
@@ -241,17 +243,18 @@ def _answer_grams(asked: pa.Table, compiled: pa.Table) -> pa.Table:
     order = np.argsort(keys, kind="stable")
     keys, logs = keys[order], logs[order]
     names = [thick(unpack(x, bytes, np.int64)[0]) for x in asked["asked"].to_pylist()]
-    rows = [pack(thin(n), logs[np.searchsorted(keys, n)]) for n in names]
+    rows = [pack(logs[np.searchsorted(keys, n)]) for n in names]
     zero = pa.array([0] * len(rows), pa.int64())
-    return pa.table({"__block": asked["block"], "kind": asked["kind"], "answer": pa.array(rows, pa.binary()), "n": zero, "v": zero})
+    return pa.table({"__block": asked["block"], "bucket": asked["bucket"], "kind": asked["kind"], "answer": pa.array(rows, pa.binary()), "n": zero, "v": zero})
 
 
 def _score(docs: pa.Table, answers: pa.Table) -> pa.Table:
-    got = {}
-    for kind, value in (("gram", np.float32), ("token", np.int64)):
-        rows = [unpack(x, bytes, value) for k, x in zip(answers["kind"].to_pylist(), answers["answer"].to_pylist()) if k == kind]
-        got[kind] = (Lookup(np.concatenate([thick(r[0]) for r in rows])), np.concatenate([r[1] for r in rows]))
     texts = [t.translate(_LOWER) for t in texts_of(docs["__text"])]
+    got = {}
+    for kind, find, value in (("gram", gram_keys, np.float32), ("token", token_keys, np.int64)):
+        rows = sorted((r for r in zip(*(answers[c].to_pylist() for c in ("bucket", "kind", "answer"))) if r[1] == kind), key=lambda r: r[0])
+        names = sorted_unique(np.concatenate([sorted_unique(find(texts[a:b])[0]) for a, b in pieces(texts)]))
+        got[kind] = (Lookup(names), np.concatenate([unpack(x, value)[0] for _, _, x in rows]))
     score, base, tokens, known = [], [], [], []
     for a, b in pieces(texts):
         keys, sizes = gram_keys(texts[a:b])
@@ -281,7 +284,7 @@ def score_documents(docs: DataFrame, folds: int = 7, held_fold: int = 2) -> Data
                           learn.alias("__learn"), F.col("text").alias("__text"))
     by_block = blocked.groupBy("__block")
     asked = checkpointed(by_block.applyInArrow(_ask(bits), "block int, bucket int, kind string, asked binary"))
-    answer = "__block int, kind string, answer binary, n long, v long"
+    answer = "__block int, bucket int, kind string, answer binary, n long, v long"
     tokens = checkpointed(asked.where("kind = 'token'").groupBy("bucket").applyInArrow(_answer_tokens, answer))
     n, v = tokens.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first()
     grams = asked.where("kind = 'gram'")
