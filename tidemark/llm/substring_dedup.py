@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import (BLOCK_BYTES, PIECE_BYTES, U64, block_column, bucket_bounds, gram_hash, pack,
+from tidemark.llm.common import (BLOCK_BYTES, PIECE_BYTES, U64, block_column, bucket_bounds, gram_hash, mix, pack,
                                  power_of_two, sorted_unique, text_bytes, thick, thin, unpack)
 
 WINDOW = 50
@@ -101,7 +101,8 @@ def _records(texts: list[bytes]) -> Iterator[tuple]:
         first, count = own[new], np.diff(np.append(new, len(own)))
         of = part[first]
         shift = np.array([o for _, o, _ in held]) - (ends - sizes)
-        yield (raw, value[first] >> U64(64 - KEY_BITS), np.array([d for d, _, _ in held])[of], first,
+        # the smallest of many hashes is small: spread them again over the buckets
+        yield (raw, mix(value[first]) >> U64(64 - KEY_BITS), np.array([d for d, _, _ in held])[of], first,
                first + shift[of], count, anchor[new] - first)
 
 
