@@ -11,7 +11,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from tidemark.session import build_session, checkpoint_dir
     s = build_session("local[4]", app="tidemark-tests", shuffle_partitions=4)
-    checkpoint_dir(s, fallback=tempfile.mkdtemp(prefix="tidemark-ckpt-"))
+    checkpoint_dir(s)
     yield s
     s.stop()
 

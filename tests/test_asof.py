@@ -26,3 +26,11 @@ def test_against_brute_force(spark):
         cands = [(rt, v) for kk, rt, v in right if kk == k and t - tol <= rt <= t]
         want = max(cands)[1] if cands else None
         assert got[i] == want, (i, k, t)
+
+
+def test_null_keys_and_times_match_nothing(spark):
+    d = dt.date
+    left = spark.createDataFrame([(None, d(2025, 1, 5), 1), ("a", None, 2), ("a", d(2025, 1, 5), 3)], "k string, d date, n int")
+    right = spark.createDataFrame([(None, d(2025, 1, 4), 10.0), ("a", d(2025, 1, 4), 20.0), ("a", None, 30.0)], "k string, d date, v double")
+    got = asof_backward(left, right, ["k"], "d", "d", dt.timedelta(days=10), ["v"])
+    assert {r.n: r.match_v for r in got.collect()} == {1: None, 2: None, 3: 20.0}

@@ -41,7 +41,6 @@ def test_schedule_three_valued(spark):
     ev = _events(spark, d(2025, 3, 1), d(2025, 3, 31), schedules=sched, coverage=cov)
     assert ev[(d(2025, 3, 12), "CPI")].schedule_source == "fred"
     assert not any(s == "PPI" for _, s in ev)                          # available, not listed
-    assert ev[(d(2025, 3, 14), "NFP")].schedule_source == "rule" if (d(2025, 3, 14), "NFP") in ev else True
     assert any(s == "NFP" and v.schedule_source == "rule" for (_, s), v in ev.items())
 
 
@@ -59,3 +58,33 @@ def test_summaries_and_status(spark):
     assert rows["FOMC"].summarize == "FOMC cut rates 25bp to 4.00–4.25% (upper bound was 4.50%)."
     assert rows["PPI"].summarize.startswith("Producer Price Index (final demand) for May 2025 released")
     assert rows["UMICH_FINAL"].event_date_type == "expected" and rows["UMICH_FINAL"].summarize is None
+
+
+def test_adp_follows_the_rule_where_the_schedule_is_not_covered(spark):
+    d = dt.date
+    sched = spark.createDataFrame([("NFP", 2025, d(2025, 3, 21))], "release string, year int, d date")
+    cov = spark.createDataFrame([("CPI", 2025)], "release string, year int")
+    ev = _events(spark, d(2025, 3, 1), d(2025, 3, 31), schedules=sched, coverage=cov)
+    assert (d(2025, 3, 5), "ADP") in ev and (d(2025, 3, 19), "ADP") not in ev
+
+
+def test_repeated_observations_do_not_multiply_events(spark):
+    d = dt.date
+    cal = session_calendar(spark, d(2025, 6, 1), d(2025, 6, 30), trim=False)
+    rows = [("CUSR0000SA0", d(2025, 5, 1), 101.0), ("CUSR0000SA0", d(2025, 4, 1), 100.0)]
+    obs = spark.createDataFrame(rows * 2, "series string, d date, value double")
+    ev = market_events(spark, cal, dt.datetime(2025, 7, 20), observations=obs, start=F.lit(d(2025, 6, 1)), end=F.lit(d(2025, 6, 30)))
+    assert ev.columns == ["time", "sym", "event_name", "release_for", "event_date_type", "summarize", "schedule_source"]
+    got = ev.collect()
+    assert len([r for r in got if r.sym == "CPI"]) == 1
+    assert [(r.time, r.sym) for r in got] == sorted((r.time, r.sym) for r in got)
+
+
+def test_a_bad_date_makes_the_payload_unusable(spark, tmpdir_path):
+    import json
+
+    from tidemark.sources.readers import read_fred_release_dates
+    with open(f"{tmpdir_path}/x.json", "w") as f:
+        for year, second in ((2025, "soon"), (2026, "2026-02-11")):
+            f.write(json.dumps({"release": "CPI", "year": year, "release_dates": [{"date": f"{year}-01-10"}, {"date": second}]}) + "\n")
+    assert {(r.year, r.d.day) for r in read_fred_release_dates(spark, tmpdir_path).collect()} == {(2026, 10), (2026, 11)}

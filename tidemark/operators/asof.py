@@ -48,7 +48,10 @@ def asof_backward(left: DataFrame, right: DataFrame, by: Sequence[str], left_on:
         raise ValueError("tolerance must be positive")
 
     payload_fields = [right_on, *right_cols]
-    r = right.select(*by, rt.alias("_t"),
+    usable = rt.isNotNull()
+    for k in by:
+        usable = usable & F.col(k).isNotNull()
+    r = right.where(usable).select(*by, rt.alias("_t"),
                      F.struct(*[F.col(c) for c in payload_fields]).alias("_p"))
     r = r.withColumn("_b", F.floor(F.col("_t") / F.lit(width)))
     seed = (r.groupBy(*by, "_b")
@@ -57,8 +60,13 @@ def asof_backward(left: DataFrame, right: DataFrame, by: Sequence[str], left_on:
                      F.col("_last._p").alias("_p")))
     rights = r.unionByName(seed).withColumn("_side", F.lit(0))
 
+    # a null key or time matches nothing: such rows are spread over buckets that have no right rows
+    known = lt.isNotNull()
+    for k in by:
+        known = known & F.col(k).isNotNull()
+    nowhere = F.lit(-(1 << 60)) - F.pmod(F.monotonically_increasing_id(), F.lit(4096))
     l = (left.withColumn("_t", lt)
-             .withColumn("_b", F.floor(F.col("_t") / F.lit(width)))
+             .withColumn("_b", F.when(known, F.floor(F.col("_t") / F.lit(width))).otherwise(nowhere))
              .withColumn("_side", F.lit(1))
              .withColumn("_p", F.lit(None).cast(r.schema["_p"].dataType)))
     both = l.unionByName(rights, allowMissingColumns=True)

@@ -44,14 +44,14 @@ def reconcile_stats(rec: DataFrame, a_value: str, b_value: str, tolerance: float
 
 
 def mismatches(rec: DataFrame, keys: Sequence[str], tolerance: float = 0.01,
-               top: int | None = 20) -> DataFrame:
+               top: int | None = None) -> DataFrame:
     """Rows with ``abs_diff > tolerance``, largest first (keys break ties).
 
-    With ``top`` this is a distributed top-k (TakeOrderedAndProject)."""
+    All of them by default; with ``top`` this is a distributed top-k (TakeOrderedAndProject)."""
     out = rec.where(F.col("abs_diff") > tolerance).orderBy(F.desc("abs_diff"), *keys)
     return out.limit(top) if top else out
 
 
-def one_sided(rec: DataFrame, keys: Sequence[str], status: str, top: int | None = 20) -> DataFrame:
+def one_sided(rec: DataFrame, keys: Sequence[str], status: str, top: int | None = None) -> DataFrame:
     out = rec.where(F.col("match_status") == status).orderBy(*keys)
     return out.limit(top) if top else out

@@ -23,8 +23,11 @@ from pyspark.sql import functions as F
 from ..functions.dates import (last_weekday, month_label, nth_weekday, wall_clock)
 from ..functions.numbers import py_fixed
 from ..functions.strings import strip_chars
+from ..session import checkpointed
 from ..operators.dedup import keep_one
 
+#: fixed values: the columns of the event table
+MARKET_EVENT_COLUMNS = ["time", "sym", "event_name", "release_for", "event_date_type", "summarize", "schedule_source"]
 EVENT_COLUMNS = ["time", "sym", "event_name", "release_for", "schedule_source", "summary_fallback",
                  "ref_year", "ref_month", "ref_day2", "ref_decision", "ref_q", "ref_qy",
                  "ref_estimate", "ref_week_ending", "auction_term", "auction_kind", "auction_reopen",
@@ -301,16 +304,6 @@ def index_events(cal: DataFrame, lk: DataFrame, keep_month_edge: bool = False) -
     return _union(out)
 
 
-def schedule_flags(schedules: DataFrame | None, coverage: DataFrame | None):
-    """Normalise the exact-schedule inputs.
-
-    ``schedules``: (release, year, d) listed release dates per request year.
-    ``coverage``: (release, year) whose schedule is available (fetched,
-    parsed, name validated). Missing inputs mean "not available" everywhere.
-    """
-    return schedules, coverage
-
-
 def _fred_state(df: DataFrame, release: str, schedules: DataFrame | None,
                 coverage: DataFrame | None) -> DataFrame:
     """Add ``_listed`` (d is in the release schedule of year(d)) and ``_avail``."""
@@ -466,7 +459,7 @@ def _nfp_dates(mo: DataFrame, nfp_rule: DataFrame, schedules: DataFrame | None,
     avail = coverage.where(F.col("release") == "NFP").select(F.col("year").alias("y"),
                                                              F.lit(True).alias("_avail")).distinct()
     j = rule.join(listed, "m", "left").join(avail, "y", "left")
-    nfp = F.coalesce(F.col("_listed"), F.when(F.col("_avail").isNull(), F.col("_rule")))
+    nfp = F.when(F.col("_avail").isNotNull(), F.col("_listed")).otherwise(F.col("_rule"))
     return j.select("m", "y", "mo", nfp.alias("nfp")).where(F.col("nfp").isNotNull())
 
 
@@ -521,7 +514,9 @@ def all_events(spark: SparkSession, cal: DataFrame, schedules: DataFrame | None
     near the edges resolve); ``start``/``end`` bound the emitted days.
     """
     from .trading_calendar import shift_lookup
-    lk = shift_lookup(cal)
+    # every rule reads the calendar: it is computed once
+    cal = checkpointed(cal)
+    lk = checkpointed(shift_lookup(cal))
     parts = [central_bank_events(spark, cal, lk), index_events(cal, lk, keep_month_edge),
              macro_events(cal, lk, schedules, coverage, keep_month_edge),
              treasury_events(spark, cal, auctions)]
@@ -550,7 +545,7 @@ def market_events(spark: SparkSession, cal: DataFrame, now: _dt.datetime | Colum
                   auctions: DataFrame | None = None, observations: DataFrame | None = None,
                   keep_month_edge: bool = False, start: Column | None = None,
                   end: Column | None = None) -> DataFrame:
-    """The seven-column event table (plus the day) for the calendar's range.
+    """The seven-column event table for the calendar's range, by time and symbol.
 
     ``event_date_type`` is ``actual`` when the event time is not after ``now``;
     ``summarize`` is filled for actual events only (data-driven text, else the
@@ -562,4 +557,6 @@ def market_events(spark: SparkSession, cal: DataFrame, now: _dt.datetime | Colum
     happened = F.col("time") <= now_c
     ev = ev.withColumn("event_date_type", F.when(happened, F.lit("actual")).otherwise(F.lit("expected")))
     ev = summarize(ev, observations)
-    return ev.withColumn("summarize", F.when(F.col("event_date_type") == "actual", F.col("summarize")))
+    ev = ev.withColumn("summarize", F.when(F.col("event_date_type") == "actual", F.col("summarize")))
+    # the sort samples its input first: written once, the plan runs once
+    return checkpointed(ev.select(*MARKET_EVENT_COLUMNS)).orderBy("time", "sym")

@@ -30,7 +30,7 @@ OUTPUT_COLUMNS = [
 
 
 def filings(sub: DataFrame, cov: DataFrame, periods: DataFrame,
-            own_archive_only: bool = False) -> DataFrame:
+            own_archive_only: bool = True) -> DataFrame:
     """13F-HR(/A) filings of each wanted period, with cover-page fields.
 
     The period text must equal the upper-case ``DD-MON-YYYY`` exactly (no
@@ -78,7 +78,7 @@ def other_manager_names(rows: DataFrame, om2: DataFrame) -> DataFrame:
 
 
 def holdings_13f(sub: DataFrame, cov: DataFrame, info: DataFrame, om2: DataFrame, periods: DataFrame,
-                 symbols: DataFrame | None = None, own_archive_only: bool = False) -> DataFrame:
+                 symbols: DataFrame | None = None, own_archive_only: bool = True) -> DataFrame:
     """The 27-column holdings table for every period in ``periods`` (column ``period``).
 
     ``symbols``: optional (cusip, sym, sym_und) from ``mapping.symbol_table``;

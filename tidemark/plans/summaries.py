@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import month_label
 from ..functions.numbers import join_parts, pct_change, py_fixed
 from ..functions.casts import try_double
+from ..session import checkpointed
 from ..operators.asof import asof_backward
 
 # Observation series used by the summaries.
@@ -35,6 +36,16 @@ FRED = {
 }
 
 
+def unique_observations(obs: DataFrame) -> DataFrame:
+    """One value for each (series, d): that with the largest ``load_rank`` where the column exists, else the largest.
+
+    Overlapping payloads repeat observations; an event must meet each once.
+    """
+    rank = F.col("load_rank") if "load_rank" in obs.columns else F.lit(0)
+    best = F.max(F.when(F.col("value").isNotNull(), F.struct(rank.alias("r"), F.col("value").alias("v"))))
+    return obs.groupBy("series", "d").agg(best.alias("b")).select("series", "d", F.col("b.v").alias("value"))
+
+
 def _lookup(ev: DataFrame, obs: DataFrame, alias: str, series: str, day: Column) -> DataFrame:
     o = obs.where(F.col("series") == series).select(F.col("d").alias(f"_{alias}_d"),
                                                     F.col("value").alias(alias))
@@ -70,6 +81,8 @@ def summarize(ev: DataFrame, obs: DataFrame | None) -> DataFrame:
     fallback = F.coalesce(F.col("summary_fallback"), F.concat(F.col("event_name"), F.lit(".")))
     if obs is None:
         return ev.withColumn("summarize", F.coalesce(_auction_text(), fallback))
+    # written once: each series is looked up from it, for events that are written once too
+    obs, ev = checkpointed(unique_observations(obs)), checkpointed(ev)
     sym = F.col("sym")
     refm = F.make_date(F.col("ref_year"), F.col("ref_month"), F.lit(1))
     base = ev.columns

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import last_weekday, month_label, nth_weekday, wall_clock_utc
 from ..plans.events import index_events, macro_events, treasury_events
 from ..plans.trading_calendar import session_calendar, shift_lookup
+from ..session import checkpointed
 from .base import Tables
 
 NOW = _dt.datetime(1998, 6, 30, 12, 0, 0)
@@ -24,8 +25,13 @@ def _order_days(t: Tables):
 
 
 def _span(t: Tables):
-    o = t.orders.select(F.col("o_orderdate").cast("date").alias("d"))
-    return o.select(F.min("d")).scalar(), o.select(F.max("d")).scalar()
+    return _span_of(t.orders.select(F.col("o_orderdate").alias("day")))
+
+
+def _span_of(days):
+    """First and last day, from one scan; two values reach the driver."""
+    day = F.col("day").cast("date")
+    return [F.lit(x).cast("date") for x in days.agg(F.min(day), F.max(day)).first()]
 
 
 def q_nth_weekday(spark, sf):
@@ -69,9 +75,11 @@ FROM m
 """
 
 
-def _cal(spark, t: Tables, trim: bool = True):
-    lo, hi = _span(t)
-    return session_calendar(spark, lo, hi, trim=trim), lo, hi
+def _cal(spark, t: Tables, trim: bool = True, days=None):
+    """The calendar over the span of the orders, or of the column ``day`` of ``days``."""
+    lo, hi = _span(t) if days is None else _span_of(days)
+    # written once: every rule reads it
+    return checkpointed(session_calendar(spark, lo, hi, trim=trim)), lo, hi
 
 
 def q_session_fill(spark, sf):
@@ -264,14 +272,14 @@ def _auction_feeds(t: Tables):
 
 def q_auction_rows(spark, sf):
     t = Tables(spark, sf)
-    cal, lo, hi = _cal(spark, t)
+    cal, lo, hi = _cal(spark, t, days=t.lineitem.select(F.col("l_shipdate").alias("day")))
     from ..plans.summaries import _auction_text
     ev = treasury_events(spark, cal, _auction_feeds(t)).where(F.col("sym").startswith("AUCTION_"))
     return ev.select("d", "sym", "event_name", _auction_text().alias("results_text"))
 
 
 SQL_AUCTION_ROWS = """
-WITH span AS (SELECT CAST(min(o_orderdate) AS DATE) AS lo, CAST(max(o_orderdate) AS DATE) AS hi FROM orders),
+WITH span AS (SELECT CAST(min(l_shipdate) AS DATE) AS lo, CAST(max(l_shipdate) AS DATE) AS hi FROM lineitem),
 f AS (SELECT CASE WHEN l_returnflag = 'N' THEN 'Note' ELSE 'Bond' END AS type,
              CAST(l_linenumber AS VARCHAR) || '-Year' AS term_txt, CAST(l_shipdate AS DATE) AS d,
              CAST(l_partkey AS VARCHAR) AS cusip,

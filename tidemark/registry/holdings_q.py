@@ -249,13 +249,13 @@ FROM lineitem LEFT JOIN part ON p_partkey = l_partkey GROUP BY 1
 
 def q_sorted_rank(spark, sf):
     t = Tables(spark, sf)
-    li = t.lineitem.select("l_orderkey", "l_linenumber", "l_extendedprice")
+    li = t.lineitem.select("l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity", "l_returnflag")
     return global_rank(li, [F.asc("l_orderkey"), F.desc_nulls_first("l_extendedprice"),
                             F.asc("l_linenumber")], "pos")
 
 
 SQL_SORTED_RANK = """
-SELECT l_orderkey, l_linenumber, l_extendedprice,
+SELECT l_orderkey, l_linenumber, l_extendedprice, l_quantity, l_returnflag,
        row_number() OVER (ORDER BY l_orderkey, l_extendedprice DESC NULLS FIRST, l_linenumber) AS pos
 FROM lineitem
 """

@@ -1,14 +1,12 @@
 """Sources and sinks round trips on the driver tables.
 
 Files are staged under the session's shared ``spark.checkpoint.dir`` (a
-fresh folder per call); a fallback under the system temp folder is used only
-when the session has no checkpoint folder, as in local tests.
+fresh folder per call).
 """
 
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import functions as F
@@ -21,9 +19,7 @@ from .base import Tables
 
 
 def _stage(spark) -> str:
-    base = checkpoint_dir(spark, fallback=tempfile.mkdtemp(prefix="tidemark-stage-"))
-    path = os.path.join(base.replace("file:", ""), f"stage-{uuid.uuid4().hex}")
-    return path
+    return f"{checkpoint_dir(spark).rstrip('/')}/stage-{uuid.uuid4().hex}"
 
 
 def q_write_read(spark, sf):

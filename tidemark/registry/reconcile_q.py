@@ -1,7 +1,7 @@
 """Two-source reconciliation, stacked index bars, coverage and row filters.
 
 Stand-ins: two daily price series are the daily order totals of finished
-(``F``) and open (``O``) orders; index bars are daily order statistics per
+(``F``) and of open or pending (``O``, ``P``) orders; index bars are daily order statistics per
 priority, with a three-row symbol table.
 """
 
@@ -17,14 +17,14 @@ from .base import Tables
 PRIORITY_SYMBOLS = [("P1", "1-URGENT"), ("P2", "2-HIGH"), ("P5", "5-LOW")]
 
 
-def _series(t: Tables, status: str, name: str):
-    return (t.orders.where(F.col("o_orderstatus") == status)
+def _series(t: Tables, finished: bool, name: str):
+    return (t.orders.where(F.coalesce(F.col("o_orderstatus") == "F", F.lit(False)) == finished)
              .groupBy(F.col("o_orderdate").cast("date").alias("date"))
              .agg(F.round(F.sum("o_totalprice"), 2).alias(name)))
 
 
 def _rec(t: Tables):
-    return reconcile(_series(t, "F", "close_a"), _series(t, "O", "close_b"), ["date"], "close_a", "close_b")
+    return reconcile(_series(t, True, "close_a"), _series(t, False, "close_b"), ["date"], "close_a", "close_b")
 
 
 def q_full_reconcile(spark, sf):
@@ -37,7 +37,7 @@ _SQL_REC = """
 WITH a AS (SELECT CAST(o_orderdate AS DATE) AS date, round(sum(o_totalprice), 2) AS close_a FROM orders
            WHERE o_orderstatus = 'F' GROUP BY 1),
 b AS (SELECT CAST(o_orderdate AS DATE) AS date, round(sum(o_totalprice), 2) AS close_b FROM orders
-      WHERE o_orderstatus = 'O' GROUP BY 1),
+      WHERE o_orderstatus IS DISTINCT FROM 'F' GROUP BY 1),
 j AS (SELECT date, close_a, close_b FROM a FULL JOIN b USING (date)),
 rec AS (SELECT date, close_a, close_b,
                CASE WHEN close_a IS NOT NULL AND close_b IS NOT NULL THEN 'both'

@@ -20,8 +20,10 @@ place where execution behaviour is tuned:
 from __future__ import annotations
 
 import os
+import re
+import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 BASE_CONF = {
     "spark.sql.ansi.enabled": "true",
@@ -53,7 +55,7 @@ def build_session(master: str | None = None, app: str = "tidemark",
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     if master and master.startswith("local"):
-        conf.setdefault("spark.driver.memory", os.environ.get("TIDEMARK_DRIVER_MEMORY", "16g"))
+        conf.setdefault("spark.driver.memory", os.environ.get("TIDEMARK_DRIVER_MEMORY", "8g"))
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
@@ -68,19 +70,25 @@ def build_session(master: str | None = None, app: str = "tidemark",
     return spark
 
 
-def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
+def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Lineage is cut by writing there (``DataFrame.checkpoint`` or a parquet
-    table), never with ``localCheckpoint``. A fallback is set only when the
-    session has none, which happens in local tests.
+    Lineage is cut by writing there (``checkpoint()`` or a parquet table). Where
+    the setting is missing, a session inside one process gets a folder of its own, as in
+    tests; on a cluster that is an error, as executors share no local folder.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if d:
-        spark.sparkContext.setCheckpointDir(d)
-        return d
-    if fallback is None:
-        raise RuntimeError("spark.checkpoint.dir is not set; pass a shared folder")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    spark.sparkContext.setCheckpointDir(fallback)
-    return fallback
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir is not set; name a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="tidemark-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` written once to the shared folder; later reads do not compute it again."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint()

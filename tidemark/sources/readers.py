@@ -19,7 +19,7 @@ def file_date(pattern: str = r"(\d{4}-\d{2}-\d{2})", path_col: str = "_metadata.
     """Date taken from the file path (``.../2024/01/2024-01-02.csv.gz``).
 
     ``path_col`` names a column holding the path when ``_metadata`` is not
-    available (inside a streaming micro-batch use ``SOURCE_FILE``).
+    available.
     """
     return F.to_date(F.regexp_extract(F.col(path_col), pattern, 1), "yyyy-MM-dd")
 
@@ -108,9 +108,11 @@ def read_fred_release_names(spark: SparkSession, path: str) -> DataFrame:
 
 def read_fred_release_dates(spark: SparkSession, path: str) -> DataFrame:
     """(release, year, d); a payload that does not parse yields no row for its
-    (release, year), i.e. "schedule not available"."""
+    (release, year), i.e. "schedule not available"; one date that does not
+    parse makes its whole payload unusable."""
     r = spark.read.schema(FRED_RELEASE_DATES_JSON).option("mode", "PERMISSIVE").json(path)
-    ok = r.where(F.col("_corrupt_record").isNull() & F.col("release_dates").isNotNull())
+    bad = F.exists("release_dates", lambda x: F.try_to_date(x["date"], "yyyy-MM-dd").isNull())
+    ok = r.where(F.col("_corrupt_record").isNull() & F.col("release_dates").isNotNull() & ~bad)
     return (ok.select("release", "year", F.explode_outer("release_dates").alias("x"))
               .select("release", "year", F.try_to_date(F.col("x.date"), "yyyy-MM-dd").alias("d")))
 

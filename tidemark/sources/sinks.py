@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,7 +21,8 @@ def write_partitioned(df: DataFrame, path: str, keys: Sequence[str],
     """
     spark = df.sparkSession
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    out = df.repartition(*[F.col(k) for k in keys])
+    # AQE splits the partitions of large days and joins those of small ones
+    out = df.hint("rebalance", *keys)
     if sort_within:
         out = out.sortWithinPartitions(*[F.col(k) for k in keys], *sort_within)
     out.write.mode("overwrite").option("compression", compression).partitionBy(*keys).parquet(path)
@@ -44,6 +46,9 @@ def write_manifest(keys: DataFrame, path: str) -> None:
 def existing_keys(spark, path: str, keys: Sequence[str]) -> DataFrame | None:
     """Partition keys already present under ``path`` (None when nothing exists)."""
     try:
-        return spark.read.parquet(path).select(*keys).distinct()
-    except Exception:  # noqa: BLE001 - path not created yet
+        table = spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
+    return table.select(*keys).distinct()
