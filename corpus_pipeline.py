@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, golay_simhash, mixing, quality_rules, substring_dedup
 from tidemark.llm.common import small_batches
+from tidemark.session import checkpoint_dir
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,10 +64,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; what each returns is written to the shared folder and read again."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        raise RuntimeError("spark.checkpoint.dir is not set; name a folder that all executors share")
-    place = f"{folder.rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    place = f"{checkpoint_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
     for number, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{place}/{number}")

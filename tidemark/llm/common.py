@@ -15,6 +15,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.session import checkpointed as checkpointed
+
 U64 = np.uint64
 WHITESPACE_WORD = r"[^\x20\x09-\x0D]+"
 #: bytes of text in a block of documents that one task holds at a time
@@ -69,17 +71,6 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Written once to the shared folder that ``spark.checkpoint.dir`` names."""
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        raise RuntimeError("spark.checkpoint.dir is not set; name a folder that all executors share")
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint()
-
-
 # ---------------------------------------------------------------- hashing
 
 _ODD = 0x9E3779B97F4A7C15 | 1
