@@ -43,7 +43,7 @@ def corpus():
     return rows, junk, edge
 
 
-def test_rules(spark):
+def test_rules(spark, monkeypatch):
     rows, junk, edge = corpus()
     every = rows + junk + edge
     df = spark.createDataFrame([(*x, 1) for x in every], "doc_id long, text string, lang string, source string, n_words int").repartition(5)
@@ -56,6 +56,12 @@ def test_rules(spark):
     kept = {x["doc_id"] for x in got if x["kept"]}
     assert all(not x["kept"] for x in got if x["base_failed"])
     assert all(d in kept for d, *_ in rows) and not any(d in kept for d, *_ in junk)
+    shown = sorted((tuple(x) for x in got), key=repr)
+    with monkeypatch.context() as m:
+        # more groups than may be broadcast: the salted join gives the same
+        m.setattr(quality_rules, "BROADCAST_GROUPS", 0)
+        salted = sorted((tuple(x) for x in quality_rules.judge(df).collect()), key=repr)
+    assert [x[:8] for x in salted] == [x[:8] for x in shown]
     left = quality_rules.drop_rejected(df)
     assert left.columns == df.columns and {x["doc_id"] for x in left.collect()} == kept
     assert quality_rules.judge(df.limit(0)).count() == 0

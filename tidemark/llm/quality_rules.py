@@ -7,10 +7,10 @@ of its words in repeated windows fails.
 Method: the statistics of the other texts become a vector of six logarithms
 and shares. For each language and source the minimum-covariance-determinant
 estimate of its centre and spread is found by concentration steps: distances
-under the current estimate, the half (``CORE``) of the rows that is nearest,
+under the current estimate, the share (``CORE``) of the rows that is nearest,
 mean and covariance of those, again. All steps are aggregations over the
-rows: distances are counted in fine bins, so no group's rows meet in one
-task. The spread is scaled so that the median distance is that of a normal
+rows: distances are counted in fine bins and a table of estimates comes to
+the rows, so no group's rows meet in one task. The spread is scaled so that the median distance is that of a normal
 sample, and each variance has a floor, so that a statistic that hardly varies
 in a group does not reject what differs from it by a trifle. Rows beyond
 ``CUT`` standard deviations of the chi-square distance (Wilson and Hilferty) are rejected.
@@ -40,6 +40,8 @@ STEPS = 4
 CUT = 9.0
 BIN = 0.02
 MIN_WORDS = 50
+#: most groups whose estimates (under 500 bytes each) are broadcast, and the tasks a group is split over beyond
+BROADCAST_GROUPS, SALTS = 10000, 64
 _TABLE = blank_table()
 _SYMBOLS = np.isin(np.arange(256), list(b"#*$%&|<>"))
 _UPPER = np.isin(np.arange(256), range(65, 91))
@@ -116,27 +118,48 @@ def vector() -> list[Column]:
             F.col("n_dup_lines") / lines, F.col("n_repeat_words") / words, F.col("n_upper") / chars]
 
 
-def _key(*columns: str) -> Column:
-    return F.concat_ws("|", *(F.coalesce(F.concat(F.lit("="), F.col(c)), F.lit("null")) for c in columns))
+def _key(level: str, *columns: str) -> Column:
+    """Name of a group; null and any text have different names."""
+    return F.concat(F.lit(level), F.to_json(F.struct(*columns)))
 
 
-def grouped(stats: DataFrame) -> DataFrame:
-    """The rows that pass the base rules, each with the group that is large enough for an estimate."""
+def with_group(rows: DataFrame, table: DataFrame, n: int, on: str = "grp", how: str = "inner") -> DataFrame:
+    """``rows`` with the columns of their group in ``table``, which has ``n`` rows.
+
+    Up to ``BROADCAST_GROUPS`` of them are broadcast and the rows stay where they are.
+    More are repeated for every salt, so that the rows of one group go to ``SALTS`` tasks.
+    """
+    if n <= BROADCAST_GROUPS:
+        return rows.join(F.broadcast(table), on, how)
+    salted = table.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    dealt = rows.withColumn("__salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
+    return dealt.join(salted, [on, "__salt"], how).drop("__salt")
+
+
+def grouped(stats: DataFrame) -> tuple[DataFrame, int]:
+    """The rows that pass the base rules, and how many languages with sources they have.
+
+    Each row has ``grp``, the group that is large enough for an estimate, and ``feeds``, the groups
+    with an estimate in use that it takes part in.
+    """
     rows = stats.where(~base_failed()).withColumns({f"x{i}": x for i, x in enumerate(vector())})
-    sizes = rows.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"))
-    by_lang = F.sum("n").over(Window.partitionBy("lang"))
-    everything = F.sum("n").over(Window.partitionBy())
-    group = (F.when(F.col("n") >= FEWEST, F.concat(F.lit("s|"), _key("lang", "source"))).when(by_lang >= FEWEST, F.concat(F.lit("l|"), _key("lang")))
-             .when(everything >= FEWEST, F.lit("all")))
-    names = sizes.select(F.col("lang").alias("__lang"), F.col("source").alias("__source"), group.alias("grp"))
-    return rows.join(names, F.col("lang").eqNullSafe(F.col("__lang")) & F.col("source").eqNullSafe(F.col("__source"))).drop("__lang", "__source")
+    rows = rows.withColumn("pair", _key("s", "lang", "source"))
+    sizes = rows.groupBy("pair").agg(F.first("lang").alias("lang"), F.count(F.lit(1)).alias("n"))
+    of_lang, everything = Window.partitionBy("lang"), Window.partitionBy()
+    own, lang, all_rows = F.col("pair"), _key("l", "lang"), F.lit("all")
+    group = (F.when(F.col("n") >= FEWEST, own).when(F.sum("n").over(of_lang) >= FEWEST, lang)
+             .when(F.sum("n").over(everything) >= FEWEST, all_rows))
+    names = sizes.withColumn("grp", group)
+    feeds = [F.when(F.col("grp") == own, own), F.when(F.max(F.col("grp") == lang).over(of_lang), lang),
+             F.when(F.max(F.col("grp") == all_rows).over(everything), all_rows)]
+    names = checkpointed(names.select("pair", "grp", F.array_compact(F.array(*feeds)).alias("feeds")))
+    n = names.count()
+    return with_group(rows, names, n, "pair").drop("pair"), n
 
 
 def _members(rows: DataFrame) -> DataFrame:
-    """Each row in every group that estimates from it: its own, its language and all."""
-    own = F.concat(F.lit("s|"), _key("lang", "source"))
-    lang = F.concat(F.lit("l|"), _key("lang"))
-    return rows.select(F.explode(F.array(own, lang, F.lit("all"))).alias("grp"), *(f"x{i}" for i in range(SIZE)))
+    """Each row in every group that estimates from it."""
+    return rows.select(F.explode("feeds").alias("grp"), *(f"x{i}" for i in range(SIZE)))
 
 
 def normal_quantile(z: float, k: int = SIZE) -> float:
@@ -181,19 +204,22 @@ def _bins(rows: DataFrame, share: float) -> DataFrame:
     return at.groupBy("grp").agg(F.min("bin").alias("cut"))
 
 
-def estimates(rows: DataFrame) -> DataFrame:
-    """(grp, mean, inv, scale) of every group."""
+def estimates(rows: DataFrame, n: int) -> DataFrame:
+    """(grp, mean, inv, scale) of every group; ``n`` is that of ``grouped``."""
+    # no more groups have rows than languages with sources, those languages and all
+    n = 2 * n + 1
     members = checkpointed(_members(rows))
     middle = members.groupBy("grp").agg(*(F.percentile_approx(f"x{i}", 0.5, 1000).alias(f"m{i}") for i in range(SIZE)))
     start = np.diag(1 / np.array(FLOORS) ** 2).ravel().tolist()
     now = middle.select("grp", F.array(*(f"m{i}" for i in range(SIZE))).alias("mean"), F.array(*map(F.lit, start)).alias("inv"))
     for _ in range(STEPS):
         now = checkpointed(now)
-        placed = members.join(now, "grp").withColumn("bin", F.floor(F.log(_distance() + 1e-6) / BIN))
-        core = placed.join(_bins(placed.select("grp", "bin"), CORE), "grp").where("bin <= cut")
+        placed = with_group(members, now, n).withColumn("bin", F.floor(F.log(_distance() + 1e-6) / BIN))
+        cuts = checkpointed(_bins(placed.select("grp", "bin"), CORE))
+        core = with_group(placed.drop("mean", "inv"), cuts, n).where("bin <= cut")
         now = _moments(core.select("grp", *(f"x{i}" for i in range(SIZE))))
     now = checkpointed(now)
-    placed = members.join(now, "grp").select("grp", F.floor(F.log(_distance() + 1e-6) / BIN).alias("bin"))
+    placed = with_group(members, now, n).select("grp", F.floor(F.log(_distance() + 1e-6) / BIN).alias("bin"))
     half = _bins(placed, 0.5).select("grp", (F.exp((F.col("cut") + 1) * BIN) / normal_quantile(0.0)).alias("scale"))
     # a floor on the spread leaves distances smaller than a normal sample's: never scale them up
     return now.join(half, "grp").withColumn("scale", F.greatest("scale", F.lit(1.0)))
@@ -202,9 +228,10 @@ def estimates(rows: DataFrame) -> DataFrame:
 def judge(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, distance."""
     stats = checkpointed(with_stats(docs))
-    rows = checkpointed(grouped(stats))
-    found = checkpointed(estimates(rows))
-    passed = rows.join(found, "grp", "left").withColumn("distance", _distance() / F.col("scale"))
+    rows, n = grouped(stats)
+    rows = checkpointed(rows)
+    found = checkpointed(estimates(rows, n))
+    passed = with_group(rows, found, 2 * n + 1, how="left").withColumn("distance", _distance() / F.col("scale"))
     passed = passed.withColumn("kept", F.coalesce(F.col("distance") <= normal_quantile(CUT), F.lit(True)))
     shown = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     failed = stats.where(base_failed()).select(*shown, F.lit(True).alias("base_failed"), F.lit(False).alias("kept"), F.lit(None).cast("double").alias("distance"))
