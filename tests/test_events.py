@@ -2,7 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from tidemark.plans.events import all_events, market_events
+from tidemark.plans.events import all_events, market_events, uncovered_years
 from tidemark.plans.trading_calendar import session_calendar
 
 
@@ -29,6 +29,12 @@ def test_worked_dates(spark):
     assert ev[(dt.date(2025, 7, 9), "FOMC_MINUTES")].event_name == "FOMC minutes of the June 2025 meeting"
 
 
+def test_years_without_an_embedded_calendar(spark):
+    cal = session_calendar(spark, dt.date(2024, 1, 1), dt.date(2027, 12, 31))
+    got = {tuple(r) for r in uncovered_years(cal).collect()}
+    assert got == {("ECB", 2024), ("BOJ", 2024), ("QRA", 2024), *((c, 2027) for c in ("FOMC", "ECB", "BOJ", "QRA"))}
+
+
 def test_adp_kept_in_april(spark):
     ev = _events(spark, dt.date(2025, 4, 1), dt.date(2025, 4, 30))
     assert (dt.date(2025, 4, 2), "ADP") in ev

@@ -4,9 +4,12 @@ import io
 import os
 import zipfile
 
+import pytest
+from pyspark.errors import PythonException
 from pyspark.sql import functions as F
 
-from tidemark.sources.readers import read_sec_tsv, read_zip_member
+from tidemark.plans.summaries import observations
+from tidemark.sources.readers import read_fred_csv, read_sec_tsv, read_zip_member
 from tidemark.sources.sinks import write_partitioned
 from tidemark.plans.stocks import read_day_bars
 
@@ -31,6 +34,38 @@ def test_zip_member_by_header(spark, tmpdir_path):
     assert got == [("A", "c1", None), ("B", "c2", "F")]
 
 
+def _archive(folder, name, body):
+    path = os.path.join(folder, name)
+    with zipfile.ZipFile(path, "w") as z:
+        z.writestr("INFOTABLE.tsv", body)
+    return path
+
+
+def test_zip_member_edges(spark, tmpdir_path):
+    path = _archive(tmpdir_path, "a.zip", b"\xef\xbb\xbfA\tB\r\na\rb\t2\t3\r\n\r\nshort\ncaf\xe9\t\n")
+    got = read_zip_member(spark, path, "infotable.TSV", ["B", "A"]).select("A", "B").collect()
+    assert [tuple(r) for r in got] == [("a\rb", "2"), ("short", None), ("caf�", "")]
+    assert read_zip_member(spark, _archive(tmpdir_path, "b.zip", b""), "INFOTABLE.tsv", ["A"], optional=("A",)).count() == 0
+
+
+def test_zip_member_fails_where_a_column_or_the_member_is_missing(spark, tmpdir_path):
+    path = _archive(tmpdir_path, "a.zip", b"A\n1\n")
+    for member, cols in (("INFOTABLE.tsv", ["A", "CUSIP"]), ("COVERPAGE.tsv", ["A"])):
+        with pytest.raises(PythonException):
+            read_zip_member(spark, path, member, cols).collect()
+
+
+def test_fred_files_need_their_header(spark, tmpdir_path):
+    for name, body in (("ICSA", "observation_date,ICSA\n2025-01-04,203000\n2025-01-11,.\n2025-01-18,\n"), ("GDP", "<html>,x\n2025-01-01,5\n")):
+        with open(os.path.join(tmpdir_path, f"{name}.csv"), "w") as f:
+            f.write(body)
+    fred = read_fred_csv(spark, tmpdir_path)
+    assert [tuple(r) for r in fred.collect()] == [("ICSA", dt.date(2025, 1, 4), 203000.0)]
+    bls = spark.createDataFrame([("S", 2025, 1, 1.0), ("S", 2025, 1, 1.0), ("S", 2025, 13, 9.0)], "series string, year int, month int, value double")
+    got = {tuple(r) for r in observations(bls, fred).collect()}
+    assert got == {("S", dt.date(2025, 1, 1), 1.0), ("ICSA", dt.date(2025, 1, 4), 203000.0)}
+
+
 def test_gz_bars_and_dynamic_overwrite(spark, tmpdir_path):
     for day in ["2025-01-02", "2025-01-03"]:
         d = os.path.join(tmpdir_path, "bars", "2025", "01")

@@ -246,6 +246,20 @@ def central_bank_events(spark: SparkSession, cal: DataFrame, lk: DataFrame) -> D
     return _union(out)
 
 
+def uncovered_years(cal: DataFrame) -> DataFrame:
+    """(calendar, year): years of ``cal`` for which an embedded calendar has no day.
+
+    The events of that calendar are silent in such a year.
+    """
+    held = {"FOMC": [last for _, last in FOMC_MEETINGS], "ECB": ECB_DECISIONS, "BOJ": BOJ_DECISIONS_JST,
+            "QRA": QRA_DATES}
+    covered = sorted({(name, int(day[:4])) for name, days in held.items() for day in days})
+    years = cal.select(F.year("d").alias("year")).distinct()
+    wanted = years.select(F.explode(F.array(*map(F.lit, held))).alias("calendar"), "year")
+    return wanted.join(cal.sparkSession.createDataFrame(covered, "calendar string, year int"),
+                       ["calendar", "year"], "left_anti")
+
+
 def index_events(cal: DataFrame, lk: DataFrame, keep_month_edge: bool = False) -> DataFrame:
     mo = month_table(cal)
     out = []

@@ -46,6 +46,17 @@ def unique_observations(obs: DataFrame) -> DataFrame:
     return obs.groupBy("series", "d").agg(best.alias("b")).select("series", "d", F.col("b.v").alias("value"))
 
 
+def observations(bls: DataFrame, fred: DataFrame) -> DataFrame:
+    """The observation table of the landed series, each (series, d) once.
+
+    ``bls``: (series, year, month, value), dated the first of the month here;
+    ``fred``: (series, d, value). Both may carry ``load_rank``.
+    """
+    monthly = (bls.where(F.col("month").between(1, 12))
+                  .withColumn("d", F.make_date("year", "month", F.lit(1))).drop("year", "month"))
+    return unique_observations(monthly.unionByName(fred, allowMissingColumns=True))
+
+
 def _lookup(ev: DataFrame, obs: DataFrame, alias: str, series: str, day: Column) -> DataFrame:
     o = obs.where(F.col("series") == series).select(F.col("d").alias(f"_{alias}_d"),
                                                     F.col("value").alias(alias))

@@ -12,7 +12,8 @@ import datetime as _dt
 from pyspark.sql import functions as F
 
 from ..functions.dates import last_weekday, month_label, nth_weekday, wall_clock_utc
-from ..plans.events import index_events, macro_events, treasury_events
+from ..plans.events import (BOJ_DECISIONS_JST, ECB_DECISIONS, FOMC_MEETINGS, QRA_DATES, TEXT, central_bank_events,
+                            index_events, macro_events, treasury_events, uncovered_years)
 from ..plans.trading_calendar import session_calendar, shift_lookup
 from ..session import checkpointed
 from .base import Tables
@@ -350,7 +351,77 @@ FROM ev LEFT JOIN od USING (d), span WHERE ev.d BETWEEN span.lo AND span.hi
 """
 
 
+def _later(t: Tables):
+    """Order days thirty years on, where the embedded calendars are."""
+    return t.orders.select(F.add_months(F.col("o_orderdate").cast("date"), 360).alias("day"))
+
+
+def q_list_schedules(spark, sf):
+    """Events of the embedded calendars and the rules tied to them, with times and texts."""
+    t = Tables(spark, sf)
+    cal, lo, hi = _cal(spark, t, trim=False, days=_later(t))
+    ev = central_bank_events(spark, cal, shift_lookup(cal)).unionByName(treasury_events(spark, cal))
+    return (ev.where(F.col("d").between(lo, hi))
+              .select("d", F.col("time").cast("timestamp_ntz").alias("time"), "sym", "event_name", "schedule_source", "summary_fallback"))
+
+
+def q_uncovered_years(spark, sf):
+    t = Tables(spark, sf)
+    cal, _, _ = _cal(spark, t, days=_later(t))
+    return uncovered_years(cal)
+
+
+def _days_sql(days: list[str]) -> str:
+    return "(SELECT CAST(x AS DATE) AS d FROM (VALUES " + ", ".join(f"('{x}')" for x in days) + ") v(x))"
+
+
+def _text_sql(key: str) -> tuple[str, str]:
+    return tuple("'" + x.replace("'", "''") + "'" for x in TEXT[key])
+
+
+_LATER_SPAN = ("CAST(CAST(min(o_orderdate) AS DATE) + INTERVAL 30 YEAR AS DATE) AS lo, "
+               "CAST(CAST(max(o_orderdate) AS DATE) + INTERVAL 30 YEAR AS DATE) AS hi")
+_SQL_LATER_CAL = _SQL_CAL.replace("CAST(min(o_orderdate) AS DATE) AS lo, CAST(max(o_orderdate) AS DATE) AS hi", _LATER_SPAN)
+
+
+def _fixed_sql(sym: str, days: str, minute: int, source: str) -> str:
+    name, fallback = _text_sql(sym)
+    return f"SELECT '{sym}' AS sym, d, {minute} AS mi, {name} AS event_name, '{source}' AS schedule_source, {fallback} AS summary_fallback FROM {days}"
+
+
+_FOMC_DAYS = _days_sql([b for _, b in FOMC_MEETINGS])
+SQL_LIST_SCHEDULES = f"""
+WITH {_SQL_LATER_CAL},
+fomc AS (SELECT sym, d, mi, event_name || CASE WHEN month(d) % 3 = 0 THEN '{TEXT["FOMC_SEP"]}' ELSE '' END AS event_name,
+                schedule_source, summary_fallback FROM ({_fixed_sql("FOMC", _FOMC_DAYS, 840, "official")})),
+minutes AS (SELECT 'FOMC_MINUTES' AS sym, c.prev_session AS d, 840 AS mi,
+                   replace({_text_sql("FOMC_MINUTES")[0]}, '{{meeting}}', strftime(f.d, '%B %Y')) AS event_name, 'rule' AS schedule_source,
+                   replace({_text_sql("FOMC_MINUTES")[1]}, '{{meeting}}', strftime(f.d, '%B %Y')) AS summary_fallback
+            FROM {_FOMC_DAYS} f JOIN cal c ON c.d = CAST(f.d + 21 AS DATE)),
+august AS (SELECT DISTINCT {_nth_sql("month", 4, 4)} AS d FROM cal WHERE month(month) = 8),
+ev AS (SELECT * FROM fomc UNION ALL SELECT * FROM minutes
+       UNION ALL {_fixed_sql("ECB", _days_sql(ECB_DECISIONS), 495, "official")}
+       UNION ALL {_fixed_sql("BOJ", "(SELECT CAST(d - 1 AS DATE) AS d FROM " + _days_sql(BOJ_DECISIONS_JST) + ")", 1380, "official")}
+       UNION ALL {_fixed_sql("QRA", _days_sql(QRA_DATES), 510, "official")}
+       UNION ALL {_fixed_sql("JACKSON_HOLE", "august", 600, "rule")})
+SELECT d, ((CAST(d AS TIMESTAMP) + to_minutes(mi)) AT TIME ZONE 'America/New_York') AT TIME ZONE 'UTC' AS time,
+       sym, event_name, schedule_source, summary_fallback
+FROM ev, span WHERE d BETWEEN span.lo AND span.hi
+"""
+
+SQL_UNCOVERED_YEARS = f"""
+WITH span AS (SELECT {_LATER_SPAN} FROM orders),
+y AS (SELECT CAST(unnest(generate_series(year(lo), year(hi))) AS INT) AS year FROM span),
+held AS ({" UNION ALL ".join(f"SELECT '{name}' AS calendar, year(d) AS year FROM {_days_sql(days)}" for name, days in
+         (("FOMC", [b for _, b in FOMC_MEETINGS]), ("ECB", ECB_DECISIONS), ("BOJ", BOJ_DECISIONS_JST), ("QRA", QRA_DATES)))})
+SELECT c.calendar, y.year FROM (SELECT DISTINCT calendar FROM held) c, y
+WHERE NOT EXISTS (SELECT 1 FROM held h WHERE h.calendar = c.calendar AND h.year = y.year)
+"""
+
+
 QUERIES = {
+    "list_schedules": (q_list_schedules, SQL_LIST_SCHEDULES),
+    "uncovered_years": (q_uncovered_years, SQL_UNCOVERED_YEARS),
     "nth_weekday": (q_nth_weekday, SQL_NTH_WEEKDAY),
     "last_weekday": (q_last_weekday, SQL_LAST_WEEKDAY),
     "session_fill": (q_session_fill, SQL_SESSION_FILL),

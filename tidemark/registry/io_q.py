@@ -12,8 +12,9 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..plans.cot import cot_filter
+from ..plans.summaries import observations
 from ..session import checkpoint_dir
-from ..sources.readers import file_date, read_cot_text, read_csv_typed, read_sec_tsv
+from ..sources.readers import file_date, read_bls_series, read_cot_text, read_csv_typed, read_sec_tsv
 from ..sources.sinks import write_partitioned, write_text_rows
 from .base import Tables
 
@@ -79,7 +80,41 @@ FROM orders GROUP BY 1
 """
 
 
+def q_landed_observations(spark, sf):
+    """Monthly revenue landed as series payloads, read back and joined by daily event maxima.
+
+    Every payload is landed twice, one priority's payload failed, and each has a
+    yearly period and a value that is no number.
+    """
+    t = Tables(spark, sf)
+    day = F.trunc(F.col("o_orderdate").cast("date"), "MM")
+    monthly = (t.orders.groupBy(F.col("o_orderpriority").alias("seriesID"), day.alias("d"))
+                .agg(F.sum(F.round(F.col("o_totalprice") * 100).cast("long")).cast("string").alias("value")))
+    point = F.struct(F.date_format("d", "yyyy").alias("year"), F.date_format("d", "'M'MM").alias("period"), "value")
+    noise = [F.struct(F.lit("1997").alias("year"), F.lit(p).alias("period"), F.lit(v).alias("value"))
+             for p, v in (("M13", "1"), ("Q01", "2"), ("M01", "-"))]
+    # one point for each month of a series
+    data = F.concat(F.array_sort(F.collect_list(point)), F.array(*noise))
+    series = monthly.groupBy("seriesID").agg(data.alias("data"))
+    status = F.when(F.col("seriesID") == "5-LOW", "REQUEST_NOT_PROCESSED").otherwise("REQUEST_SUCCEEDED")
+    payload = series.select(status.alias("status"), F.struct(F.array(F.struct("seriesID", "data")).alias("series")).alias("Results"))
+    landed = _stage(spark)
+    payload.union(payload).write.json(landed)
+    daily = (t.events.groupBy(F.col("event_type").alias("series"), F.col("ts").cast("date").alias("d"))
+              .agg(F.max("value").alias("value")))
+    return observations(read_bls_series(spark, landed), daily)
+
+
+SQL_LANDED_OBSERVATIONS = """
+SELECT o_orderpriority AS series, CAST(date_trunc('month', o_orderdate) AS DATE) AS d,
+       CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS DOUBLE) AS value
+FROM orders WHERE o_orderpriority <> '5-LOW' GROUP BY 1, 2
+UNION ALL SELECT event_type, CAST(ts AS DATE), max(value) FROM events GROUP BY 1, 2
+"""
+
+
 QUERIES = {
+    "landed_observations": (q_landed_observations, SQL_LANDED_OBSERVATIONS),
     "write_read": (q_write_read, SQL_WRITE_READ),
     "text_roundtrip": (q_text_roundtrip, SQL_TEXT_ROUNDTRIP),
 }

@@ -6,6 +6,8 @@ from __future__ import annotations
 import io
 import zipfile
 from collections.abc import Iterator
+from itertools import islice
+from pathlib import PurePosixPath
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +16,9 @@ from pyspark.sql import functions as F
 from .schemas import (BLS_JSON, FIGI_REPLY, FRED_CSV, FRED_RELEASE_DATES_JSON, FRED_RELEASE_JSON,
                       TREASURY_AUCTION, all_strings)
 
+#: fixed value: the column that only newer archives have
+LATER_COLUMNS = ("FIGI",)
+
 
 def file_date(pattern: str = r"(\d{4}-\d{2}-\d{2})", path_col: str = "_metadata.file_path") -> Column:
     """Date taken from the file path (``.../2024/01/2024-01-02.csv.gz``).
@@ -41,50 +46,60 @@ def read_sec_tsv(spark: SparkSession, path: str | list[str], cols: list[str]) ->
                  .csv(path))
 
 
-def _member_lines(member: str, chunk: int = 50_000):
-    want = member.upper()
+def _member_of(archive: zipfile.ZipFile, member: str) -> zipfile.ZipInfo | None:
+    """The first file called ``member`` in any folder of the archive, whatever its case."""
+    files: dict[str, zipfile.ZipInfo] = {}
+    for info in archive.infolist():
+        if not info.is_dir():
+            files.setdefault(PurePosixPath(info.filename).name.casefold(), info)
+    return files.get(member.casefold())
+
+
+def _fields(line: bytes) -> list[str]:
+    return line.removesuffix(b"\n").removesuffix(b"\r").decode("utf-8", "replace").split("\t")
+
+
+def _member_rows(member: str, cols: list[str], optional: tuple[str, ...], chunk: int = 20_000):
+    """Per archive the rows of its member, each field under its own header's name."""
+
+    def table(path: str, lines: list[list[str]], places: list[int | None]) -> pd.DataFrame:
+        picked = [[path, *(f[p] if p is not None and p < len(f) else None for p in places)] for f in lines]
+        return pd.DataFrame(picked, columns=["archive", *cols], dtype=object)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for path, content in zip(b["path"], b["content"]):
-                with zipfile.ZipFile(io.BytesIO(content)) as zf:
-                    name = next((n for n in zf.namelist() if n.rsplit("/", 1)[-1].upper() == want), None)
-                    if name is None:
-                        raise FileNotFoundError(f"{member} not found in {path}")
-                    with zf.open(name) as fh:
-                        text = io.TextIOWrapper(fh, encoding="utf-8", errors="replace", newline="")
-                        buf, start = [], 0
-                        for i, line in enumerate(text):
-                            buf.append(line.rstrip("\r\n"))
-                            if len(buf) >= chunk:
-                                yield pd.DataFrame({"archive": path, "line_no": range(start, start + len(buf)),
-                                                    "line": buf})
-                                start, buf = start + len(buf), []
-                        if buf:
-                            yield pd.DataFrame({"archive": path, "line_no": range(start, start + len(buf)),
-                                                "line": buf})
+        for batch in batches:
+            for path, content in zip(batch["path"], batch["content"]):
+                with zipfile.ZipFile(io.BytesIO(content)) as archive:
+                    info = _member_of(archive, member)
+                    if info is None:
+                        raise FileNotFoundError(f"{path} has no member {member}")
+                    with archive.open(info) as lines:
+                        # bytes: a line ends at \n alone, a lone \r stays in its field
+                        header = _fields(next(lines, b"").removeprefix(b"\xef\xbb\xbf"))
+                        places = [header.index(c) if c in header else None for c in cols]
+                        absent = [c for c, p in zip(cols, places) if p is None and c not in optional]
+                        if absent:
+                            raise ValueError(f"{member} of {path} has no column {', '.join(absent)}")
+                        rows = (_fields(line) for line in lines if line.strip(b"\r\n"))
+                        while held := list(islice(rows, chunk)):
+                            yield table(path, held, places)
+
     return run
 
 
-def read_zip_member(spark: SparkSession, zips: str, member: str, cols: list[str]) -> DataFrame:
-    """One member of many zip archives, columns located by header name.
+def read_zip_member(spark: SparkSession, zips: str, member: str, cols: list[str],
+                    optional: tuple[str, ...] = LATER_COLUMNS) -> DataFrame:
+    """``archive`` and ``cols``, all strings, of one member of many zip archives.
 
-    The member is matched case-insensitively, inside a folder or not; a
-    missing member fails the job. A zip is not splittable, so each archive
-    is one task that streams its member's lines in chunks (never the whole
-    member in memory). Columns are located through each archive's own header,
-    so a column missing in older archives (e.g. FIGI) comes out null.
+    The member is matched whatever its case, inside a folder or not; an archive
+    without it fails the job. A zip is not splittable, so an archive is read by one
+    task, once, a chunk of lines at a time. Columns are found by each archive's own
+    header: those in ``optional`` are null where the header lacks them, any other
+    missing column fails the job. Fields beyond the header are left out, missing
+    ones are null, empty lines are skipped, undecodable bytes become U+FFFD.
     """
     raw = spark.read.format("binaryFile").load(zips).select("path", "content")
-    lines = raw.mapInPandas(_member_lines(member), "archive string, line_no long, line string")
-    fields = F.split(F.col("line"), "\t", -1)
-    header = lines.where(F.col("line_no") == 0).select("archive", fields.alias("_hdr"))
-    body = lines.where(F.col("line_no") > 0).select("archive", fields.alias("_f"))
-    # one header row per archive: bounded by the number of archives
-    j = body.join(F.broadcast(header), "archive")
-    out = [F.when(F.array_position("_hdr", c) > 0,
-                  F.try_element_at("_f", F.array_position("_hdr", c).cast("int"))).alias(c) for c in cols]
-    return j.select("archive", *out)
+    return raw.mapInPandas(_member_rows(member, cols, tuple(optional)), all_strings(["archive", *cols]))
 
 
 def read_cot_text(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -144,9 +159,12 @@ def read_bls_series(spark: SparkSession, path: str) -> DataFrame:
 
 def read_fred_csv(spark: SparkSession, path: str) -> DataFrame:
     """(series, d, value) from ``observation_date,value`` files named ``<SERIES>.csv``;
-    empty and ``.`` values are dropped."""
-    r = spark.read.schema(FRED_CSV).option("header", True).csv(path)
-    series = F.regexp_extract(F.col("_metadata.file_name"), r"^([^.]+)", 1)
+    empty and ``.`` values are dropped, and files without that header (an error page, say)."""
+    lines = spark.read.schema(FRED_CSV).csv(path).select("*", F.col("_metadata.file_path").alias("file"),
+                                                         F.col("_metadata.file_name").alias("name"))
+    header = F.col("observation_date").startswith("observation_date")
+    r = lines.where(~header).join(lines.where(header).select("file").distinct(), "file", "left_semi")
     return (r.where(~F.col("value").isin("", ".") & F.col("value").isNotNull())
-             .select(series.alias("series"), F.try_to_date("observation_date", "yyyy-MM-dd").alias("d"),
+             .select(F.regexp_extract("name", r"^([^.]+)", 1).alias("series"),
+                     F.try_to_date("observation_date", "yyyy-MM-dd").alias("d"),
                      F.col("value").try_cast("double").alias("value")))
