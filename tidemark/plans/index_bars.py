@@ -32,12 +32,12 @@ def index_bars(raw: DataFrame, symbols: DataFrame, start: Column | _dt.date,
                end: Column | _dt.date) -> DataFrame:
     """raw(source_code, date, open, high, low, close, volume) -> bars of the wanted symbols.
 
-    The symbol table is a handful of rows: broadcast is bounded.
+    The symbol table is the caller's: AQE measures it and broadcasts it where it is small.
     """
     s = F.lit(start) if isinstance(start, _dt.date) else start
     e = F.lit(end) if isinstance(end, _dt.date) else end
     return (raw.where(F.col("date").between(s, e))
-               .join(F.broadcast(symbols), "source_code")
+               .join(symbols, "source_code")
                .select(*BAR_COLUMNS))
 
 

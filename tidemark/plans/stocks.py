@@ -52,8 +52,7 @@ def read_tickers(spark: SparkSession, pages_path: str, types_path: str) -> DataF
 
 def ticker_table(tickers: DataFrame, codes: DataFrame) -> DataFrame:
     t = tickers.select("ticker", F.coalesce(F.col("type"), F.lit("")).alias("type"))
-    # the code table is the vendor's short list of security types: bounded
-    return (t.join(F.broadcast(codes.select("type", "type_desc")), "type", "left")
+    return (t.join(codes.select("type", "type_desc"), "type", "left")
              .select("ticker", "type", F.coalesce(F.col("type_desc"), F.lit("")).alias("type_desc")))
 
 
