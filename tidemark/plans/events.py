@@ -28,10 +28,6 @@ from ..operators.dedup import keep_one
 
 #: fixed values: the columns of the event table
 MARKET_EVENT_COLUMNS = ["time", "sym", "event_name", "release_for", "event_date_type", "summarize", "schedule_source"]
-EVENT_COLUMNS = ["time", "sym", "event_name", "release_for", "schedule_source", "summary_fallback",
-                 "ref_year", "ref_month", "ref_day2", "ref_decision", "ref_q", "ref_qy",
-                 "ref_estimate", "ref_week_ending", "auction_term", "auction_kind", "auction_reopen",
-                 "auction_amount", "auction_high_yield", "auction_btc"]
 _REF_TYPES = {"ref_year": "int", "ref_month": "int", "ref_day2": "date", "ref_decision": "date",
               "ref_q": "int", "ref_qy": "int", "ref_estimate": "string", "ref_week_ending": "date",
               "auction_term": "string", "auction_kind": "string", "auction_reopen": "boolean",

@@ -192,16 +192,16 @@ FROM od
 """
 
 
-def _with_counts(t: Tables, ev):
+def _with_counts(t: Tables, ev, *more):
     return (ev.join(_order_days(t), "d", "left")
-              .select("d", "sym", "schedule_source", F.coalesce("n_orders", F.lit(0)).alias("n_orders")))
+              .select("d", "sym", "schedule_source", *more, F.coalesce("n_orders", F.lit(0)).alias("n_orders")))
 
 
 def q_calendar_rules(spark, sf):
     t = Tables(spark, sf)
     cal, lo, hi = _cal(spark, t, trim=False)
     ev = index_events(cal, shift_lookup(cal)).where(F.col("d").between(lo, hi))
-    return _with_counts(t, ev)
+    return _with_counts(t, ev, F.col("time").cast("timestamp_ntz").alias("time"), "event_name", "summary_fallback")
 
 
 def _rule_sql(sym: str, months: tuple[int, ...] | None, date_sql: str, shift: str | None, source: str,
@@ -230,6 +230,18 @@ _SQL_RULES = " UNION ALL ".join([
               "AND year(m) % 2 = 0"),
 ])
 
+#: fixed values: New York minutes of the day of each rule event
+_RULE_MINUTES = {"SPY_REBAL_ANNOUNCE": 1035, "SPY_REBAL_EFFECTIVE": 960, "TRIPLE_WITCHING": 960, "QQQ_RECON_ANNOUNCE": 1200,
+                 "QQQ_RECON_EFFECTIVE": 960, "MSCI_REVIEW_ANNOUNCE": 1020, "MSCI_REVIEW_EFFECTIVE": 960, "RUSSELL_PRELIM": 1080,
+                 "RUSSELL_RECON_JUNE": 960, "RUSSELL_RECON_DEC": 960, "OPEX": 960, "VIX_EXP": 570, "QUARTER_END": 960, "US_ELECTION": 1200}
+
+
+def _text_sql(key: str) -> tuple[str, str]:
+    return tuple("'" + x.replace("'", "''") + "'" for x in TEXT[key])
+
+
+_SQL_RULE_TEXTS = "(VALUES " + ", ".join(f"('{k}', {m}, {', '.join(_text_sql(k))})" for k, m in _RULE_MINUTES.items()) + ")"
+
 SQL_CALENDAR_RULES = f"""
 WITH {_SQL_CAL},
 mt AS (SELECT DISTINCT month AS m FROM cal),
@@ -242,9 +254,14 @@ ev AS ({_SQL_RULES}
   UNION ALL SELECT 'RUSSELL_PRELIM', CAST(recon - 35 AS DATE), 'rule' FROM june WHERE date_trunc('month', recon - 35) = m
   UNION ALL SELECT 'RUSSELL_RECON', recon, 'official' FROM june WHERE date_trunc('month', recon) = m
   UNION ALL SELECT 'VIX_EXP', d, 'official' FROM vix WHERE date_trunc('month', d) = m),
-od AS (SELECT CAST(o_orderdate AS DATE) AS d, count(*) AS n FROM orders GROUP BY 1)
-SELECT ev.d, ev.sym, ev.schedule_source, coalesce(od.n, 0) AS n_orders
-FROM ev LEFT JOIN od USING (d), span WHERE ev.d BETWEEN span.lo AND span.hi
+od AS (SELECT CAST(o_orderdate AS DATE) AS d, count(*) AS n FROM orders GROUP BY 1),
+tx AS (SELECT * FROM {_SQL_RULE_TEXTS} v(key, mi, event_name, fallback)),
+kind AS (SELECT ev.*, CASE WHEN sym = 'RUSSELL_RECON' THEN CASE WHEN month(d) = 6 THEN 'RUSSELL_RECON_JUNE' ELSE 'RUSSELL_RECON_DEC' END
+                           ELSE sym END AS key, CASE WHEN year(d) % 4 = 0 THEN 'presidential' ELSE 'midterm' END AS k FROM ev)
+SELECT kind.d, kind.sym, kind.schedule_source, coalesce(od.n, 0) AS n_orders,
+       ((CAST(kind.d AS TIMESTAMP) + to_minutes(tx.mi)) AT TIME ZONE 'America/New_York') AT TIME ZONE 'UTC' AS time,
+       replace(tx.event_name, '{{kind}}', k) AS event_name, replace(tx.fallback, '{{kind}}', k) AS summary_fallback
+FROM kind LEFT JOIN tx USING (key) LEFT JOIN od USING (d), span WHERE kind.d BETWEEN span.lo AND span.hi
 """
 
 
@@ -375,10 +392,6 @@ def _days_sql(days: list[str]) -> str:
     return "(SELECT CAST(x AS DATE) AS d FROM (VALUES " + ", ".join(f"('{x}')" for x in days) + ") v(x))"
 
 
-def _text_sql(key: str) -> tuple[str, str]:
-    return tuple("'" + x.replace("'", "''") + "'" for x in TEXT[key])
-
-
 _LATER_SPAN = ("CAST(CAST(min(o_orderdate) AS DATE) + INTERVAL 30 YEAR AS DATE) AS lo, "
                "CAST(CAST(max(o_orderdate) AS DATE) + INTERVAL 30 YEAR AS DATE) AS hi")
 _SQL_LATER_CAL = _SQL_CAL.replace("CAST(min(o_orderdate) AS DATE) AS lo, CAST(max(o_orderdate) AS DATE) AS hi", _LATER_SPAN)

@@ -85,5 +85,3 @@ BLS_JSON = T.StructType([
     ])))])),
 ])
 FRED_CSV = "observation_date string, value string"
-
-SESSION = "d date, is_session boolean"
