@@ -67,6 +67,19 @@ def test_rules(spark, monkeypatch):
     assert quality_rules.judge(df.limit(0)).count() == 0
 
 
+def test_symbols_are_a_share_of_the_words(spark):
+    r = random.Random(2)
+    rows = [(i, clean(r, r.randrange(60, 400))) for i in range(400)]
+    short = []
+    for i in range(1000, 1010):
+        w = clean(r, 60).split()
+        short.append((i, " ".join(x + "#" if k % 5 == 0 else x for k, x in enumerate(w))))
+    df = spark.createDataFrame([(*x, "en", "a") for x in rows + short], "doc_id long, text string, lang string, source string").repartition(3)
+    got = {x["doc_id"]: x for x in quality_rules.judge(df).collect()}
+    assert not any(x["base_failed"] for x in got.values())
+    assert {d for d, x in got.items() if x["kept"]} == {d for d, _ in rows}
+
+
 def test_score(spark):
     rows, junk, _ = corpus()
     labels = [(d, 1, 0) for d, *_ in rows] + [(d, 0, 0) for d, *_ in junk] + [(5, 0, 1), (5, None, 1), (None, 1, 0), (99999, 1, 0)]

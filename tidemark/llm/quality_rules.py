@@ -114,7 +114,7 @@ def vector() -> list[Column]:
     words = F.greatest(F.col("n_words"), F.lit(1)).cast("double")
     chars = F.greatest(F.col("word_chars"), F.lit(1)).cast("double")
     lines = F.greatest(F.col("n_lines"), F.lit(1)).cast("double")
-    return [F.log(words), F.log(chars / words), F.log((F.col("n_symbols") + 1.0) / (words + 50.0)) - F.log(1.0 / (words + 50.0)),
+    return [F.log(words), F.log(chars / words), F.log((F.col("n_symbols") + 1.0) / (words + 50.0)),
             F.col("n_dup_lines") / lines, F.col("n_repeat_words") / words, F.col("n_upper") / chars]
 
 
