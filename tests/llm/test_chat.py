@@ -67,5 +67,29 @@ def test_examples_are_prefixes(spark):
         assert chat.read_piece(own[x["target_turn"]]["piece"])[1] == chat.unescape(x["text"][x["loss_start"]:x["loss_end"]])
 
 
+def test_digest_covers_the_examples(spark, monkeypatch):
+    rows = [x for x in rows_for(5) if x[0] in (1, 2, 3, None, 100, 102)]
+    rendered = chat.render(frame(spark, rows))
+    points = {(x["conv_id"], x["target_turn"]): x for x in chat.expand(rendered).collect()}
+    want = {x["conv_id"]: [0, 0, hashlib.sha256()] for x in rendered.collect()}
+    for x in sorted(chat.example_texts(rendered).collect(), key=lambda x: x["target_turn"]):
+        p, own = points[x["conv_id"], x["target_turn"]], want[x["conv_id"]]
+        pointers = [p["target_turn"], p["prompt_end"], p["loss_start"], p["loss_end"], p["text_end"]]
+        own[0] += 1
+        own[1] += len(x["text"])
+        own[2].update(f"{pointers} {hashlib.sha256(x['text'].encode()).hexdigest()}\n".encode())
+    got = {x["conv_id"]: x for x in chat.digest(rendered).collect()}
+    assert {c: (x["n_examples"], x["example_chars"], x["examples_sha256"]) for c, x in got.items()} == {c: (n, k, d.hexdigest()) for c, (n, k, d) in want.items()}
+    expand = chat.expand
+    with monkeypatch.context() as m:
+        m.setattr(chat, "expand", lambda x: expand(x).where("target_turn <> 1 OR conv_id <> 102"))
+        lost = {x["conv_id"]: x for x in chat.digest(rendered).collect()}
+    assert lost[102] != got[102] and {c: x for c, x in lost.items() if c != 102} == {c: x for c, x in got.items() if c != 102}
+    with monkeypatch.context() as m:
+        m.setattr(chat, "expand", lambda x: expand(x).withColumn("prompt_end", chat.F.col("prompt_end") + 1))
+        with pytest.raises(Exception, match="does not fit its rendering"):
+            chat.digest(rendered).collect()
+
+
 def test_empty(spark):
     assert chat.chat_digest(frame(spark, [])).count() == 0

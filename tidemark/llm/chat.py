@@ -11,6 +11,7 @@ from the start to that turn's end, and only the reply is under the loss mask.
 Examples are rows that point into the rendering (``prompt_end``,
 ``loss_start``, ``loss_end``), as the texts of all prefixes would grow with the
 square of the turns; ``example_texts`` writes them out where that is wanted.
+The digest of a conversation reads every example back, its context included.
 
 Turns are ordered by turn, then role and text; null turns come first, null
 roles and texts are empty, rows that repeat are turns of their own, and rows with
@@ -92,40 +93,64 @@ def example_texts(rendered: DataFrame) -> DataFrame:
     return rows.agg(F.concat_ws("", F.transform(ordered, lambda x: x["piece"])).alias("text")).select("conv_id", "target_turn", "text", "loss_start", "loss_end")
 
 
+def with_examples(rendered: DataFrame) -> DataFrame:
+    """The rendered turns in whose rows an example ends, with its pointers; they are null in the other rows."""
+    examples, pieces = expand(rendered).alias("e"), rendered.select("conv_id", "turn_no", "piece").alias("p")
+    same = F.col("e.conv_id").eqNullSafe(F.col("p.conv_id")) & (F.col("e.target_turn") == F.col("p.turn_no"))
+    return pieces.join(examples, same, "left").select("p.*", "e.target_turn", "e.prompt_end", "e.loss_start", "e.loss_end", "e.text_end")
+
+
 def digest(rendered: DataFrame) -> DataFrame:
-    """Per conversation, read back from the rendering and the loss masks: turns, their digest, loss text, its digest, characters."""
+    """Per conversation, read back from the rendering and its examples: turns, their digest, loss text, its digest, characters,
+    examples, the characters of all their texts, and a digest of their pointers and texts.
+
+    The text of an example is a prefix of the rendering, so that its digest is that of the stream up to its end.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
-        held: list | None = None
+        held: dict | None = None
         for batch in batches:
             out = []
-            for conv, piece, start, first, last in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "piece", "piece_start", "loss_start", "loss_end"))):
-                if held is None or held[0] != conv:
+            for conv, piece, *example in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "piece", *_POINTERS))):
+                if held is None or held["conv_id"] != conv:
                     out += [held] if held else []
-                    held = [conv, 0, hashlib.sha256(), 0, hashlib.sha256(), 0]
+                    held = {"conv_id": conv, "n_turns": 0, "turns": hashlib.sha256(), "loss_chars": 0, "loss": hashlib.sha256(), "chars": 0,
+                            "n_examples": 0, "example_chars": 0, "examples": hashlib.sha256(), "stream": hashlib.sha256()}
                 role, text = read_piece(piece)
-                held[1] += 1
-                held[2].update(f"{role}\n{text}\n".encode())
-                if first is not None:
-                    loss = unescape(piece[first - start:last - start])
-                    held[3] += len(loss)
-                    held[4].update(loss.encode())
-                held[5] += len(piece)
-            yield _digests(out, names)
+                held["n_turns"] += 1
+                held["turns"].update(f"{role}\n{text}\n".encode())
+                if example[0] is not None:
+                    _, prompt_end, first, last, text_end = example
+                    # what comes before the piece is its context: every pointer counts from the start of the rendering
+                    if prompt_end != held["chars"] or not prompt_end <= first <= last <= text_end <= prompt_end + len(piece):
+                        raise ValueError("an example does not fit its rendering")
+                    loss = unescape(piece[first - prompt_end:last - prompt_end])
+                    held["loss_chars"] += len(loss)
+                    held["loss"].update(loss.encode())
+                    whole = held["stream"].copy()
+                    whole.update(piece[:text_end - prompt_end].encode())
+                    held["n_examples"] += 1
+                    held["example_chars"] += text_end
+                    held["examples"].update(f"{example} {whole.hexdigest()}\n".encode())
+                held["stream"].update(piece.encode())
+                held["chars"] += len(piece)
+            yield _digests(out)
         if held:
-            yield _digests([held], names)
+            yield _digests([held])
+
+    ordered = with_examples(rendered).repartition("conv_id").sortWithinPartitions("conv_id", "turn_no")
+    return ordered.mapInArrow(run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, "
+                                   "n_examples long, example_chars long, examples_sha256 string")
+
 
-    # the window's order within a conversation is kept
-    rows = rendered.select("conv_id", "turn_no", "piece", "piece_start", "loss_start", "loss_end")
-    ordered = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn_no")
-    return ordered.mapInArrow(run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+_POINTERS = ("target_turn", "prompt_end", "loss_start", "loss_end", "text_end")
 
 
-def _digests(rows: list, names: list[str]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64())
-    cols = list(zip(*((c, n, t.hexdigest(), k, x.hexdigest(), f) for c, n, t, k, x, f in rows))) or [()] * 6
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names)
+def _digests(rows: list[dict]) -> pa.RecordBatch:
+    fields = {"conv_id": "conv_id", "n_turns": "n_turns", "turns_sha256": "turns", "loss_chars": "loss_chars", "loss_sha256": "loss",
+              "formatted_chars": "chars", "n_examples": "n_examples", "example_chars": "example_chars", "examples_sha256": "examples"}
+    cols = [pa.array([x[f].hexdigest() for x in rows], pa.string()) if n.endswith("sha256") else pa.array([x[f] for x in rows], pa.int64()) for n, f in fields.items()]
+    return pa.RecordBatch.from_arrays(cols, list(fields))
 
 
 def chat_digest(conversations: DataFrame) -> DataFrame:
