@@ -2,7 +2,7 @@
 
 ``STAGES`` are applied in order. Each takes the rows that its predecessor
 kept, reread from Parquet in the shared folder; all but the last return the
-columns of ``documents``. Rows with a null id are never dropped by an id.
+columns of ``documents``. Every row is decided by itself, also with a null or repeated id.
 """
 
 from __future__ import annotations
@@ -24,8 +24,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group stays."""
-    return golay_simhash.drop_near_copies(docs, words_per_shingle=3, max_bits=3)
+    """One document of each group stays, that with the smallest id."""
+    return golay_simhash.keep_one_of_each(docs, words_per_shingle=3, max_bits=3)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +46,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a word inside a benchmark window go."""
     small_batches(spark)
-    return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet"))
+    return decontaminate.drop_contaminated_rows(docs, spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet"))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

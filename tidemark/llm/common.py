@@ -66,6 +66,16 @@ def crc_mod(column: str, n: int) -> Column:
     return F.crc32(F.col(column).cast("string").cast("binary")) % n
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs``, written once, with a number ``__n`` that no two rows share."""
+    return checkpointed(docs.withColumn("__n", F.monotonically_increasing_id()))
+
+
+def without(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """The numbered rows whose number is not in ``gone`` (``__n``), without the number."""
+    return rows.join(gone, "__n", "left_anti").drop("__n")
+
+
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Arrow batches of fewer rows, as a row holds a whole text."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

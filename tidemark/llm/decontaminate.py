@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import U64, Words, checkpointed, pieces, texts_of, word_table
+from tidemark.llm.common import U64, Words, checkpointed, numbered, pieces, texts_of, without, word_table
 
 SPAN = 10
 SLOT_BITS = 22
@@ -136,6 +136,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame, span: int = SPAN) -> Da
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, span: int = SPAN) -> DataFrame:
-    """The rows of ``docs`` without a word inside a benchmark window; rows with a null id stay."""
+    """The rows of ``docs`` whose id no row with a word inside a benchmark window has; rows with a null id stay."""
     bad = contamination(docs, benchmark, span).where("contaminated").select(F.col("doc_id").alias("__gone")).distinct()
     return docs.join(bad, F.col("doc_id").cast("long") == F.col("__gone"), "left_anti")
+
+
+def drop_contaminated_rows(docs: DataFrame, benchmark: DataFrame, span: int = SPAN) -> DataFrame:
+    """The rows of ``docs`` without a word inside a benchmark window, each decided by itself, whatever its id."""
+    rows = numbered(docs)
+    found = contamination(rows.withColumn("doc_id", F.col("__n")), benchmark, span)
+    return without(rows, found.where("contaminated").select(F.col("doc_id").alias("__n")))

@@ -34,10 +34,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import U64, ascii_lower_table, checkpointed, pieces, sorted_unique, texts_of
+from tidemark.llm.common import U64, ascii_lower_table, checkpointed, numbered, pieces, sorted_unique, texts_of, without
 
 BITS, SEGMENTS = 64, 4
 SEGMENT = BITS // SEGMENTS
@@ -75,18 +75,19 @@ def fingerprints(texts: list[bytes], words_per_shingle: int) -> np.ndarray:
     return out
 
 
-def with_fingerprint(docs: DataFrame, words_per_shingle: int) -> DataFrame:
-    """(doc_id, fp long) of every row."""
+def with_fingerprint(docs: DataFrame, words_per_shingle: int, *keep: str) -> DataFrame:
+    """(doc_id, fp long) of every row, and the columns ``keep``."""
     lower = ascii_lower_table()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts = batch.column(0), [t.translate(lower) for t in texts_of(batch.column(1))]
+            texts = [t.translate(lower) for t in texts_of(batch.column(1))]
             fps = [fingerprints(texts[a:b], words_per_shingle) for a, b in pieces(texts)]
             fp = np.concatenate(fps).view(np.int64) if fps else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([ids, pa.array(fp)], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp), *(batch.column(c) for c in keep)], ["doc_id", "fp", *keep])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *keep)
+    return rows.mapInArrow(run, rows.withColumn("fp", F.lit(0).cast("long")).select("doc_id", "fp", *keep).schema)
 
 
 # -------------------------------------------------------------------- Golay
@@ -250,20 +251,33 @@ def components(links: DataFrame) -> DataFrame:
         before = now
 
 
+def _components_of(rows: DataFrame, first: Column, max_bits: int) -> DataFrame:
+    """(fp, component): of each fingerprint in ``rows`` the least ``first`` of its component's rows."""
+    classes = checkpointed(rows.groupBy("fp").agg(F.min(first).alias("first")))
+    roots = components(links_between(classes, max_bits))
+    linked = classes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    low = linked.groupBy("root").agg(F.min("first").alias("component"))
+    return linked.select("fp", "root").join(low, "root").select("fp", "component")
+
+
 def near_groups(docs: DataFrame, words_per_shingle: int = 3, max_bits: int = 3) -> DataFrame:
     """doc_id, fingerprint (hexadecimal) and component_id of every row."""
     rows = checkpointed(with_fingerprint(docs, words_per_shingle))
-    classes = rows.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
-    classes = checkpointed(classes)
-    roots = components(links_between(classes, max_bits))
-    linked = classes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    low = linked.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = linked.select("fp", "root").join(low, "root").select("fp", "component_id")
+    named = _components_of(rows, F.col("doc_id"), max_bits).withColumnRenamed("component", "component_id")
     return rows.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def drop_near_copies(docs: DataFrame, words_per_shingle: int = 3, max_bits: int = 3) -> DataFrame:
-    """The rows of ``docs`` of which one of each group stays: that with the smallest id; null ids stay."""
+    """The rows of ``docs`` whose id is the smallest of each group that has it, or null."""
     groups = near_groups(docs, words_per_shingle, max_bits)
     gone = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
     return docs.join(gone, F.col("doc_id").cast("long") == F.col("__gone"), "left_anti")
+
+
+def keep_one_of_each(docs: DataFrame, words_per_shingle: int = 3, max_bits: int = 3) -> DataFrame:
+    """One row of ``docs`` of each group, whatever the ids: that with the smallest id (null ids last), of several the first numbered."""
+    rows = numbered(docs)
+    marked = checkpointed(with_fingerprint(rows, words_per_shingle, "__n"))
+    first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "__n")
+    named = _components_of(marked, first, max_bits).select("fp", F.col("component.__n").alias("__kept"))
+    return without(rows, marked.join(named, "fp").where("__n <> __kept").select("__n"))

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import U64, Words, blank_table, checkpointed, pieces, sorted_unique, texts_of
+from tidemark.llm.common import U64, Words, blank_table, checkpointed, numbered, pieces, sorted_unique, texts_of, without
 
 FEWEST = 200
 CORE = 0.75
@@ -239,6 +239,7 @@ def judge(docs: DataFrame) -> DataFrame:
 
 
 def drop_rejected(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are kept; of rows with one id all go if one is rejected, rows with a null id stay."""
-    gone = judge(docs).where(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("__gone"), "left_anti")
+    """The rows of ``docs`` that are kept, each decided by itself, also with a null or repeated id."""
+    rows = numbered(docs)
+    judged = judge(rows.withColumn("doc_id", F.col("__n")))
+    return without(rows, judged.where(~F.col("kept")).select(F.col("doc_id").alias("__n")))
