@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import chat, decontaminate, golay_simhash, langid, license_scan, mixing, ppm, quality_model, quality_rules, substring_dedup
+from tidemark.llm import chat, decontaminate, golay_simhash, langid, license_scan, mixing, periodic_runs, ppm, quality_model, quality_rules, substring_dedup
 from tidemark.llm.common import small_batches
 
 
@@ -56,6 +56,10 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(table(spark, sf_dir, "documents"))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.run_digest(periodic_runs.collapse_runs(periodic_runs.planted(table(spark, sf_dir, "documents"))))
+
+
 OP3_SQL = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
 b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
@@ -83,4 +87,5 @@ QUERIES = {
     "op8_lm_score": (op8_lm_score, None),
     "op9_near_dedup": (op9_near_dedup, None),
     "op10_mix": (op10_mix, None),
+    "op13_periodic_runs": (op13_periodic_runs, None),
 }
