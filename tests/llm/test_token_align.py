@@ -60,6 +60,15 @@ def test_chunks_give_the_tokens_of_whole_texts(monkeypatch):
                 assert [i for p in encoder.encode(parts) for i in p] == whole
 
 
+def test_ids_equal_those_of_the_vocabulary_file():
+    from tokenizers import Tokenizer
+    a = Tokenizer.from_file(f"{ta.FOLDER}/{ta.BYTE_FILE}")
+    a.encode_special_tokens = True
+    texts = samples() + ["".join(map(chr, [*range(0, 0xD800, 7), *range(0xE000, 0x11000, 5), *range(0x1D400, 0x1D800, 3), *range(0x20000, 0x20400, 9)]))]
+    texts += [" ".join(texts[-1]), "a".join(texts[-2])]
+    assert ta.encoders(ta.FOLDER)[0].encode(texts) == [a.encode(" " + t, add_special_tokens=False).ids for t in texts]
+
+
 def brute_rows(texts):
     from sentencepiece import SentencePieceProcessor
     from tokenizers import Tokenizer

@@ -26,6 +26,7 @@ their own, also with a null or repeated id.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import uuid
@@ -44,6 +45,8 @@ from tidemark.session import checkpoint_dir
 #: where the vocabulary files are, and which are A and B
 FOLDER = "/opt/tokenizers"
 BYTE_FILE, PIECE_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
+# fixed value: how the vocabulary of A cuts a text before merging
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: an id pair is A's id * SHIFT + B's id
 SHIFT = 1 << 21
 #: bytes of text in a block
@@ -79,23 +82,27 @@ class Encoder:
 
 @lru_cache(maxsize=4)
 def encoders(folder: str) -> tuple[Encoder, Encoder]:
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from sentencepiece import SentencePieceProcessor
-    from tokenizers import Tokenizer
+    from tiktoken import Encoding
 
-    a = Tokenizer.from_file(os.path.join(folder, BYTE_FILE))
-    a.encode_special_tokens = True
+    with open(os.path.join(folder, BYTE_FILE), encoding="utf-8") as f:
+        kept = json.load(f)
+    model, special = kept["model"], {t["id"] for t in kept["added_tokens"]}
     alphabet = byte_alphabet()
-    names = a.get_vocab(with_added_tokens=True)
-    table: list[bytes] = [b""] * (max(names.values()) + 1)
-    for name, i in names.items():
-        table[i] = bytes(alphabet[c] for c in name) if all(c in alphabet for c in name) else name.encode()
+    table: list[bytes] = [b""] * (max(model["vocab"].values()) + 1)
+    for name, i in model["vocab"].items():
+        table[i] = name.encode() if i in special else bytes(alphabet[c] for c in name)
+    # ids can stand for the order of merges only if they are in that order
+    merged = ["".join(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
+    if [model["vocab"][m] for m in merged] != list(range(256, 256 + len(merged))):
+        raise ValueError(f"{BYTE_FILE} does not number its tokens by their merges")
+    a = Encoding("bytes", pat_str=WORD_PATTERN, mergeable_ranks={table[i]: i for i in range(256 + len(merged))}, special_tokens={})
     b = SentencePieceProcessor(model_file=os.path.join(folder, PIECE_FILE))
     pieces = [bytes([int(p[3:5], 16)]) if b.is_byte(i) else p.replace("▁", " ").encode()
               for i, p in enumerate(b.id_to_piece(list(range(b.get_piece_size()))))]
 
     def encode_a(chunks: list[str]) -> list[list[int]]:
-        return [e.ids for e in a.encode_batch_fast([" " + c for c in chunks], add_special_tokens=False)]
+        return [a.encode_ordinary(" " + c) for c in chunks]
 
     return Encoder(table, encode_a), Encoder(pieces, lambda chunks: b.encode(chunks, num_threads=1))
 
