@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import chat, decontaminate, golay_simhash, langid, license_scan, mixing, periodic_runs, ppm, quality_model, quality_rules, substring_dedup, token_align
+from tidemark.llm import chat, decontaminate, disclosure, golay_simhash, langid, license_scan, mixing, periodic_runs, ppm, quality_model, quality_rules, substring_dedup, token_align
 from tidemark.llm.common import small_batches
 
 
@@ -56,6 +56,10 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return disclosure.span_digest(disclosure.personal_data(table(spark, sf_dir, "documents")))
+
+
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_align.alignment_digest(table(spark, sf_dir, "documents"))
 
@@ -91,6 +95,7 @@ QUERIES = {
     "op8_lm_score": (op8_lm_score, None),
     "op9_near_dedup": (op9_near_dedup, None),
     "op10_mix": (op10_mix, None),
+    "op11_personal_data": (op11_personal_data, None),
     "op12_token_alignment": (op12_token_alignment, None),
     "op13_periodic_runs": (op13_periodic_runs, None),
 }
