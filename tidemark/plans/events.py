@@ -473,21 +473,41 @@ def _nfp_dates(mo: DataFrame, nfp_rule: DataFrame, schedules: DataFrame | None,
     return j.select("m", "y", "mo", nfp.alias("nfp")).where(F.col("nfp").isNotNull())
 
 
-def treasury_events(spark: SparkSession, cal: DataFrame, auctions: DataFrame | None = None) -> DataFrame:
-    """QRA statements and one event per de-duplicated coupon auction.
-
-    ``auctions``: the union of the feeds with ``feed_rank`` (0 = announced).
-    Per (auction day, cusip) the first feed wins, as the source code does.
+def coupon_auctions(auctions: DataFrame, prefer: str = "first") -> DataFrame:
+    """One row per (auction day ``d``, cusip) of the coupon auctions of the feeds.
+
+    ``auctions``: the union of the feeds with ``feed_rank`` (0 = announced), and where the
+    reader gives them ``file`` and ``place``: the order of arrival inside a feed. The
+    first auction to arrive wins; with ``prefer="results"`` the first of the
+    result feeds, and the announced one only where there is none. A day that does not parse
+    fails the job: ``check_auctions`` has taken such rows out and lists them.
     """
+    if prefer not in ("first", "results"):
+        raise ValueError(f"prefer is first or results, not {prefer}")
+    text = F.coalesce(F.substring("auctionDate", 1, 10), F.lit(""))
+    day = F.try_to_date(text, "yyyy-MM-dd")
+    bad = F.raise_error(F.concat(F.lit("auction with a bad date: "), text))
+    a = (auctions.where(F.col("type").isin("Note", "Bond") & F.col("originalSecurityTerm").isin(*AUCTION_TERMS))
+                 .withColumn("d", F.when(day.isNull(), bad.cast("date")).otherwise(day))
+                 .select("d", "cusip", *[c for c in auctions.columns if c in _AUCTION_COLUMNS]))
+    arrival = [F.col(c) for c in ("feed_rank", "file", "place") if c in a.columns]
+    if prefer == "results":
+        arrival.insert(0, F.col("feed_rank") == 0)
+    return keep_one(a, ["d", "cusip"], arrival)
+
+
+#: what the events need of an auction, and its order of arrival
+_AUCTION_COLUMNS = ("type", "originalSecurityTerm", "reopening", "offeringAmount", "highYield", "bidToCoverRatio", "feed_rank", "file", "place")
+
+
+def treasury_events(spark: SparkSession, cal: DataFrame, auctions: DataFrame | None = None, prefer: str = "first") -> DataFrame:
+    """QRA statements and one event per de-duplicated coupon auction (see ``coupon_auctions``)."""
     days = cal.select("d")
     qra = spark.createDataFrame([(s,) for s in QRA_DATES], "s string").select(F.to_date("s").alias("d"))
     n, f = _txt("QRA")
     out = [_emit(qra.join(days, "d"), "QRA", "d", 8, 30, n, f, "official")]
     if auctions is not None:
-        a = (auctions.where(F.col("type").isin("Note", "Bond") & F.col("originalSecurityTerm").isin(*AUCTION_TERMS))
-                     .withColumn("d", F.try_to_date(F.substring("auctionDate", 1, 10), "yyyy-MM-dd")))
-        a = keep_one(a, ["d", "cusip"], [F.col("feed_rank")])
-        a = a.join(days, "d")
+        a = coupon_auctions(auctions, prefer).join(days, "d")
         term = F.split_part(F.col("originalSecurityTerm"), F.lit("-"), F.lit(1))
         kind = F.when(F.col("type") == "Note", F.lit("note")).otherwise(F.lit("bond"))
         reopen = F.col("reopening") == "Yes"

@@ -13,8 +13,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .schemas import (BLS_JSON, FIGI_REPLY, FRED_CSV, FRED_RELEASE_DATES_JSON, FRED_RELEASE_JSON,
-                      TREASURY_AUCTION, all_strings)
+from .checked import check_auctions, check_bls_series, check_fred_csv, check_release_dates
+from .schemas import FIGI_REPLY, FRED_RELEASE_JSON, all_strings
 
 #: fixed value: the column that only newer archives have
 LATER_COLUMNS = ("FIGI",)
@@ -124,47 +124,24 @@ def read_fred_release_names(spark: SparkSession, path: str) -> DataFrame:
 def read_fred_release_dates(spark: SparkSession, path: str) -> DataFrame:
     """(release, year, d); a payload that does not parse yields no row for its
     (release, year), i.e. "schedule not available"; one date that does not
-    parse makes its whole payload unusable."""
-    r = spark.read.schema(FRED_RELEASE_DATES_JSON).option("mode", "PERMISSIVE").json(path)
-    bad = F.exists("release_dates", lambda x: F.try_to_date(x["date"], "yyyy-MM-dd").isNull())
-    ok = r.where(F.col("_corrupt_record").isNull() & F.col("release_dates").isNotNull() & ~bad)
-    return (ok.select("release", "year", F.explode_outer("release_dates").alias("x"))
-              .select("release", "year", F.try_to_date(F.col("x.date"), "yyyy-MM-dd").alias("d")))
+    parse makes its whole payload unusable (``check_release_dates`` lists them)."""
+    return check_release_dates(spark, path).good
 
 
 def read_treasury_auctions(spark: SparkSession, feeds: dict[str, str]) -> DataFrame:
-    """Union of the auction feeds with a ``feed_rank`` in the given order."""
-    out = None
-    for rank, (feed, path) in enumerate(feeds.items()):
-        df = (spark.read.schema(TREASURY_AUCTION).option("multiLine", True).option("mode", "PERMISSIVE")
-                   .json(path).where(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
-                   .withColumn("feed", F.lit(feed)).withColumn("feed_rank", F.lit(rank)))
-        out = df if out is None else out.unionByName(df)
-    return out
+    """Union of the auction feeds with a ``feed_rank`` in the given order, and each auction's ``file`` and ``place``.
+
+    ``check_auctions`` lists what is left out."""
+    return check_auctions(spark, feeds).good
 
 
 def read_bls_series(spark: SparkSession, path: str) -> DataFrame:
     """(series, year, month, value) of successful payloads; keeps M01..M12 and
     numeric values only (``M13``, ``Q01``, ``-`` are dropped)."""
-    r = spark.read.schema(BLS_JSON).json(path).where(F.col("status") == "REQUEST_SUCCEEDED")
-    s = r.select(F.explode("Results.series").alias("s"))
-    p = s.select(F.col("s.seriesID").alias("series"), F.explode("s.data").alias("p"))
-    from ..functions.casts import try_double, try_long
-    return (p.where(F.col("p.period").startswith("M") & (F.col("p.period") != "M13"))
-             .select("series", try_long(F.col("p.year")).cast("int").alias("year"),
-                     try_long(F.substring(F.col("p.period"), 2, 2)).cast("int").alias("month"),
-                     try_double(F.col("p.value")).alias("value"))
-             .dropna(subset=["year", "month", "value"]))
+    return check_bls_series(spark, path).good
 
 
 def read_fred_csv(spark: SparkSession, path: str) -> DataFrame:
     """(series, d, value) from ``observation_date,value`` files named ``<SERIES>.csv``;
-    empty and ``.`` values are dropped, and files without that header (an error page, say)."""
-    lines = spark.read.schema(FRED_CSV).csv(path).select("*", F.col("_metadata.file_path").alias("file"),
-                                                         F.col("_metadata.file_name").alias("name"))
-    header = F.col("observation_date").startswith("observation_date")
-    r = lines.where(~header).join(lines.where(header).select("file").distinct(), "file", "left_semi")
-    return (r.where(~F.col("value").isin("", ".") & F.col("value").isNotNull())
-             .select(F.regexp_extract("name", r"^([^.]+)", 1).alias("series"),
-                     F.try_to_date("observation_date", "yyyy-MM-dd").alias("d"),
-                     F.col("value").try_cast("double").alias("value")))
+    empty and ``.`` values are dropped, ``check_fred_csv`` lists what is unusable (files without that header, bad lines)."""
+    return check_fred_csv(spark, path).good
