@@ -5,11 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Unicode White_Space (what the source's strip uses), spelled out so the
-# pattern means the same in Java and RE2 regex engines.
-WS_CLASS = (r"[\t\n\x0B\f\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}"
-            r"\x{202F}\x{205F}\x{3000}]")
-_EDGE_WS = f"^{WS_CLASS}+|{WS_CLASS}+$"
+# Unicode White_Space, which is what the source's strip uses.
+WS_CHARS = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 def _c(c: Column | str) -> Column:
@@ -18,7 +15,7 @@ def _c(c: Column | str) -> Column:
 
 def strip_chars(c: Column | str) -> Column:
     """Strip leading/trailing whitespace (tabs and newlines too, unlike ``trim``)."""
-    return F.regexp_replace(_c(c), _EDGE_WS, "")
+    return F.btrim(_c(c), F.lit(WS_CHARS))
 
 
 def blank_to_null(c: Column | str) -> Column:

@@ -16,17 +16,11 @@ from ..functions.dates import sec_date_text
 from ..functions.strings import blank_to_null, strip_chars
 from ..operators.concat import resolve_references
 from ..operators.coverage import share_report
+from ..operators.dedup import keep_one
 from ..operators.versions import effective_versions
 from .periods import filing_window
 
 FORMS = ["13F-HR", "13F-HR/A"]
-OUTPUT_COLUMNS = [
-    "period_of_report", "cik", "manager_name", "filing_date", "submission_type", "report_type",
-    "is_amendment", "amendment_no", "amendment_type", "accession_number", "issuer_name",
-    "title_of_class", "cusip", "figi", "sym", "sym_und", "value", "shares", "shares_type",
-    "put_call", "investment_discretion", "other_manager", "other_manager_names",
-    "other_manager_ciks", "voting_sole", "voting_shared", "voting_none",
-]
 
 
 def filings(sub: DataFrame, cov: DataFrame, periods: DataFrame,
@@ -36,24 +30,36 @@ def filings(sub: DataFrame, cov: DataFrame, periods: DataFrame,
     The period text must equal the upper-case ``DD-MON-YYYY`` exactly (no
     trim); the form type is compared stripped. With ``own_archive_only`` and
     an ``archive`` column, late filings found in other archives are ignored,
-    as when each period is built from its own archive.
+    as when each period is built from its own archive; without it a filing found in
+    several archives is taken from the first by name. ``archive`` stays a column: all
+    members of a filing come from the archive that the filing was taken from.
     """
     # one row per quarter: a bounded table
     p = F.broadcast(periods.select("period", sec_date_text(F.col("period")).alias("_ptext"),
                                    filing_window(F.col("period"))[2].alias("_archive")))
     s = sub.join(p, sub["PERIODOFREPORT"] == F.col("_ptext"))
-    if own_archive_only and "archive" in sub.columns:
-        s = s.where(F.regexp_extract(F.col("archive"), r"([^/]+)$", 1) == F.col("_archive"))
+    kept = []
+    if "archive" in sub.columns:
+        kept = ["archive"]
+        if own_archive_only:
+            s = s.where(F.regexp_extract(F.col("archive"), r"([^/]+)$", 1) == F.col("_archive"))
+        else:
+            s = keep_one(s, ["period", "ACCESSION_NUMBER"], [F.col("archive")])
     s = s.where(strip_chars("SUBMISSIONTYPE").isin(*FORMS)).drop("_ptext", "_archive")
-    f = s.join(cov.drop("archive") if "archive" in cov.columns else cov, "ACCESSION_NUMBER", "left")
+    f = s.join(cov, _filing_keys(s, cov), "left")
     return f.select(
-        "period", "ACCESSION_NUMBER", "CIK", "FILINGMANAGER_NAME", "SUBMISSIONTYPE", "REPORTTYPE",
+        "period", "ACCESSION_NUMBER", *kept, "CIK", "FILINGMANAGER_NAME", "SUBMISSIONTYPE", "REPORTTYPE",
         F.to_date(F.col("FILING_DATE"), "dd-MMM-yyyy").alias("filing_date"),
         (F.col("ISAMENDMENT") == "Y").alias("is_amendment"),
         try_long("AMENDMENTNO").alias("amendment_no"),
         strip_chars(F.coalesce(F.col("AMENDMENTTYPE"), F.lit(""))).alias("amendment_type"))
 
 
+def _filing_keys(a: DataFrame, b: DataFrame) -> list[str]:
+    """What the members of one filing share: its number, and where it is known the archive."""
+    return ["ACCESSION_NUMBER", *(["archive"] if "archive" in a.columns and "archive" in b.columns else [])]
+
+
 def effective_filings(f: DataFrame) -> DataFrame:
     """Per (period, manager): the last original or restatement and every later
     NEW HOLDINGS amendment; all filings when there is no such base."""
@@ -63,7 +69,7 @@ def effective_filings(f: DataFrame) -> DataFrame:
 
 def filing_meta(kept: DataFrame) -> DataFrame:
     return kept.select(
-        "period", "ACCESSION_NUMBER", F.col("CIK").alias("cik"),
+        "period", *[c for c in ("ACCESSION_NUMBER", "archive") if c in kept.columns], F.col("CIK").alias("cik"),
         F.col("FILINGMANAGER_NAME").alias("manager_name"), "filing_date",
         F.col("SUBMISSIONTYPE").alias("submission_type"), F.col("REPORTTYPE").alias("report_type"),
         "is_amendment", "amendment_no", blank_to_null("amendment_type").alias("amendment_type"))
@@ -89,8 +95,9 @@ def holdings_13f(sub: DataFrame, cov: DataFrame, info: DataFrame, om2: DataFrame
         info = info.withColumn("FIGI", F.lit(None).cast("string"))
     # the holding lines are large and the filing metadata small; AQE decides
     # the strategy from the measured metadata size
-    df = info.join(meta, "ACCESSION_NUMBER")
-    om = other_manager_names(df, om2)
+    df = info.join(meta, _filing_keys(info, meta))
+    keys = _filing_keys(om2, meta)
+    om = other_manager_names(df, om2.join(meta.select(*keys), keys, "left_semi"))
     df = df.join(om, ["ACCESSION_NUMBER", "OTHERMANAGER"], "left")
     # Spark resolves names case-insensitively: derived columns get internal
     # names until the final projection (``cusip`` would clash with ``CUSIP``)

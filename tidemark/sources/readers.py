@@ -3,18 +3,12 @@ many dates / quarters / years are read in one scan."""
 
 from __future__ import annotations
 
-import io
-import zipfile
-from collections.abc import Iterator
-from itertools import islice
-from pathlib import PurePosixPath
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .checked import check_auctions, check_bls_series, check_fred_csv, check_release_dates
 from .schemas import FIGI_REPLY, FRED_RELEASE_JSON, all_strings
+from .zips import list_archives, read_members
 
 #: fixed value: the column that only newer archives have
 LATER_COLUMNS = ("FIGI",)
@@ -46,60 +40,19 @@ def read_sec_tsv(spark: SparkSession, path: str | list[str], cols: list[str]) ->
                  .csv(path))
 
 
-def _member_of(archive: zipfile.ZipFile, member: str) -> zipfile.ZipInfo | None:
-    """The first file called ``member`` in any folder of the archive, whatever its case."""
-    files: dict[str, zipfile.ZipInfo] = {}
-    for info in archive.infolist():
-        if not info.is_dir():
-            files.setdefault(PurePosixPath(info.filename).name.casefold(), info)
-    return files.get(member.casefold())
-
-
-def _fields(line: bytes) -> list[str]:
-    return line.removesuffix(b"\n").removesuffix(b"\r").decode("utf-8", "replace").split("\t")
-
-
-def _member_rows(member: str, cols: list[str], optional: tuple[str, ...], chunk: int = 20_000):
-    """Per archive the rows of its member, each field under its own header's name."""
-
-    def table(path: str, lines: list[list[str]], places: list[int | None]) -> pd.DataFrame:
-        picked = [[path, *(f[p] if p is not None and p < len(f) else None for p in places)] for f in lines]
-        return pd.DataFrame(picked, columns=["archive", *cols], dtype=object)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for path, content in zip(batch["path"], batch["content"]):
-                with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                    info = _member_of(archive, member)
-                    if info is None:
-                        raise FileNotFoundError(f"{path} has no member {member}")
-                    with archive.open(info) as lines:
-                        # bytes: a line ends at \n alone, a lone \r stays in its field
-                        header = _fields(next(lines, b"").removeprefix(b"\xef\xbb\xbf"))
-                        places = [header.index(c) if c in header else None for c in cols]
-                        absent = [c for c, p in zip(cols, places) if p is None and c not in optional]
-                        if absent:
-                            raise ValueError(f"{member} of {path} has no column {', '.join(absent)}")
-                        rows = (_fields(line) for line in lines if line.strip(b"\r\n"))
-                        while held := list(islice(rows, chunk)):
-                            yield table(path, held, places)
-
-    return run
-
-
 def read_zip_member(spark: SparkSession, zips: str, member: str, cols: list[str],
-                    optional: tuple[str, ...] = LATER_COLUMNS) -> DataFrame:
+                    optional: tuple[str, ...] = LATER_COLUMNS, names: list[str] | None = None) -> DataFrame:
     """``archive`` and ``cols``, all strings, of one member of many zip archives.
 
-    The member is matched whatever its case, inside a folder or not; an archive
-    without it fails the job. A zip is not splittable, so an archive is read by one
-    task, once, a chunk of lines at a time. Columns are found by each archive's own
+    ``zips`` is an archive, a folder or a pattern; ``names`` leaves only archives called so. The
+    member is matched whatever its case, inside a folder or not; an archive
+    without it fails the job. An archive is read by one task, its member only, a
+    chunk of lines at a time (see ``zips``). Columns are found by each archive's own
     header: those in ``optional`` are null where the header lacks them, any other
     missing column fails the job. Fields beyond the header are left out, missing
     ones are null, empty lines are skipped, undecodable bytes become U+FFFD.
     """
-    raw = spark.read.format("binaryFile").load(zips).select("path", "content")
-    return raw.mapInPandas(_member_rows(member, cols, tuple(optional)), all_strings(["archive", *cols]))
+    return read_members(spark, list_archives(zips, names), [member], cols, optional).drop("member")
 
 
 def read_cot_text(spark: SparkSession, paths: str | list[str]) -> DataFrame:

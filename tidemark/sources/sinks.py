@@ -19,13 +19,12 @@ def write_partitioned(df: DataFrame, path: str, keys: Sequence[str],
     files; ``sort_within`` orders rows inside each file (no global sort).
     Never write to a path the same plan reads from.
     """
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     # AQE splits the partitions of large days and joins those of small ones
     out = df.hint("rebalance", *keys)
     if sort_within:
         out = out.sortWithinPartitions(*[F.col(k) for k in keys], *sort_within)
-    out.write.mode("overwrite").option("compression", compression).partitionBy(*keys).parquet(path)
+    (out.write.mode("overwrite").option("compression", compression).option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*keys).parquet(path))
 
 
 def write_table(df: DataFrame, path: str, compression: str = "zstd") -> None:
