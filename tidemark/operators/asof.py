@@ -3,12 +3,12 @@
 For every left row: the latest right row of the same key whose time is on
 or before the left time and at most ``tolerance`` older; null otherwise.
 
-Spark has no public as-of join. The plan here is a union + window, but the
-window is partitioned by (key, time bucket) with bucket width = tolerance,
-so a single hot key is spread over its buckets instead of landing in one
-task. A match can only come from the left row's own bucket or the previous
-one; the previous bucket contributes just its last right row, computed by a
-(map-side combined) aggregation and shifted one bucket forward as a seed.
+Spark has no public as-of join. Left and right rows are put into one order, by key, time
+and side, and cut into ranges of about ``ROWS`` rows by a range partitioning, written
+once. Inside a range the match is the last right row before a left row, by a window. What comes
+from earlier ranges is the last right row of theirs: one row a range by an
+aggregate, carried forward over that small table. So neither a hot key nor a
+tolerance that spans all rows sets the size of a task: a key may fill many ranges.
 """
 
 from __future__ import annotations
@@ -20,6 +20,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import checkpointed
+
+#: rows of both sides in a range
+ROWS = 4_000_000
+
 
 def _ordinal(df: DataFrame, col: str):
     """Time column as a long in its natural unit (days for dates, micros else)."""
@@ -38,7 +43,10 @@ def _units(tolerance: _dt.timedelta, unit: str) -> int:
 def asof_backward(left: DataFrame, right: DataFrame, by: Sequence[str], left_on: str,
                   right_on: str, tolerance: _dt.timedelta, right_cols: Sequence[str],
                   prefix: str = "match_") -> DataFrame:
-    """Left rows plus ``prefix + c`` for each right column and ``prefix + right_on``."""
+    """Left rows plus ``prefix + c`` for each right column and ``prefix + right_on``.
+
+    Of right rows at the same time the one with the largest values counts. A null key or time matches nothing.
+    """
     lt, unit = _ordinal(left, left_on)
     rt, unit_r = _ordinal(right, right_on)
     if unit != unit_r:
@@ -51,30 +59,27 @@ def asof_backward(left: DataFrame, right: DataFrame, by: Sequence[str], left_on:
     usable = rt.isNotNull()
     for k in by:
         usable = usable & F.col(k).isNotNull()
-    r = right.where(usable).select(*by, rt.alias("_t"),
-                     F.struct(*[F.col(c) for c in payload_fields]).alias("_p"))
-    r = r.withColumn("_b", F.floor(F.col("_t") / F.lit(width)))
-    seed = (r.groupBy(*by, "_b")
-             .agg(F.max(F.struct("_t", "_p")).alias("_last"))
-             .select(*by, (F.col("_b") + 1).alias("_b"), F.col("_last._t").alias("_t"),
-                     F.col("_last._p").alias("_p")))
-    rights = r.unionByName(seed).withColumn("_side", F.lit(0))
-
-    # a null key or time matches nothing: such rows are spread over buckets that have no right rows
-    known = lt.isNotNull()
+    r = right.where(usable).select(*by, rt.alias("_t"), F.struct(*[F.col(c) for c in payload_fields]).alias("_p")).withColumn("_side", F.lit(0))
+    l = left.withColumns({"_t": lt, "_side": F.lit(1), "_p": F.lit(None).cast(r.schema["_p"].dataType)})
+    both = l.unionByName(r, allowMissingColumns=True)
+    # rows that tie in everything else still spread over ranges
+    plain = [f.name for f in left.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    order = [*by, "_t", "_side", "_p", F.xxhash64(*plain)]
+    ranges = max(int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-both.count() // ROWS))
+    placed = both.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id())
+    placed = checkpointed(placed)
+
+    # one row a range: the last right row of all earlier ones
+    here = F.when(F.col("_side") == 0, F.struct(*by, "_t", "_p"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    carried = placed.groupBy("_range").agg(F.max(here).alias("_last")).select("_range", F.max("_last").over(before).alias("_before"))
+    placed = placed.join(F.broadcast(carried), "_range")
+
+    w = Window.partitionBy("_range").orderBy(*by, "_t", "_side", "_p").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    last = F.coalesce(F.last(here, ignorenulls=True).over(w), F.col("_before"))
+    found = placed.withColumn("_m", last).where(F.col("_side") == 1)
+    keep = F.col("_t") - F.col("_m._t") <= F.lit(width)
     for k in by:
-        known = known & F.col(k).isNotNull()
-    nowhere = F.lit(-(1 << 60)) - F.pmod(F.monotonically_increasing_id(), F.lit(4096))
-    l = (left.withColumn("_t", lt)
-             .withColumn("_b", F.when(known, F.floor(F.col("_t") / F.lit(width))).otherwise(nowhere))
-             .withColumn("_side", F.lit(1))
-             .withColumn("_p", F.lit(None).cast(r.schema["_p"].dataType)))
-    both = l.unionByName(rights, allowMissingColumns=True)
-    w = (Window.partitionBy(*by, "_b").orderBy("_t", "_side", "_p")
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    found = (both.withColumn("_m", F.last("_p", ignorenulls=True).over(w))
-                 .withColumn("_mt", F.last(F.when(F.col("_side") == 0, F.col("_t")), ignorenulls=True).over(w))
-                 .where(F.col("_side") == 1))
-    keep = F.col("_m").isNotNull() & (F.col("_t") - F.col("_mt") <= F.lit(width))
-    outs = [F.when(keep, F.col("_m").getField(c)).alias(prefix + c) for c in payload_fields]
+        keep = keep & (F.col(k) == F.col(f"_m.{k}"))
+    outs = [F.when(keep, F.col("_m._p").getField(c)).alias(prefix + c) for c in payload_fields]
     return found.select(*left.columns, *outs)

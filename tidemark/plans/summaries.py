@@ -1,9 +1,9 @@
 """Data-driven summaries of past events, joined from an observation table.
 
 ``observations``: (series, d, value) — monthly series at the first day of
-the month, daily/weekly/quarterly series at their observation date. Every
-lookup is an exact-date left join or an as-of join, so a missing value only
-drops that part of the text; a row never fails (``try_divide``).
+the month, daily/weekly/quarterly series at their observation date. All
+points that the events ask for are looked up together (``observed_values``); a missing value only
+drops that part of the text, and a row never fails (``try_divide``).
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from ..functions.numbers import join_parts, pct_change, py_fixed
 from ..functions.casts import try_double
 from ..session import checkpointed
 from ..operators.asof import asof_backward
+from .events import fmt
 
 # Observation series used by the summaries.
 BLS_SERIES = {
@@ -57,26 +58,91 @@ def observations(bls: DataFrame, fred: DataFrame) -> DataFrame:
     return unique_observations(monthly.unionByName(fred, allowMissingColumns=True))
 
 
-def _lookup(ev: DataFrame, obs: DataFrame, alias: str, series: str, day: Column) -> DataFrame:
-    o = obs.where(F.col("series") == series).select(F.col("d").alias(f"_{alias}_d"),
-                                                    F.col("value").alias(alias))
-    return (ev.withColumn(f"_{alias}_k", day)
-              .join(o, F.col(f"_{alias}_k") == F.col(f"_{alias}_d"), "left")
-              .drop(f"_{alias}_k", f"_{alias}_d"))
+# The sentences of the summaries.
+SENTENCES = {
+    "CPI": "CPI {ref}: {body} (BLS).",
+    "PPI": "PPI final demand {ref}: {body} (BLS).",
+    "NFP": "Nonfarm payrolls {change}k in {ref}{unemployment} (BLS).",
+    "NFP_UNEMPLOYMENT": "; unemployment rate {rate}%",
+    "JOBLESS_CLAIMS": "Initial jobless claims {value}k, week ending {week} (DOL via FRED).",
+    "GDP": "Real GDP Q{q} {qy} ({estimate} estimate): {value} q/q SAAR (BEA via FRED, current vintage).",
+    "PCE": "PCE price index {ref}: {head} m/m{extra} (BEA via FRED, current vintage).",
+    "RETAIL_SALES": "Retail sales {ref}: {head} m/m{extra} (Census via FRED, current vintage).",
+    "DURABLE_GOODS": "Durable goods orders {ref}: {head} m/m{extra} (Census via FRED, current vintage).",
+    "PCE_EXTRA": "; core {value} m/m",
+    "RETAIL_SALES_EXTRA": "; ex-autos {value} m/m",
+    "RANGE": "{low}–{high}%",
+    "UPPER": "upper bound {high}%",
+    "FOMC_HELD": "FOMC held the target range at {range}.",
+    "FOMC_MOVED": "FOMC {verb} rates {points}bp to {range} (upper bound was {before}%).",
+    "ECB_HELD": "ECB held the deposit facility rate at {after}%.",
+    "ECB_MOVED": "ECB {verb} the deposit facility rate {points}bp to {after}%.",
+    "AUCTION": "Treasury {term}-year {kind}{reopen}: high yield {yield}%, bid-to-cover {cover}{amount}.",
+}
+
+#: the longest that an as-of observation may be older than its day
+_LONGEST = 25
+
+
+def _exact_points() -> dict[str, list[tuple[str, str, Column]]]:
+    """By symbol the observations that an event needs on a given day: (role, series, day)."""
+    month = F.make_date(F.col("ref_year"), F.col("ref_month"), F.lit(1))
+
+    def back(name: str, series: str, *months: int) -> list:
+        return [(f"{name}_{n}", series, F.add_months(month, -n)) for n in months]
+
+    quarter = F.make_date(F.col("ref_qy"), F.col("ref_q") * 3 - 2, F.lit(1))
+    return {
+        "CPI": [*back("sa", BLS_SERIES["cpi_sa"], 0, 1), *back("nsa", BLS_SERIES["cpi_nsa"], 0, 12), *back("core", BLS_SERIES["cpi_core_sa"], 0, 1)],
+        "PPI": [*back("sa", BLS_SERIES["ppi_sa"], 0, 1), *back("nsa", BLS_SERIES["ppi_nsa"], 0, 12)],
+        "NFP": [*back("head", BLS_SERIES["payrolls"], 0, 1), *back("unemp", BLS_SERIES["unemp"], 0)],
+        "PCE": [*back("head", FRED["pce"], 0, 1), *back("extra", FRED["pce_core"], 0, 1)],
+        "RETAIL_SALES": [*back("head", FRED["retail"], 0, 1), *back("extra", FRED["retail_ex"], 0, 1)],
+        "DURABLE_GOODS": back("head", FRED["durables"], 0, 1),
+        "JOBLESS_CLAIMS": [("point", FRED["claims"], F.col("ref_week_ending"))],
+        "GDP": [("point", FRED["gdp"], quarter)],
+    }
+
 
+def _asof_points() -> dict[str, list[tuple[str, str, Column, int]]]:
+    """By symbol the latest observations that an event needs: (role, series, day, how many days older at most)."""
+    day, decision = F.col("ref_day2"), F.col("ref_decision")
+    return {
+        "FOMC": [("before", FRED["upper"], day, 10), ("after", FRED["upper"], F.date_add(day, 3), 10), ("any_low", FRED["lower"], F.date_add(day, 10), _LONGEST)],
+        "ECB": [("before", FRED["ecb"], decision, 10), ("after", FRED["ecb"], F.date_add(decision, 12), 10)],
+    }
 
-def _asof(ev: DataFrame, obs: DataFrame, alias: str, series: str, day: Column,
-          days_back: int) -> DataFrame:
-    """Adds ``alias`` (value) and ``alias_d`` (its date): the latest observation
-    on or before ``day`` at most ``days_back`` days older."""
-    probe = ev.withColumn(f"_{alias}_probe", day)
-    right = obs.where(F.col("series") == series).select("d", "value").withColumn("_k", F.lit(1))
-    probe = probe.withColumn("_k", F.lit(1))
-    out = asof_backward(probe, right, ["_k"], f"_{alias}_probe", "d", _dt.timedelta(days=days_back),
-                        ["value"], prefix=f"_{alias}_m_")
-    return (out.withColumnRenamed(f"_{alias}_m_value", alias)
-               .withColumnRenamed(f"_{alias}_m_d", f"{alias}_d")
-               .drop("_k", f"_{alias}_probe"))
+
+_ROLES = ("sa_0", "sa_1", "nsa_0", "nsa_12", "core_0", "core_1", "head_0", "head_1", "extra_0", "extra_1", "unemp_0", "point",
+          "before", "after", "any_low", "after_low")
+
+
+def _wanted(ev: DataFrame, points: dict[str, list[tuple]], *names: str) -> DataFrame:
+    """(_event, sym, *names) of every point of every event that has a day."""
+    lists = None
+    for sym, own in points.items():
+        items = F.array(*[F.struct(*[(F.lit(v) if not isinstance(v, Column) else v).alias(n) for n, v in zip(names, p)]) for p in own])
+        lists = (F if lists is None else lists).when(F.col("sym") == sym, items)
+    return ev.select("_event", "sym", F.inline(lists)).where("day IS NOT NULL")
+
+
+def observed_values(ev: DataFrame, obs: DataFrame) -> DataFrame:
+    """Per event (``_event``) the value of each role, and ``after_d``, the day of the role ``after``; events without any are absent.
+
+    ``obs`` has one value for each (series, d). The wanted points of all events are one
+    long table: those of a given day meet the observations in one equi-join by
+    series and day, the as-of ones in one as-of join; a pivot by role brings them back to their events.
+    """
+    late = asof_backward(_wanted(ev, _asof_points(), "role", "series", "day", "back"), obs, ["series"], "day", "d", _dt.timedelta(days=_LONGEST), ["value"], "m_")
+    late = late.where(F.date_diff("day", "m_d") <= F.col("back")).select("_event", "sym", "role", F.col("m_value").alias("value"), F.col("m_d").alias("d"))
+    late = checkpointed(late)
+    # the lower bound on the day of the upper one
+    low = late.where("role = 'after' AND sym = 'FOMC'").select("_event", F.lit("after_low").alias("role"), F.lit(FRED["lower"]).alias("series"), F.col("d").alias("day"))
+    exact = _wanted(ev, _exact_points(), "role", "series", "day").drop("sym").unionByName(low)
+    there = exact.join(obs.withColumnRenamed("d", "day"), ["series", "day"]).select("_event", "role", "value", "day")
+    both = there.unionByName(late.select("_event", "role", "value", F.col("d").alias("day")))
+    return both.groupBy("_event").agg(*[F.max(F.when(F.col("role") == r, F.col("value"))).alias(r) for r in _ROLES],
+                                      F.max(F.when(F.col("role") == "after", F.col("day"))).alias("after_d"))
 
 
 def _pct(v: Column) -> Column:
@@ -92,104 +158,54 @@ def summarize(ev: DataFrame, obs: DataFrame | None) -> DataFrame:
     fallback = F.coalesce(F.col("summary_fallback"), F.concat(F.col("event_name"), F.lit(".")))
     if obs is None:
         return ev.withColumn("summarize", F.coalesce(_auction_text(), fallback))
-    # written once: each series is looked up from it, for events that are written once too
-    obs, ev = checkpointed(unique_observations(obs)), checkpointed(ev)
-    sym = F.col("sym")
-    refm = F.make_date(F.col("ref_year"), F.col("ref_month"), F.lit(1))
     base = ev.columns
-    x = ev
-    monthly = [("cpi_sa", "cpi_sa"), ("cpi_nsa", "cpi_nsa"), ("cpi_core_sa", "cpi_core_sa"),
-               ("ppi_sa", "ppi_sa"), ("ppi_nsa", "ppi_nsa"), ("payrolls", "payrolls")]
-    for key, _ in monthly:
-        x = _lookup(x, obs, f"{key}_0", BLS_SERIES[key], refm)
-        x = _lookup(x, obs, f"{key}_1", BLS_SERIES[key], F.add_months(refm, -1))
-    for key in ("cpi_nsa", "ppi_nsa"):
-        x = _lookup(x, obs, f"{key}_12", BLS_SERIES[key], F.add_months(refm, -12))
-    x = _lookup(x, obs, "unemp_0", BLS_SERIES["unemp"], refm)
-    for key in ("pce", "pce_core", "retail", "retail_ex", "durables"):
-        x = _lookup(x, obs, f"{key}_0", FRED[key], refm)
-        x = _lookup(x, obs, f"{key}_1", FRED[key], F.add_months(refm, -1))
-    x = _lookup(x, obs, "claims_0", FRED["claims"], F.col("ref_week_ending"))
-    qstart = F.make_date(F.col("ref_qy"), F.col("ref_q") * 3 - 2, F.lit(1))
-    x = _lookup(x, obs, "gdp_0", FRED["gdp"], qstart)
-
-    fomc = F.when(sym == "FOMC", F.col("ref_day2"))
-    x = _asof(x, obs, "up_b", FRED["upper"], fomc, 10)
-    x = _asof(x, obs, "up_a", FRED["upper"], F.date_add(fomc, 3), 10)
-    x = _lookup(x, obs, "low_a", FRED["lower"], F.col("up_a_d"))
-    x = _asof(x, obs, "low_any", FRED["lower"], F.date_add(fomc, 10), 25)
-    ecb = F.when(sym == "ECB", F.col("ref_decision"))
-    x = _asof(x, obs, "ecb_b", FRED["ecb"], ecb, 10)
-    x = _asof(x, obs, "ecb_a", FRED["ecb"], F.date_add(ecb, 12), 10)
-
-    ref_label = month_label(refm)
-    mm = lambda k: pct_change(F.col(f"{k}_0"), F.col(f"{k}_1"))
-    yy = lambda k: pct_change(F.col(f"{k}_0"), F.col(f"{k}_12"))
-
-    def infl(label: Column, parts: list[Column]) -> Column:
-        body = join_parts(*parts)
-        return F.when(body.isNotNull(), F.concat(label, F.lit(": "), body, F.lit(" (BLS).")))
-
-    cpi = infl(F.concat(F.lit("CPI "), ref_label),
-               [_part("m/m", mm("cpi_sa")), _part("y/y", yy("cpi_nsa")), _part("core m/m", mm("cpi_core_sa"))])
-    ppi = infl(F.concat(F.lit("PPI final demand "), ref_label),
-               [_part("m/m", mm("ppi_sa")), _part("y/y", yy("ppi_nsa"))])
-    chg = F.col("payrolls_0") - F.col("payrolls_1")
-    nfp = F.when(chg.isNotNull(), F.concat(
-        F.lit("Nonfarm payrolls "), py_fixed(chg, 0, sign=True, grouping=True), F.lit("k in "), ref_label,
-        F.coalesce(F.concat(F.lit("; unemployment rate "), py_fixed(F.col("unemp_0"), 1), F.lit("%")), F.lit("")),
-        F.lit(" (BLS).")))
-    claims = F.when(F.col("claims_0").isNotNull(), F.concat(
-        F.lit("Initial jobless claims "), py_fixed(F.col("claims_0") / 1000, 0, grouping=True),
-        F.lit("k, week ending "), F.date_format("ref_week_ending", "yyyy-MM-dd"), F.lit(" (DOL via FRED).")))
-    gdp = F.when(F.col("gdp_0").isNotNull(), F.concat(
-        F.lit("Real GDP Q"), F.col("ref_q").cast("string"), F.lit(" "), F.col("ref_qy").cast("string"),
-        F.lit(" ("), F.col("ref_estimate"), F.lit(" estimate): "), _pct(F.col("gdp_0")),
-        F.lit(" q/q SAAR (BEA via FRED, current vintage).")))
-
-    def monthly_text(label: str, head: str, extra_label: str | None, extra: str | None, tail: str) -> Column:
-        h = mm(head)
-        ex = (F.coalesce(F.concat(F.lit(f"; {extra_label} "), _pct(mm(extra)), F.lit(" m/m")), F.lit(""))
-              if extra else F.lit(""))
-        return F.when(h.isNotNull(), F.concat(F.lit(label + " "), ref_label, F.lit(": "), _pct(h),
-                                              F.lit(" m/m"), ex, F.lit(tail)))
-
-    pce = monthly_text("PCE price index", "pce", "core", "pce_core", " (BEA via FRED, current vintage).")
-    retail = monthly_text("Retail sales", "retail", "ex-autos", "retail_ex", " (Census via FRED, current vintage).")
-    durables = monthly_text("Durable goods orders", "durables", None, None,
-                            " (Census via FRED, current vintage).")
-
-    bu, au, al = F.col("up_b"), F.col("up_a"), F.col("low_a")
-    rng = F.coalesce(F.concat(py_fixed(al, 2), F.lit("–"), py_fixed(au, 2), F.lit("%")),
-                     F.concat(F.lit("upper bound "), py_fixed(au, 2), F.lit("%")))
-    verb = F.when(au < bu, F.lit("cut")).otherwise(F.lit("raised"))
-    fomc_ok = (bu.isNotNull() & au.isNotNull() & (F.col("up_a_d") > F.col("ref_day2"))
-               & F.col("low_any").isNotNull())
-    fomc_txt = F.when(fomc_ok, F.when(au == bu, F.concat(F.lit("FOMC held the target range at "), rng, F.lit(".")))
-                      .otherwise(F.concat(F.lit("FOMC "), verb, F.lit(" rates "), py_fixed(F.abs(au - bu) * 100, 0),
-                                          F.lit("bp to "), rng, F.lit(" (upper bound was "), py_fixed(bu, 2),
-                                          F.lit("%)."))))
-    b, a = F.col("ecb_b"), F.col("ecb_a")
-    ecb_ok = b.isNotNull() & a.isNotNull()
-    ecb_txt = F.when(ecb_ok, F.when(a == b, F.when(F.col("ecb_a_d") >= F.date_add("ref_decision", 8), F.concat(
-        F.lit("ECB held the deposit facility rate at "), py_fixed(a, 2), F.lit("%."))))
-        .otherwise(F.concat(F.lit("ECB "), F.when(a < b, F.lit("cut")).otherwise(F.lit("raised")),
-                            F.lit(" the deposit facility rate "), py_fixed(F.abs(a - b) * 100, 0),
-                            F.lit("bp to "), py_fixed(a, 2), F.lit("%."))))
-
-    text = (F.when(sym == "CPI", cpi).when(sym == "PPI", ppi).when(sym == "NFP", nfp)
-             .when(sym == "JOBLESS_CLAIMS", claims).when(sym == "FOMC", fomc_txt).when(sym == "GDP", gdp)
-             .when(sym == "PCE", pce).when(sym == "RETAIL_SALES", retail).when(sym == "DURABLE_GOODS", durables)
-             .when(sym == "ECB", ecb_txt).otherwise(_auction_text()))
-    return x.withColumn("summarize", F.coalesce(text, fallback)).select(*base, "summarize")
+    # written once, as both are read for the points and again for the texts
+    ev = checkpointed(ev.withColumn("_event", F.monotonically_increasing_id()))
+    values = observed_values(ev, checkpointed(unique_observations(obs)))
+    return ev.join(values, "_event", "left").withColumn("summarize", F.coalesce(_data_text(), fallback)).select(*base, "summarize")
+
+
+def _data_text() -> Column:
+    """The sentence of an event from the values of its roles, null where they do not give one."""
+    ref = month_label(F.make_date(F.col("ref_year"), F.col("ref_month"), F.lit(1)))
+    change = lambda name, n=1: pct_change(F.col(f"{name}_0"), F.col(f"{name}_{n}"))
+    body = join_parts(_part("m/m", change("sa")), _part("y/y", change("nsa", 12)), _part("core m/m", change("core")))
+    jobs, head, point = F.col("head_0") - F.col("head_1"), _pct(change("head")), F.col("point")
+    unemployment = F.coalesce(fmt(SENTENCES["NFP_UNEMPLOYMENT"], rate=py_fixed("unemp_0", 1)), F.lit(""))
+    texts = {
+        "CPI": fmt(SENTENCES["CPI"], ref=ref, body=body),
+        "PPI": fmt(SENTENCES["PPI"], ref=ref, body=body),
+        "NFP": fmt(SENTENCES["NFP"], change=py_fixed(jobs, 0, sign=True, grouping=True), ref=ref, unemployment=unemployment),
+        "JOBLESS_CLAIMS": fmt(SENTENCES["JOBLESS_CLAIMS"], value=py_fixed(point / 1000, 0, grouping=True), week=F.date_format("ref_week_ending", "yyyy-MM-dd")),
+        "GDP": fmt(SENTENCES["GDP"], q=F.col("ref_q"), qy=F.col("ref_qy"), estimate=F.col("ref_estimate"), value=_pct(point)),
+    }
+    for sym in ("PCE", "RETAIL_SALES", "DURABLE_GOODS"):
+        more = SENTENCES.get(f"{sym}_EXTRA")
+        extra = F.coalesce(fmt(more, value=_pct(change("extra"))), F.lit("")) if more else F.lit("")
+        texts[sym] = fmt(SENTENCES[sym], ref=ref, head=head, extra=extra)
+
+    before, after = F.col("before"), F.col("after")
+    verb = F.when(after < before, F.lit("cut")).otherwise(F.lit("raised"))
+    points, high = py_fixed(F.abs(after - before) * 100, 0), py_fixed(after, 2)
+    bounds = F.coalesce(fmt(SENTENCES["RANGE"], low=py_fixed("after_low", 2), high=high), fmt(SENTENCES["UPPER"], high=high))
+    known = (F.col("after_d") > F.col("ref_day2")) & F.col("any_low").isNotNull()
+    texts["FOMC"] = F.when(known & (after == before), fmt(SENTENCES["FOMC_HELD"], range=bounds)).when(
+        known, fmt(SENTENCES["FOMC_MOVED"], verb=verb, points=points, range=bounds, before=py_fixed(before, 2)))
+    # an unchanged rate says something only when it is late enough
+    held = F.when(F.col("after_d") >= F.date_add("ref_decision", 8), fmt(SENTENCES["ECB_HELD"], after=high))
+    texts["ECB"] = F.when(after == before, held).otherwise(fmt(SENTENCES["ECB_MOVED"], verb=verb, points=points, after=high))
+
+    out = F
+    for sym, text in texts.items():
+        out = out.when(F.col("sym") == sym, text)
+    return out.otherwise(_auction_text())
 
 
 def _auction_text() -> Column:
-    hy = try_double(F.col("auction_high_yield"))
-    btc = try_double(F.col("auction_btc"))
-    amt = F.try_divide(try_double(F.col("auction_amount")), F.lit(1e9))
-    amount = F.coalesce(F.concat(F.lit(", $"), py_fixed(amt, 0), F.lit("B")), F.lit(""))
-    reopen = F.when(F.col("auction_reopen"), F.lit(" reopening")).otherwise(F.lit(""))
-    return F.when(F.col("sym").startswith("AUCTION_") & hy.isNotNull() & btc.isNotNull(), F.concat(
-        F.lit("Treasury "), F.col("auction_term"), F.lit("-year "), F.col("auction_kind"), reopen,
-        F.lit(": high yield "), py_fixed(hy, 3), F.lit("%, bid-to-cover "), py_fixed(btc, 2), amount, F.lit(".")))
+    """What the results of an auction say, once yield and cover are numbers."""
+    number = lambda c: try_double(F.col(c))
+    size = F.try_divide(number("auction_amount"), F.lit(1e9))
+    values = {"term": F.col("auction_term"), "kind": F.col("auction_kind"), "reopen": F.when(F.col("auction_reopen"), F.lit(" reopening")).otherwise(F.lit("")),
+              "yield": py_fixed(number("auction_high_yield"), 3), "cover": py_fixed(number("auction_btc"), 2),
+              "amount": F.coalesce(F.concat(F.lit(", $"), py_fixed(size, 0), F.lit("B")), F.lit(""))}
+    return F.when(F.col("sym").startswith("AUCTION_"), fmt(SENTENCES["AUCTION"], **values))
