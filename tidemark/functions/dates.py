@@ -57,7 +57,7 @@ def parse_iso_prefix(c: Column | str) -> Column:
     return F.try_to_date(F.substring(_c(c), 1, 10), "yyyy-MM-dd")
 
 
-def wall_clock(d: Column | str, hour: int, minute: int = 0, tz: str = NEW_YORK) -> Column:
+def wall_clock(d: Column | str, hour: int | Column, minute: int | Column = 0, tz: str = NEW_YORK) -> Column:
     """Instant of the wall-clock time ``hour:minute`` in ``tz`` on day ``d``."""
     col = _c(d)
     return F.make_timestamp(F.year(col), F.month(col), F.dayofmonth(col),

@@ -1,11 +1,11 @@
 """Scheduled market-moving events over any date range, as one plan.
 
 The source evaluates every rule day by day with the tested day's year and
-month; here every rule is evaluated once per month of a month table and
-the session shifts are equi-joins to the session calendar (columns
+month; here all rules are one table (``Rule``), exploded over a month table,
+and the session shifts of all of them are two equi-joins to the session calendar (columns
 ``d, is_session, ps, ns``). A rule date that falls outside the month it was
 computed for is dropped, which is exactly what the day-by-day evaluation
-does (``keep_month_edge=False``).
+does (``keep_month_edge=False``). Texts come from one table by key, with their fields filled in.
 
 All inputs are bounded by the time span (one row per day or per month)
 except the optional release schedules and auctions, which are joined on
@@ -16,11 +16,14 @@ from __future__ import annotations
 
 import datetime as _dt
 import string
+from collections.abc import Sequence
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.dates import (last_weekday, month_label, nth_weekday, wall_clock)
+from ..functions.casts import try_double
+from ..functions.dates import last_weekday, month_label, nth_weekday, wall_clock
 from ..functions.numbers import py_fixed
 from ..functions.strings import strip_chars
 from ..session import checkpointed
@@ -177,69 +180,261 @@ def month_table(cal: DataFrame) -> DataFrame:
                .select("m", F.year("m").alias("y"), F.month("m").alias("mo")))
 
 
-def _shift(df: DataFrame, col: str, lk: DataFrame, kind: str) -> DataFrame:
-    """Replace ``col`` by the session on/before (``ps``) or on/after (``ns``) it."""
-    side = lk.select(F.col("d").alias("_sd"), F.col(kind).alias("_sv"))
-    # the calendar is one row per day of the range: bounded, broadcast
-    return (df.join(F.broadcast(side), F.col(col) == F.col("_sd"), "left")
-              .withColumn(col, F.col("_sv")).drop("_sd", "_sv"))
+# ----------------------------------------------------------------- rules
 
+class Rule(NamedTuple):
+    """One event a month: ``day`` (of the month table), moved to the session ``first``, by ``step`` days, and to the session ``second``.
 
-def _emit(df: DataFrame, sym: str | Column, d: str, hour: int, minute: int, name: Column,
-          fallback: Column, source: str | Column = "rule", release_for: Column | None = None,
-          **refs: Column) -> DataFrame:
-    cols = [F.col(d).alias("d"),
-            wall_clock(F.col(d), hour, minute).alias("time"),
-            (F.lit(sym) if isinstance(sym, str) else sym).alias("sym"),
-            name.alias("event_name"),
-            (release_for if release_for is not None else F.lit(None).cast("string")).alias("release_for"),
-            (F.lit(source) if isinstance(source, str) else source).alias("schedule_source"),
-            fallback.alias("summary_fallback")]
-    for k, typ in _REF_TYPES.items():
-        cols.append((refs[k] if k in refs else F.lit(None)).cast(typ).alias(k))
-    return df.select(*cols)
+    A session is ``ps`` (on or before), ``ns`` (on or after) or none. ``key`` names the texts, ``when`` the
+    months that have the event, ``release`` the published schedule that takes the rule's place where it is available.
+    """
+    sym: str
+    day: Column
+    hour: int
+    minute: int
+    first: str | None = None
+    step: int = 0
+    second: str | None = None
+    when: Column | None = None
+    key: str | None = None
+    source: str = "rule"
+    release: str | None = None
+
+
+def _in(*months: int) -> Column:
+    return F.col("mo").isin(*months)
+
+
+def central_bank_rules() -> list[Rule]:
+    return [Rule("JACKSON_HOLE", nth_weekday(F.col("m"), 4, 4), 10, 0, when=_in(8))]
+
+
+def index_rules() -> list[Rule]:
+    m, quarter = F.col("m"), _in(3, 6, 9, 12)
+    third, last = nth_weekday(m, 4, 3), F.last_day("m")
+    close = {"hour": 16, "minute": 0, "first": "ps", "source": "official"}
+    election = F.date_add(nth_weekday(m, 0, 1), 1)
+    return [
+        Rule("SPY_REBAL_ANNOUNCE", nth_weekday(m, 4, 1), 17, 15, when=quarter),
+        Rule("SPY_REBAL_EFFECTIVE", third, when=quarter, **close),
+        Rule("TRIPLE_WITCHING", third, when=quarter, **close),
+        Rule("QQQ_RECON_ANNOUNCE", nth_weekday(m, 4, 2), 20, 0, when=_in(12)),
+        Rule("QQQ_RECON_EFFECTIVE", third, when=_in(12), **close),
+        Rule("MSCI_REVIEW_ANNOUNCE", nth_weekday(m, 1, 2), 17, 0, when=_in(2, 5, 8, 11)),
+        Rule("MSCI_REVIEW_EFFECTIVE", last, when=_in(2, 5, 8, 11), **close),
+        Rule("RUSSELL_RECON", nth_weekday(m, 4, 2), when=_in(12) & (F.col("y") >= 2026), key="RUSSELL_RECON_DEC", **close),
+        Rule("OPEX", third, when=_in(1, 2, 4, 5, 7, 8, 10, 11), **close),
+        Rule("QUARTER_END", last, when=quarter, **close),
+        # the lists come 35 days before the reconstitution of June
+        Rule("RUSSELL_PRELIM", nth_weekday(F.add_months(m, 1), 4, 4), 18, 0, first="ps", step=-35, when=_in(5)),
+        Rule("RUSSELL_RECON", nth_weekday(m, 4, 4), when=_in(6), key="RUSSELL_RECON_JUNE", **close),
+        # 30 days before the expiration of the next month
+        Rule("VIX_EXP", nth_weekday(F.add_months(m, 1), 4, 3), 9, 30, first="ps", step=-30, second="ps", source="official"),
+        Rule("US_ELECTION", election, 20, 0, when=_in(11) & (F.pmod("y", F.lit(2)) == 0), source="official"),
+    ]
+
+
+def macro_rules() -> list[Rule]:
+    m = F.col("m")
+    december = F.col("mo") == 12
+    early = {"hour": 8, "minute": 30}
+
+    def on(day: int) -> Column:
+        return F.date_add(m, day - 1)
+
+    return [
+        Rule("CPI", on(10), first="ns", release="CPI", **early),
+        Rule("PPI", on(10), first="ns", step=1, second="ns", release="PPI", **early),
+        Rule("NFP", _nfp_raw(m), first="ps", release="NFP", **early),
+        Rule("GDP", F.when(december, on(23)).otherwise(last_weekday(m, 3)), first="ps", release="GDP", **early),
+        Rule("PCE", F.when(december, on(22)).otherwise(last_weekday(m, 4)), first="ps", release="PCE", **early),
+        Rule("RETAIL_SALES", on(15), first="ns", release="RETAIL", **early),
+        # its step starts from the month's NFP day, see ``_moved``
+        Rule("ADP", _nfp_raw(m), 8, 15, first="ps", second="ps"),
+        Rule("UMICH_PRELIM", nth_weekday(m, 4, 2), 10, 0, first="ps"),
+        Rule("UMICH_FINAL", last_weekday(m, 4), 10, 0, first="ps"),
+        Rule("DURABLE_GOODS", on(25), first="ns", **early),
+        Rule("ECI", F.last_day("m"), first="ps", when=_in(1, 4, 7, 10), **early),
+        Rule("CB_CONFIDENCE", last_weekday(m, 1), 10, 0, first="ps"),
+    ]
+
+
+#: what a published schedule gives events for: release, symbol, hour, minute
+_SCHEDULED = [("CPI", "CPI", 8, 30), ("PPI", "PPI", 8, 30), ("NFP", "NFP", 8, 30), ("GDP", "GDP", 8, 30), ("PCE", "PCE", 8, 30),
+              ("JOLTS", "JOLTS", 10, 0), ("RETAIL", "RETAIL_SALES", 8, 30)]
+
+_ROW = "sym string, key string, release string, day date, first string, step int, second string, hour int, minute int, source string"
+
+
+def _monthly(cal: DataFrame, rules: list[Rule]) -> DataFrame:
+    """(m, anchor) and the fields of every rule in every month that has it."""
+    def row(r: Rule) -> Column:
+        values = (r.sym, r.key or r.sym, r.release, r.day, r.first, r.step, r.second, r.hour, r.minute, r.source)
+        fields = [(v if isinstance(v, Column) else F.lit(v)).cast(f.split()[1]).alias(f.split()[0]) for v, f in zip(values, _ROW.split(", "))]
+        return F.when(F.lit(True) if r.when is None else r.when, F.struct(*fields))
+
+    rows = F.filter(F.array(*map(row, rules)), lambda x: x.isNotNull())
+    return month_table(cal).select("m", F.lit(None).cast("date").alias("anchor"), F.explode(rows).alias("x")).select("m", "anchor", "x.*")
+
+
+def _fixed(spark: SparkSession, *syms: str) -> DataFrame:
+    """The rows of the embedded calendars, with the day that an event is about as ``anchor`` and no month."""
+    meetings = [last for _, last in FOMC_MEETINGS]
+    lists = {"FOMC": (meetings, 0, None, 14, 0, "official"), "FOMC_MINUTES": (meetings, 21, "ps", 14, 0, "rule"),
+             "ECB": (ECB_DECISIONS, 0, None, 8, 15, "official"), "BOJ": (BOJ_DECISIONS_JST, -1, None, 23, 0, "official"),
+             "QRA": (QRA_DATES, 0, None, 8, 30, "official")}
+    rows = [(_dt.date.fromisoformat(day), s, s, None, _dt.date.fromisoformat(day), None, step, second, hour, minute, source)
+            for s in syms for days, step, second, hour, minute, source in [lists[s]] for day in days]
+    return spark.createDataFrame(rows, f"anchor date, {_ROW}").withColumn("m", F.lit(None).cast("date"))
+
+
+def _to_session(rows: DataFrame, lk: DataFrame, kind: str) -> DataFrame:
+    """``day`` moved to the session that the column ``kind`` asks for."""
+    # the calendar is one row per day of the range: bounded, broadcast
+    side = F.broadcast(lk.select(F.col("d").alias("day"), "ps", "ns"))
+    moved = F.when(F.col(kind) == "ps", F.col("ps")).when(F.col(kind) == "ns", F.col("ns")).otherwise(F.col("day"))
+    return rows.join(side, "day", "left").withColumn("day", moved).drop("ps", "ns")
+
+
+def _moved(rows: DataFrame, lk: DataFrame, schedules: DataFrame | None, available: DataFrame | None) -> DataFrame:
+    """The rows on their final days: one join with the calendar for the first sessions of all rules, one for the second."""
+    rows = _to_session(rows, lk, "first")
+    nfp = F.col("day")
+    if schedules is not None:
+        # the month's published NFP day where its schedule is available
+        listed = (schedules.where((F.col("release") == "NFP") & (F.year("d") == F.col("year")))
+                           .groupBy(F.trunc("d", "MM").alias("m")).agg(F.min("d").alias("listed")))
+        known = available.where("release = 'NFP'").select(F.col("year").alias("nfp_year"), F.lit(True).alias("known"))
+        rows = rows.join(listed, "m", "left").join(known, F.year("m") == F.col("nfp_year"), "left")
+        nfp = F.when(F.col("known"), F.col("listed")).otherwise(F.col("day"))
+    # the Wednesday strictly before
+    wednesday = F.date_sub(nfp, F.pmod(F.weekday(nfp) - 2 + 6, F.lit(7)) + 1)
+    rows = rows.withColumn("day", F.when(F.col("key") == "ADP", wednesday).otherwise(F.date_add("day", F.col("step"))))
+    return _to_session(rows, lk, "second").drop("listed", "nfp_year", "known")
 
 
-def _in_month(col: str = "d") -> Column:
-    return F.trunc(F.col(col), "MM") == F.col("m")
+def _nfp_raw(m: Column) -> Column:
+    """Rule date before the session shift: Saturday on/after the 12th of the
+    previous month, + 20 days, + 7 when that lands on 1-5 January."""
+    ref_day = F.date_add(F.add_months(m, -1), 11)
+    sat = F.date_add(ref_day, F.pmod(F.lit(5) - F.weekday(ref_day), F.lit(7)))
+    rel = F.date_add(sat, 20)
+    return F.when((F.month(rel) == 1) & (F.dayofmonth(rel) <= 5), F.date_add(rel, 7)).otherwise(rel)
+
 
+def _listed(cal: DataFrame, schedules: DataFrame, available: DataFrame) -> DataFrame:
+    """The published days of the available schedules, those of the year that the schedule is for."""
+    spark = cal.sparkSession
+    days = schedules.where(F.year("d") == F.col("year")).join(available, ["release", "year"], "left_semi").select("release", F.col("d").alias("day")).distinct()
+    events = spark.createDataFrame(_SCHEDULED, "release string, sym string, hour int, minute int")
+    return (days.join(F.broadcast(events), "release")
+                .select("day", F.trunc("day", "MM").alias("m"), "sym", F.col("sym").alias("key"), "hour", "minute", F.lit("fred").alias("source")))
 
-def _txt(key: str, **cols: Column) -> tuple[Column, Column]:
-    name, fb = TEXT[key]
-    return fmt(name, **cols), fmt(fb, **cols)
 
+def _session_days(cal: DataFrame) -> DataFrame:
+    """Events of a day of the calendar itself: the first and third session of a month, and the Thursdays of the jobless claims.
 
-def _prev_label() -> Column:
-    return month_label(F.add_months(F.col("m"), -1))
+    Claims come on Thursday sessions but 11 November, else on the Wednesday before.
+    """
+    def veterans(c: Column) -> Column:
+        return (F.month(c) == 11) & (F.dayofmonth(c) == 11)
+
+    tomorrow = F.date_add("d", 1)
+    # one row a day of the range
+    days = cal.withColumn("open_tomorrow", F.coalesce(F.lead("is_session").over(Window.orderBy("d")), F.lit(False)))
+    claims = (((F.weekday("d") == 3) & F.col("is_session") & ~veterans(F.col("d")))
+              | ((F.weekday("d") == 2) & (~F.col("open_tomorrow") | veterans(tomorrow))))
+    kinds = [("ISM_MFG", 10, 0, F.col("session_no") == 1), ("ISM_SVC", 10, 0, F.col("session_no") == 3), ("JOBLESS_CLAIMS", 8, 30, claims)]
+    rows = F.array(*[F.when(c, F.struct(F.lit(s).alias("sym"), F.lit(h).alias("hour"), F.lit(n).alias("minute"))) for s, h, n, c in kinds])
+    return (days.select(F.col("d").alias("day"), F.trunc("d", "MM").alias("m"), F.explode(F.filter(rows, lambda x: x.isNotNull())).alias("x"))
+                .select("day", "m", "x.*", F.col("x.sym").alias("key"), F.lit("rule").alias("source")))
+
+
+#: events about the month before, about their own month, and about a quarter
+_PREVIOUS = ["CPI", "PPI", "NFP", "PCE", "RETAIL_SALES", "ADP", "DURABLE_GOODS", "ISM_MFG", "ISM_SVC", "JOLTS"]
+_CURRENT = ["UMICH_PRELIM", "UMICH_FINAL", "CB_CONFIDENCE"]
+_OBSERVED = ["CPI", "PPI", "NFP", "PCE", "RETAIL_SALES", "DURABLE_GOODS"]
+
+
+def _named(rows: DataFrame) -> DataFrame:
+    """Events of rows (day, m, sym, key, hour, minute, source, anchor): time, texts and what they refer to."""
+    spark = rows.sparkSession
+    texts = spark.createDataFrame([(k, *v) for k, v in TEXT.items() if k != "FOMC_SEP"], "key string, name string, fallback string")
+    key, m, day = F.col("key"), F.coalesce("m", F.trunc("day", "MM")), F.col("day")
+    mo, y = F.month(m), F.year(m)
+    before = F.add_months(m, F.when(key == "JOLTS", -2).otherwise(-1))
+    # releases about a quarter come in the next one
+    quarter = F.floor((mo - 1) / 3).cast("int")
+    q, qy = F.when(quarter == 0, 4).otherwise(quarter), F.when(mo > 3, y).otherwise(y - 1)
+    estimate = F.element_at(F.array(*map(F.lit, ("advance", "second", "third"))), (F.pmod(mo - 1, F.lit(3)) + 1).cast("int"))
+    week = F.date_sub(day, F.pmod(F.weekday(day) - 5, F.lit(7)))
+    fields = {"ref": month_label(before), "cur": month_label(m), "q": q.cast("string"), "qy": qy.cast("string"), "estimate": estimate,
+              "week_ending": F.date_format(week, "yyyy-MM-dd"), "meeting": month_label(F.col("anchor")),
+              "kind": F.when(F.pmod(y, F.lit(4)) == 0, "presidential").otherwise("midterm")}
+
+    def filled(text: Column) -> Column:
+        for name, value in fields.items():
+            text = F.replace(text, F.lit("{" + name + "}"), F.coalesce(value, F.lit("")))
+        return text
+
+    release_for = (F.when(key.isin(*_PREVIOUS), fields["ref"]).when(key.isin(*_CURRENT), fields["cur"]).when(key == "JOBLESS_CLAIMS", fields["week_ending"])
+                    .when(key.isin("GDP", "ECI"), F.concat(F.lit("Q"), fields["q"], F.lit(" "), fields["qy"])))
+    dots = F.when((key == "FOMC") & F.month(day).isin(3, 6, 9, 12), F.lit(TEXT["FOMC_SEP"])).otherwise(F.lit(""))
+    gdp = key == "GDP"
+    refs = {"ref_year": F.when(key.isin(*_OBSERVED), F.year(before)), "ref_month": F.when(key.isin(*_OBSERVED), F.month(before)),
+            "ref_day2": F.when(key == "FOMC", F.col("anchor")), "ref_decision": F.when(key == "ECB", F.col("anchor")),
+            "ref_q": F.when(gdp, q), "ref_qy": F.when(gdp, qy), "ref_estimate": F.when(gdp, estimate), "ref_week_ending": F.when(key == "JOBLESS_CLAIMS", week)}
+    # a row for each text
+    return _event(rows.join(F.broadcast(texts), "key"), F.col("sym"), day, F.col("hour"), F.col("minute"), F.concat(filled(F.col("name")), dots),
+                  filled(F.col("fallback")), F.col("source"), release_for, **refs)
+
+
+def _event(df: DataFrame, sym: Column, d: Column, hour: Column, minute: Column, name: Column, fallback: Column, source: Column,
+           release_for: Column, **refs: Column) -> DataFrame:
+    cols = [d.alias("d"), wall_clock(d, hour, minute).alias("time"), sym.alias("sym"), name.alias("event_name"),
+            release_for.cast("string").alias("release_for"), source.alias("schedule_source"), fallback.alias("summary_fallback")]
+    return df.select(*cols, *[refs.get(k, F.lit(None)).cast(t).alias(k) for k, t in _REF_TYPES.items()])
+
+
+def rule_events(cal: DataFrame, lk: DataFrame, rules: list[Rule], fixed: Sequence[str] = (), session_days: bool = False,
+                schedules: DataFrame | None = None, coverage: DataFrame | None = None, keep_month_edge: bool = False) -> DataFrame:
+    """The events of month rules, embedded calendars, session days and published schedules, as one plan.
+
+    A rule day that falls outside its month is dropped, unless ``keep_month_edge``. ``schedules`` has the published
+    days (release, year, d), ``coverage`` the available schedules (release, year). Where the schedule of a rule's release
+    is available for the year of its day, the rule gives nothing, and the published days count, however few they are.
+    """
+    spark = cal.sparkSession
+    if schedules is None or coverage is None:
+        schedules = available = None
+    else:
+        available = coverage.select("release", "year").distinct()
+    rows = _monthly(cal, rules) if rules else None
+    if fixed:
+        days = _fixed(spark, *fixed)
+        rows = days if rows is None else rows.unionByName(days)
+    rows = _moved(rows, lk, schedules, available)
+    if not keep_month_edge:
+        rows = rows.where(F.col("m").isNull() | (F.trunc("day", "MM") == F.col("m")))
+    if available is not None:
+        covered = available.withColumnsRenamed({"release": "covered", "year": "covered_year"})
+        rows = rows.join(covered, (F.col("release") == F.col("covered")) & (F.year("day") == F.col("covered_year")), "left_anti")
+    out = rows.drop("release", "first", "step", "second")
+    if available is not None:
+        out = out.unionByName(_listed(cal, schedules, available), allowMissingColumns=True)
+    if session_days:
+        out = out.unionByName(_session_days(cal), allowMissingColumns=True)
+    # days of the calendar only
+    return _named(out.join(F.broadcast(cal.select(F.col("d").alias("day"))), "day", "left_semi"))
 
 
 # ----------------------------------------------------------------- families
 
+CENTRAL_BANKS = ("FOMC", "FOMC_MINUTES", "ECB", "BOJ")
+
+
 def central_bank_events(spark: SparkSession, cal: DataFrame, lk: DataFrame) -> DataFrame:
-    days = cal.select("d")
-    fomc = spark.createDataFrame(FOMC_MEETINGS, "day1 string, day2 string").select(
-        F.to_date("day1").alias("day1"), F.to_date("day2").alias("day2"))
-    name, fb = TEXT["FOMC"]
-    dec = fomc.select(F.col("day2").alias("d"), "day2")
-    proj = F.month("d").isin(3, 6, 9, 12)
-    out = [_emit(dec.join(days, "d"), "FOMC", "d", 14, 0,
-                 F.when(proj, F.lit(name + TEXT["FOMC_SEP"])).otherwise(F.lit(name)),
-                 F.lit(fb), "official", ref_day2=F.col("day2"))]
-    mins = _shift(fomc.select("day2", F.date_add("day2", 21).alias("d")), "d", lk, "ps")
-    n, f = _txt("FOMC_MINUTES", meeting=month_label(F.col("day2")))
-    out.append(_emit(mins.join(days, "d"), "FOMC_MINUTES", "d", 14, 0, n, f, "rule"))
-    ecb = spark.createDataFrame([(s,) for s in ECB_DECISIONS], "s string").select(F.to_date("s").alias("d"))
-    n, f = _txt("ECB")
-    out.append(_emit(ecb.join(days, "d"), "ECB", "d", 8, 15, n, f, "official", ref_decision=F.col("d")))
-    boj = spark.createDataFrame([(s,) for s in BOJ_DECISIONS_JST], "s string").select(
-        F.date_sub(F.to_date("s"), 1).alias("d"))
-    n, f = _txt("BOJ")
-    out.append(_emit(boj.join(days, "d"), "BOJ", "d", 23, 0, n, f, "official"))
-    mo = month_table(cal)
-    jh = mo.where(F.col("mo") == 8).select("m", nth_weekday(F.col("m"), 4, 4).alias("d"))
-    n, f = _txt("JACKSON_HOLE")
-    out.append(_emit(jh, "JACKSON_HOLE", "d", 10, 0, n, f, "rule"))
-    return _union(out)
+    return rule_events(cal, lk, central_bank_rules(), CENTRAL_BANKS)
 
 
 def uncovered_years(cal: DataFrame) -> DataFrame:
@@ -257,220 +452,13 @@ def uncovered_years(cal: DataFrame) -> DataFrame:
 
 
 def index_events(cal: DataFrame, lk: DataFrame, keep_month_edge: bool = False) -> DataFrame:
-    mo = month_table(cal)
-    out = []
-
-    def rule(sym, months, date_expr, shift, hour, minute, key, source, extra_filter=None):
-        df = mo.where(F.col("mo").isin(*months)) if months else mo
-        if extra_filter is not None:
-            df = df.where(extra_filter)
-        df = df.withColumn("d", date_expr)
-        if shift:
-            df = _shift(df, "d", lk, shift)
-        if not keep_month_edge:
-            df = df.where(_in_month())
-        n, f = _txt(key)
-        out.append(_emit(df, sym, "d", hour, minute, n, f, source))
-
-    q = (3, 6, 9, 12)
-    third_fri = nth_weekday(F.col("m"), 4, 3)
-    rule("SPY_REBAL_ANNOUNCE", q, nth_weekday(F.col("m"), 4, 1), None, 17, 15, "SPY_REBAL_ANNOUNCE", "rule")
-    rule("SPY_REBAL_EFFECTIVE", q, third_fri, "ps", 16, 0, "SPY_REBAL_EFFECTIVE", "official")
-    rule("TRIPLE_WITCHING", q, third_fri, "ps", 16, 0, "TRIPLE_WITCHING", "official")
-    rule("QQQ_RECON_ANNOUNCE", (12,), nth_weekday(F.col("m"), 4, 2), None, 20, 0, "QQQ_RECON_ANNOUNCE", "rule")
-    rule("QQQ_RECON_EFFECTIVE", (12,), third_fri, "ps", 16, 0, "QQQ_RECON_EFFECTIVE", "official")
-    rule("MSCI_REVIEW_ANNOUNCE", (2, 5, 8, 11), nth_weekday(F.col("m"), 1, 2), None, 17, 0,
-         "MSCI_REVIEW_ANNOUNCE", "rule")
-    rule("MSCI_REVIEW_EFFECTIVE", (2, 5, 8, 11), F.last_day("m"), "ps", 16, 0, "MSCI_REVIEW_EFFECTIVE", "official")
-    rule("RUSSELL_RECON", (12,), nth_weekday(F.col("m"), 4, 2), "ps", 16, 0, "RUSSELL_RECON_DEC", "official",
-         extra_filter=F.col("y") >= 2026)
-    rule("OPEX", (1, 2, 4, 5, 7, 8, 10, 11), third_fri, "ps", 16, 0, "OPEX", "official")
-    rule("QUARTER_END", q, F.last_day("m"), "ps", 16, 0, "QUARTER_END", "official")
-
-    # Russell June: PS(4th Friday of June); preliminary lists 35 days earlier
-    june = mo.where(F.col("mo").isin(5, 6)).withColumn(
-        "d", nth_weekday(F.make_date(F.col("y"), F.lit(6), F.lit(1)), 4, 4))
-    june = _shift(june, "d", lk, "ps")
-    pre = june.withColumn("d", F.date_sub("d", 35))
-    n, f = _txt("RUSSELL_PRELIM")
-    out.append(_emit(pre.where(_in_month()), "RUSSELL_PRELIM", "d", 18, 0, n, f, "rule"))
-    n, f = _txt("RUSSELL_RECON_JUNE")
-    out.append(_emit(june.where(_in_month()), "RUSSELL_RECON", "d", 16, 0, n, f, "official"))
-
-    # VIX: 30 days before next month's (shifted) third Friday, then shifted again
-    vix = mo.withColumn("d", nth_weekday(F.add_months("m", 1), 4, 3))
-    vix = _shift(vix, "d", lk, "ps").withColumn("d", F.date_sub("d", 30))
-    vix = _shift(vix, "d", lk, "ps")
-    n, f = _txt("VIX_EXP")
-    out.append(_emit(vix.where(_in_month()) if not keep_month_edge else vix, "VIX_EXP", "d", 9, 30, n, f,
-                     "official"))
-
-    # US general election: even years, Tuesday after the first Monday of November
-    el = (mo.where((F.col("mo") == 11) & (F.pmod("y", F.lit(2)) == 0))
-            .withColumn("d", F.date_add(nth_weekday(F.col("m"), 0, 1), 1)))
-    kind = F.when(F.pmod("y", F.lit(4)) == 0, F.lit("presidential")).otherwise(F.lit("midterm"))
-    n, f = _txt("US_ELECTION", kind=kind)
-    out.append(_emit(el, "US_ELECTION", "d", 20, 0, n, f, "official"))
-    return _union(out)
-
-
-def _fred_state(df: DataFrame, release: str, schedules: DataFrame | None,
-                coverage: DataFrame | None) -> DataFrame:
-    """Add ``_listed`` (d is in the release schedule of year(d)) and ``_avail``."""
-    if schedules is None or coverage is None:
-        return df.withColumn("_listed", F.lit(False)).withColumn("_avail", F.lit(False))
-    s = (schedules.where(F.col("release") == release)
-                  .select(F.col("year").alias("_y"), F.col("d").alias("_ld"), F.lit(True).alias("_listed"))
-                  .distinct())
-    c = coverage.where(F.col("release") == release).select(F.col("year").alias("_cy"),
-                                                           F.lit(True).alias("_avail")).distinct()
-    return (df.join(s, (F.year("d") == F.col("_y")) & (F.col("d") == F.col("_ld")), "left")
-              .join(c, F.year("d") == F.col("_cy"), "left")
-              .withColumn("_listed", F.coalesce("_listed", F.lit(False)))
-              .withColumn("_avail", F.coalesce("_avail", F.lit(False)))
-              .drop("_y", "_ld", "_cy"))
+    return rule_events(cal, lk, index_rules(), keep_month_edge=keep_month_edge)
 
 
 def macro_events(cal: DataFrame, lk: DataFrame, schedules: DataFrame | None = None,
                  coverage: DataFrame | None = None, keep_month_edge: bool = False) -> DataFrame:
     """CPI, PPI, NFP, GDP, PCE, JOLTS, retail, ADP, UMich, durables, ECI, CB, claims, ISM."""
-    days = cal.select("d", "is_session")
-    mo = month_table(cal)
-    out = []
-    edge = (lambda df: df) if keep_month_edge else (lambda df: df.where(_in_month()))
-
-    def scheduled(sym, release, rule_df, hour, minute, key, refs, fred_only=False):
-        """Day-level three-valued schedule logic: listed -> fred; not available
-        and the day equals the rule date -> rule; otherwise nothing."""
-        st = _fred_state(days, release, schedules, coverage)
-        listed = st.where(F.col("_listed") & F.col("_avail")).withColumn("_src", F.lit("fred"))
-        parts = [listed]
-        if not fred_only:
-            r = edge(rule_df).select("d").join(st.where(~F.col("_avail")), "d").withColumn("_src", F.lit("rule"))
-            parts.append(r)
-        ev = _union(parts).drop("_listed", "_avail")
-        ev = ev.withColumn("m", F.trunc("d", "MM")).withColumn("y", F.year("m")).withColumn("mo", F.month("m"))
-        cols = refs(ev)
-        n, f = _txt(key, **cols["text"])
-        out.append(_emit(ev, sym, "d", hour, minute, n, f, F.col("_src"), cols.get("release_for"),
-                         **cols.get("refs", {})))
-
-    def prev_refs(ev):
-        ref = _prev_label()
-        pm = F.add_months(F.col("m"), -1)
-        return {"text": {"ref": ref}, "release_for": ref,
-                "refs": {"ref_year": F.year(pm), "ref_month": F.month(pm)}}
-
-    tenth = mo.withColumn("d", F.date_add("m", 9))
-    cpi = _shift(tenth, "d", lk, "ns")
-    scheduled("CPI", "CPI", cpi, 8, 30, "CPI", prev_refs)
-    ppi = _shift(cpi.withColumn("d", F.date_add("d", 1)), "d", lk, "ns")
-    scheduled("PPI", "PPI", ppi, 8, 30, "PPI", prev_refs)
-    nfp = _shift(mo.withColumn("d", _nfp_raw(F.col("m"))), "d", lk, "ps")
-    scheduled("NFP", "NFP", nfp, 8, 30, "NFP", prev_refs)
-
-    gdp = mo.withColumn("d", F.when(F.col("mo") == 12, F.make_date("y", F.lit(12), F.lit(23)))
-                        .otherwise(last_weekday(F.col("m"), 3)))
-    gdp = _shift(gdp, "d", lk, "ps")
-
-    def gdp_refs(ev):
-        q = F.when(F.floor((F.col("mo") - 1) / 3) == 0, F.lit(4)).otherwise(F.floor((F.col("mo") - 1) / 3))
-        qy = F.when(F.col("mo") > 3, F.col("y")).otherwise(F.col("y") - 1)
-        est = F.element_at(F.array(F.lit("advance"), F.lit("second"), F.lit("third")),
-                           (F.pmod(F.col("mo") - 1, F.lit(3)) + 1).cast("int"))
-        label = F.concat(F.lit("Q"), q.cast("string"), F.lit(" "), qy.cast("string"))
-        return {"text": {"q": q, "qy": qy, "estimate": est}, "release_for": label,
-                "refs": {"ref_q": q, "ref_qy": qy, "ref_estimate": est}}
-
-    scheduled("GDP", "GDP", gdp, 8, 30, "GDP", gdp_refs)
-    pce = mo.withColumn("d", F.when(F.col("mo") == 12, F.make_date("y", F.lit(12), F.lit(22)))
-                        .otherwise(last_weekday(F.col("m"), 4)))
-    scheduled("PCE", "PCE", _shift(pce, "d", lk, "ps"), 8, 30, "PCE", prev_refs)
-
-    def jolts_refs(ev):
-        ref = month_label(F.add_months(F.col("m"), -2))
-        return {"text": {"ref": ref}, "release_for": ref}
-
-    scheduled("JOLTS", "JOLTS", mo.withColumn("d", F.col("m")), 10, 0, "JOLTS", jolts_refs, fred_only=True)
-    retail = _shift(mo.withColumn("d", F.date_add("m", 14)), "d", lk, "ns")
-    scheduled("RETAIL_SALES", "RETAIL", retail, 8, 30, "RETAIL_SALES", prev_refs)
-
-    # ADP: session on/before the Wednesday strictly before the month's NFP date
-    nfp_month = _nfp_dates(mo, nfp, schedules, coverage)
-    adp = nfp_month.withColumn("d", F.date_sub("nfp", F.pmod(F.weekday("nfp") - 2 + 6, F.lit(7)) + 1))
-    adp = edge(_shift(adp, "d", lk, "ps"))
-    n, f = _txt("ADP", ref=_prev_label())
-    out.append(_emit(adp, "ADP", "d", 8, 15, n, f, "rule", _prev_label()))
-
-    def simple(sym, df, shift, hour, minute, key, text_cols, release_for=None, months=None, **refs):
-        if months:
-            df = df.where(F.col("mo").isin(*months))
-        if shift:
-            df = _shift(df, "d", lk, shift)
-        df = edge(df)
-        n, f = _txt(key, **text_cols)
-        out.append(_emit(df, sym, "d", hour, minute, n, f, "rule", release_for, **refs))
-
-    cur = month_label(F.col("m"))
-    prev = _prev_label()
-    pm = F.add_months(F.col("m"), -1)
-    simple("UMICH_PRELIM", mo.withColumn("d", nth_weekday(F.col("m"), 4, 2)), "ps", 10, 0, "UMICH_PRELIM",
-           {"cur": cur}, cur)
-    simple("UMICH_FINAL", mo.withColumn("d", last_weekday(F.col("m"), 4)), "ps", 10, 0, "UMICH_FINAL",
-           {"cur": cur}, cur)
-    simple("DURABLE_GOODS", mo.withColumn("d", F.date_add("m", 24)), "ns", 8, 30, "DURABLE_GOODS",
-           {"ref": prev}, prev, ref_year=F.year(pm), ref_month=F.month(pm))
-    eq = F.element_at(F.array(*[F.lit(x) for x in (4, 0, 0, 1, 0, 0, 2, 0, 0, 3, 0, 0)]), F.col("mo"))
-    eqy = F.when(F.col("mo") == 1, F.col("y") - 1).otherwise(F.col("y"))
-    simple("ECI", mo.withColumn("d", F.last_day("m")), "ps", 8, 30, "ECI", {"q": eq, "qy": eqy},
-           F.concat(F.lit("Q"), eq.cast("string"), F.lit(" "), eqy.cast("string")), months=(1, 4, 7, 10))
-    simple("CB_CONFIDENCE", mo.withColumn("d", last_weekday(F.col("m"), 1)), "ps", 10, 0, "CB_CONFIDENCE",
-           {"cur": cur}, cur)
-
-    # ISM: first and third session of the month
-    for sym, n_s in (("ISM_MFG", 1), ("ISM_SVC", 3)):
-        ism = cal.where(F.col("session_no") == n_s).select("d", F.trunc("d", "MM").alias("m"))
-        n, f = _txt(sym, ref=_prev_label())
-        out.append(_emit(ism, sym, "d", 10, 0, n, f, "rule", _prev_label()))
-
-    # Jobless claims: Thursday sessions except 11 November; else the Wednesday before
-    thu = F.date_add("d", 1)
-    nov11 = lambda c: (F.month(c) == 11) & (F.dayofmonth(c) == 11)
-    nxt = lk.select(F.col("d").alias("_t"), F.col("is_session").alias("_t_sess"))
-    cl = cal.select("d", "is_session").join(F.broadcast(nxt), F.col("_t") == thu, "left")
-    claims = cl.where(((F.weekday("d") == 3) & F.col("is_session") & ~nov11(F.col("d")))
-                      | ((F.weekday("d") == 2) & (~F.coalesce(F.col("_t_sess"), F.lit(False)) | nov11(thu))))
-    we = F.date_sub("d", F.pmod(F.weekday("d") - 5, F.lit(7)))
-    n, f = _txt("JOBLESS_CLAIMS", week_ending=F.date_format(we, "yyyy-MM-dd"))
-    out.append(_emit(claims, "JOBLESS_CLAIMS", "d", 8, 30, n, f, "rule", F.date_format(we, "yyyy-MM-dd"),
-                     ref_week_ending=we))
-    return _union(out)
-
-
-def _nfp_raw(m: Column) -> Column:
-    """Rule date before the session shift: Saturday on/after the 12th of the
-    previous month, + 20 days, + 7 when that lands on 1-5 January."""
-    ref_day = F.date_add(F.add_months(m, -1), 11)
-    sat = F.date_add(ref_day, F.pmod(F.lit(5) - F.weekday(ref_day), F.lit(7)))
-    rel = F.date_add(sat, 20)
-    return F.when((F.month(rel) == 1) & (F.dayofmonth(rel) <= 5), F.date_add(rel, 7)).otherwise(rel)
-
-
-def _nfp_dates(mo: DataFrame, nfp_rule: DataFrame, schedules: DataFrame | None,
-               coverage: DataFrame | None) -> DataFrame:
-    """(m, nfp): earliest listed NFP date in the month; the rule date when the
-    NFP schedule of that year is not available; no row otherwise."""
-    rule = nfp_rule.select("m", "y", "mo", F.col("d").alias("_rule"))
-    if schedules is None or coverage is None:
-        return rule.select("m", "y", "mo", F.col("_rule").alias("nfp"))
-    listed = (schedules.where(F.col("release") == "NFP")
-                       .where(F.year("d") == F.col("year"))
-                       .groupBy(F.trunc("d", "MM").alias("m")).agg(F.min("d").alias("_listed")))
-    avail = coverage.where(F.col("release") == "NFP").select(F.col("year").alias("y"),
-                                                             F.lit(True).alias("_avail")).distinct()
-    j = rule.join(listed, "m", "left").join(avail, "y", "left")
-    nfp = F.when(F.col("_avail").isNotNull(), F.col("_listed")).otherwise(F.col("_rule"))
-    return j.select("m", "y", "mo", nfp.alias("nfp")).where(F.col("nfp").isNotNull())
+    return rule_events(cal, lk, macro_rules(), (), True, schedules, coverage, keep_month_edge)
 
 
 def coupon_auctions(auctions: DataFrame, prefer: str = "first") -> DataFrame:
@@ -502,55 +490,42 @@ _AUCTION_COLUMNS = ("type", "originalSecurityTerm", "reopening", "offeringAmount
 
 def treasury_events(spark: SparkSession, cal: DataFrame, auctions: DataFrame | None = None, prefer: str = "first") -> DataFrame:
     """QRA statements and one event per de-duplicated coupon auction (see ``coupon_auctions``)."""
-    days = cal.select("d")
-    qra = spark.createDataFrame([(s,) for s in QRA_DATES], "s string").select(F.to_date("s").alias("d"))
-    n, f = _txt("QRA")
-    out = [_emit(qra.join(days, "d"), "QRA", "d", 8, 30, n, f, "official")]
-    if auctions is not None:
-        a = coupon_auctions(auctions, prefer).join(days, "d")
-        term = F.split_part(F.col("originalSecurityTerm"), F.lit("-"), F.lit(1))
-        kind = F.when(F.col("type") == "Note", F.lit("note")).otherwise(F.lit("bond"))
-        reopen = F.col("reopening") == "Yes"
-        amt = F.try_divide(_num(F.col("offeringAmount")), F.lit(1e9))
-        amount = F.coalesce(F.concat(F.lit("$"), py_fixed(amt, 0), F.lit("B")), F.lit("size TBA"))
-        n, f = _txt("AUCTION", term=term, kind=kind,
-                    reopen=F.when(reopen, F.lit(" reopening")).otherwise(F.lit("")), amount=amount)
-        out.append(_emit(a, F.concat(F.lit("AUCTION_"), term, F.lit("Y")), "d", 13, 0, n, f, "official", None,
-                         auction_term=term, auction_kind=kind, auction_reopen=F.coalesce(reopen, F.lit(False)),
-                         auction_amount=F.col("offeringAmount"), auction_high_yield=F.col("highYield"),
-                         auction_btc=F.col("bidToCoverRatio")))
-    return _union(out)
-
-
-def _num(c: Column) -> Column:
-    from ..functions.casts import try_double
-    return try_double(strip_chars(c))
-
-
-def _union(parts: list[DataFrame]) -> DataFrame:
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    from .trading_calendar import shift_lookup
+    out = rule_events(cal, shift_lookup(cal), [], ("QRA",))
+    return out if auctions is None else out.unionByName(auction_events(cal, auctions, prefer))
+
+
+def auction_events(cal: DataFrame, auctions: DataFrame, prefer: str = "first") -> DataFrame:
+    """The event of each coupon auction on a day of the calendar."""
+    a = coupon_auctions(auctions, prefer).join(F.broadcast(cal.select("d")), "d", "left_semi")
+    term = F.split_part(F.col("originalSecurityTerm"), F.lit("-"), F.lit(1))
+    kind = F.when(F.col("type") == "Note", F.lit("note")).otherwise(F.lit("bond"))
+    reopen = F.coalesce(F.col("reopening") == "Yes", F.lit(False))
+    size = F.try_divide(try_double(strip_chars(F.col("offeringAmount"))), F.lit(1e9))
+    amount = F.coalesce(F.concat(F.lit("$"), py_fixed(size, 0), F.lit("B")), F.lit("size TBA"))
+    fields = {"term": term, "kind": kind, "reopen": F.when(reopen, F.lit(" reopening")).otherwise(F.lit("")), "amount": amount}
+    name, fallback = (fmt(t, **fields) for t in TEXT["AUCTION"])
+    return _event(a, F.concat(F.lit("AUCTION_"), term, F.lit("Y")), F.col("d"), F.lit(13), F.lit(0), name, fallback, F.lit("official"), F.lit(None),
+                  auction_term=term, auction_kind=kind, auction_reopen=reopen, auction_amount=F.col("offeringAmount"),
+                  auction_high_yield=F.col("highYield"), auction_btc=F.col("bidToCoverRatio"))
 
 
 def all_events(spark: SparkSession, cal: DataFrame, schedules: DataFrame | None = None,
                coverage: DataFrame | None = None, auctions: DataFrame | None = None,
                keep_month_edge: bool = False, start: Column | None = None,
-               end: Column | None = None) -> DataFrame:
+               end: Column | None = None, prefer: str = "first") -> DataFrame:
     """Every event family over the calendar's days.
 
     ``cal`` comes from ``session_calendar(..., trim=False)`` (padded, so shifts
     near the edges resolve); ``start``/``end`` bound the emitted days.
     """
     from .trading_calendar import shift_lookup
-    # every rule reads the calendar: it is computed once
+    # the rules read the calendar more than once: it is computed once
     cal = checkpointed(cal)
-    lk = checkpointed(shift_lookup(cal))
-    parts = [central_bank_events(spark, cal, lk), index_events(cal, lk, keep_month_edge),
-             macro_events(cal, lk, schedules, coverage, keep_month_edge),
-             treasury_events(spark, cal, auctions)]
-    out = _union(parts)
+    rules = [*central_bank_rules(), *index_rules(), *macro_rules()]
+    out = rule_events(cal, shift_lookup(cal), rules, (*CENTRAL_BANKS, "QRA"), True, schedules, coverage, keep_month_edge)
+    if auctions is not None:
+        out = out.unionByName(auction_events(cal, auctions, prefer))
     if start is not None and end is not None:
         out = out.where(F.col("d").between(start, end))
     return out
