@@ -3,6 +3,7 @@ monthly studies."""
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.casts import typed_column
 from ..functions.dates import month_floor_ntz
+from ..operators.asof import asof_backward
 from ..operators.filters import line_filter
 
 # The report's descriptive (non-numeric) columns, and the name
@@ -28,6 +30,7 @@ TEXT_COLUMNS = {
     "FutOnly_or_Combined",
 }
 FLOAT_COLUMN_KEYWORDS = ("Pct", "Conc_")
+# The contract of the study, the word that marks another one, and the columns of day and market.
 SEARCH_TERM = "E-MINI S&P 500"
 EXCLUDE_TERM = "MICRO"
 DATE_COLUMN = "Report_Date_as_YYYY-MM-DD"
@@ -72,3 +75,22 @@ def cot_monthly(cot: DataFrame, value: str, by_sym: bool = False) -> DataFrame:
     keys = (["sym"] if by_sym else []) + [month_floor_ntz(F.col("time")).alias("time")]
     out = cot.groupBy(*keys).agg(F.avg(f"`{value}`").alias(value))
     return out.orderBy(*(["sym"] if by_sym else []), "time")
+
+
+def add_price(rows: DataFrame, prices: DataFrame, price: str = "close", symbols: DataFrame | None = None, days_back: int | None = None) -> DataFrame:
+    """``rows`` (date, sym, ...) with ``price`` of ``prices`` (date, sym, price; one row for each date and sym).
+
+    ``symbols`` (sym, price_sym) names the symbol that a row's price goes by; a row whose
+    symbol it lacks has no price. Only the price of the same day counts, or with ``days_back`` the last one of that day or at most so many days before.
+    """
+    own = rows.columns
+    if symbols is None:
+        rows = rows.withColumn("price_sym", F.col("sym"))
+    else:
+        rows = rows.join(symbols.select("sym", "price_sym"), "sym", "left")
+    prices = prices.select(F.col("sym").alias("price_sym"), F.col("date").alias("price_date"), price)
+    if days_back is None:
+        same = (rows["price_sym"] == prices["price_sym"]) & (rows["date"] == prices["price_date"])
+        return rows.join(prices, same, "left").select(*[rows[c] for c in own], price)
+    found = asof_backward(rows, prices, ["price_sym"], "date", "price_date", _dt.timedelta(days=days_back), [price], "found_")
+    return found.select(*own, F.col(f"found_{price}").alias(price))

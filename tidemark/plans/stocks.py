@@ -7,11 +7,14 @@ on (date, ticker). Ticker types are current values applied to every date.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.readers import file_date, read_csv_typed
 from ..sources.schemas import DIVIDENDS_JSON, SPLITS_JSON, TICKER_PAGES_JSON, TICKER_TYPES_JSON
+from ..sources.sinks import write_partitioned
 
 
 def read_day_bars(spark: SparkSession, path: str, ddl: str) -> DataFrame:
@@ -81,6 +84,6 @@ def stock_day(bars: DataFrame, splits: DataFrame, dividends: DataFrame,
     return out
 
 
-def stock_min1(bars: DataFrame) -> DataFrame:
-    """Minute bars: no enrichment; the date column drives the partitioned write."""
-    return bars
+def stock_min1(spark: SparkSession, path: str, ddl: str, out: str, time_columns: Sequence[str] = ("window_start",)) -> None:
+    """Minute bars of many day files to one table partitioned by date, each file by ticker and time; a day is overwritten as a whole."""
+    write_partitioned(read_minute_bars(spark, path, ddl), out, ["date"], [F.col("ticker"), *map(F.col, time_columns)])

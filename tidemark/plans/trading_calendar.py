@@ -122,6 +122,20 @@ def shift_lookup(cal: DataFrame) -> DataFrame:
                       F.col("next_session").alias("ns"))
 
 
-def nth_session(cal: DataFrame, n: int) -> DataFrame:
-    """(month, d) of the n-th session of each month."""
-    return cal.where(F.col("session_no") == n).select("month", "d")
+def within_calendar(rows: DataFrame, column: str, cal: DataFrame) -> DataFrame:
+    """``rows``, with a check in the plan: a day outside the range of the calendar fails the job. A null day passes."""
+    # two values reach the driver; a calendar has a row for every day between them
+    first, last = cal.agg(F.min("d"), F.max("d")).first()
+    day = F.col(column)
+    inside = day.between(F.lit(first), F.lit(last)) if first else F.lit(False)
+    message = F.concat(F.lit(f"outside the calendar of {first} to {last}: "), day.cast("string"))
+    return rows.withColumn(column, F.when(day.isNull() | inside, day).otherwise(F.raise_error(message).cast(rows.schema[column].dataType)))
+
+
+def session_of(rows: DataFrame, column: str, cal: DataFrame, side: str, out: str) -> DataFrame:
+    """``rows`` with the session on or before (``side`` = prev) or on or after (next) a day; a day outside the calendar fails the job."""
+    if side not in ("prev", "next"):
+        raise ValueError(f"side is prev or next, not {side}")
+    # one row a day of the range
+    lookup = F.broadcast(cal.select(F.col("d").alias("_day"), F.col(f"{side}_session").alias(out)))
+    return within_calendar(rows, column, cal).join(lookup, F.col(column) == F.col("_day"), "left").drop("_day")

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_MODULES = ["holdings_q", "joins_q", "reconcile_q", "text_q", "timeseries_q", "calendar_q", "io_q", "build_q", "summary_q"]
+_MODULES = ["holdings_q", "joins_q", "reconcile_q", "text_q", "timeseries_q", "calendar_q", "io_q", "build_q", "summary_q", "landed_q"]
 
 
 def all_queries() -> dict:

@@ -12,11 +12,13 @@ import datetime as _dt
 from pyspark.sql import functions as F
 
 from ..functions.dates import last_weekday, month_label, nth_weekday, wall_clock_utc
-from ..plans.events import (BOJ_DECISIONS_JST, ECB_DECISIONS, FOMC_MEETINGS, QRA_DATES, TEXT, central_bank_events,
-                            index_events, macro_events, treasury_events, uncovered_years)
-from ..plans.trading_calendar import session_calendar, shift_lookup
+from ..plans.events import (BOJ_DECISIONS_JST, ECB_DECISIONS, FOMC_MEETINGS, QRA_DATES, RELEASES, TEXT, central_bank_events,
+                            index_events, macro_events, market_events, release_coverage, treasury_events, uncovered_years)
+from ..plans.trading_calendar import session_calendar, shift_lookup, within_calendar
 from ..session import checkpointed
+from ..sources.readers import read_fred_release_dates, read_fred_release_names
 from .base import Tables
+from .io_q import _stage
 
 NOW = _dt.datetime(1998, 6, 30, 12, 0, 0)
 
@@ -86,7 +88,7 @@ def _cal(spark, t: Tables, trim: bool = True, days=None):
 def q_session_fill(spark, sf):
     t = Tables(spark, sf)
     cal, _, _ = _cal(spark, t)
-    return (_order_days(t).join(cal, "d")
+    return (within_calendar(_order_days(t), "d", cal).join(cal, "d")
             .select("d", "n_orders", "is_session", "prev_session", "next_session", "session_no",
                     "first_session", "last_session"))
 
@@ -270,7 +272,11 @@ def q_macro_rules(spark, sf):
     t = Tables(spark, sf)
     cal, lo, hi = _cal(spark, t, trim=False)
     ev = macro_events(cal, shift_lookup(cal)).where(F.col("d").between(lo, hi))
-    return _with_counts(t, ev)
+    return _macro_columns(t, ev)
+
+
+def _macro_columns(t: Tables, ev):
+    return _with_counts(t, ev, F.col("time").cast("timestamp_ntz").alias("time"), "event_name", "summary_fallback", "release_for")
 
 
 def _auction_feeds(t: Tables):
@@ -339,9 +345,27 @@ _SQL_MACRO_SIMPLE = " UNION ALL ".join([
     _rule_sql("CB_CONFIDENCE", None, _last_sql("m", 1), "prev_session", "rule"),
 ])
 
-SQL_MACRO_RULES = f"""
+#: fixed values: New York minutes of the day of each macro release
+_MACRO_MINUTES = {"CPI": 510, "PPI": 510, "NFP": 510, "GDP": 510, "PCE": 510, "JOLTS": 600, "RETAIL_SALES": 510, "ADP": 495, "UMICH_PRELIM": 600, "UMICH_FINAL": 600,
+                  "DURABLE_GOODS": 510, "ECI": 510, "CB_CONFIDENCE": 600, "ISM_MFG": 600, "ISM_SVC": 600, "JOBLESS_CLAIMS": 510}
+_SQL_MACRO_TEXTS = "(VALUES " + ", ".join(f"('{k}', {m}, {', '.join(_text_sql(k))})" for k, m in _MACRO_MINUTES.items()) + ")"
+_FIELDS = ("ref", "cur", "q", "qy", "estimate", "week_ending")
+
+
+def _filled_sql(text: str) -> str:
+    for field in _FIELDS:
+        text = f"replace({text}, '{{{field}}}', {field})"
+    return text
+
+
+def _macro_sql(listed: str, avail: str) -> str:
+    """The macro events where ``avail`` (release, y) are the available schedules and ``listed`` (release, y, d) their days."""
+    return f"""
 WITH {_SQL_CAL},
 mt AS (SELECT DISTINCT month AS m FROM cal),
+names(release, sym) AS (VALUES ('CPI', 'CPI'), ('PPI', 'PPI'), ('NFP', 'NFP'), ('GDP', 'GDP'), ('PCE', 'PCE'), ('JOLTS', 'JOLTS'), ('RETAIL', 'RETAIL_SALES')),
+om AS (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS m, CAST(min(o_orderdate) AS DATE) AS first_day FROM orders GROUP BY 1),
+avail AS ({avail}), listed AS ({listed}),
 ppi AS (SELECT mt.m, c2.next_session AS d FROM mt
           JOIN cal c1 ON c1.d = CAST(mt.m + INTERVAL 9 DAY AS DATE)
           JOIN cal c2 ON c2.d = CAST(c1.next_session + 1 AS DATE)),
@@ -349,25 +373,77 @@ nr AS (SELECT m, CAST(m - INTERVAL 1 MONTH + INTERVAL 11 DAY AS DATE) AS ref_day
 ns AS (SELECT m, CAST(ref_day + INTERVAL (((5 - (isodow(ref_day) - 1)) % 7 + 7) % 7) DAY + INTERVAL 20 DAY AS DATE) AS rel FROM nr),
 nfp AS (SELECT ns.m, c.prev_session AS d FROM ns JOIN cal c
           ON c.d = CASE WHEN month(rel) = 1 AND day(rel) <= 5 THEN CAST(rel + 7 AS DATE) ELSE rel END),
-adp AS (SELECT nfp.m, c.prev_session AS d FROM nfp JOIN cal c
-          ON c.d = CAST(nfp.d - INTERVAL ((((isodow(nfp.d) - 1) - 2 + 6) % 7 + 7) % 7 + 1) DAY AS DATE)),
+pub AS (SELECT CAST(date_trunc('month', d) AS DATE) AS m, min(d) AS d FROM listed WHERE release = 'NFP' GROUP BY 1),
+nfp2 AS (SELECT nfp.m, CASE WHEN EXISTS (SELECT 1 FROM avail a WHERE a.release = 'NFP' AND a.y = year(nfp.m)) THEN pub.d ELSE nfp.d END AS d
+         FROM nfp LEFT JOIN pub ON pub.m = nfp.m),
+adp AS (SELECT nfp2.m, c.prev_session AS d FROM nfp2 JOIN cal c
+          ON c.d = CAST(nfp2.d - INTERVAL ((((isodow(nfp2.d) - 1) - 2 + 6) % 7 + 7) % 7 + 1) DAY AS DATE)),
 claims AS (SELECT c.d FROM cal c LEFT JOIN cal t ON t.d = CAST(c.d + 1 AS DATE)
            WHERE (isodow(c.d) = 4 AND c.is_session AND NOT (month(c.d) = 11 AND day(c.d) = 11))
               OR (isodow(c.d) = 3 AND (NOT coalesce(t.is_session, false)
                                        OR (month(c.d + 1) = 11 AND day(c.d + 1) = 11)))),
-ev AS ({_SQL_MACRO_SIMPLE}
+rules AS ({_SQL_MACRO_SIMPLE}
   UNION ALL SELECT 'PPI', d, 'rule' FROM ppi WHERE date_trunc('month', d) = m
   UNION ALL SELECT 'NFP', d, 'rule' FROM nfp WHERE date_trunc('month', d) = m
   UNION ALL SELECT 'ADP', d, 'rule' FROM adp WHERE date_trunc('month', d) = m
   UNION ALL SELECT 'ISM_MFG', d, 'rule' FROM cal WHERE session_no = 1
   UNION ALL SELECT 'ISM_SVC', d, 'rule' FROM cal WHERE session_no = 3
   UNION ALL SELECT 'JOBLESS_CLAIMS', d, 'rule' FROM claims),
-od AS (SELECT CAST(o_orderdate AS DATE) AS d, count(*) AS n FROM orders GROUP BY 1)
-SELECT ev.d, ev.sym, ev.schedule_source, coalesce(od.n, 0) AS n_orders
-FROM ev LEFT JOIN od USING (d), span WHERE ev.d BETWEEN span.lo AND span.hi
+ev AS (SELECT * FROM rules r WHERE NOT EXISTS (SELECT 1 FROM names n JOIN avail a ON a.release = n.release WHERE n.sym = r.sym AND a.y = year(r.d))
+  UNION ALL SELECT DISTINCT n.sym, l.d, 'fred' FROM listed l JOIN names n USING (release)),
+f AS (SELECT *, CAST(date_trunc('month', d) AS DATE) AS m, (month(d) - 1) // 3 AS q0 FROM ev),
+g AS (SELECT *, strftime(m - CASE WHEN sym = 'JOLTS' THEN INTERVAL 2 MONTH ELSE INTERVAL 1 MONTH END, '%B %Y') AS ref, strftime(m, '%B %Y') AS cur,
+             CAST(CASE WHEN q0 = 0 THEN 4 ELSE q0 END AS VARCHAR) AS q, CAST(CASE WHEN month(m) > 3 THEN year(m) ELSE year(m) - 1 END AS VARCHAR) AS qy,
+             ['advance', 'second', 'third'][(month(m) - 1) % 3 + 1] AS estimate,
+             strftime(CAST(d - INTERVAL (((isodow(d) - 1 - 5) % 7 + 7) % 7) DAY AS DATE), '%Y-%m-%d') AS week_ending FROM f),
+od AS (SELECT CAST(o_orderdate AS DATE) AS d, count(*) AS n FROM orders GROUP BY 1),
+tx AS (SELECT * FROM {_SQL_MACRO_TEXTS} v(sym, mi, event_name, fallback))
+SELECT g.d, g.sym, g.schedule_source, coalesce(od.n, 0) AS n_orders,
+       ((CAST(g.d AS TIMESTAMP) + to_minutes(tx.mi)) AT TIME ZONE 'America/New_York') AT TIME ZONE 'UTC' AS time,
+       {_filled_sql("event_name")} AS event_name, {_filled_sql("fallback")} AS summary_fallback,
+       CASE WHEN g.sym IN ('GDP', 'ECI') THEN 'Q' || q || ' ' || qy WHEN g.sym IN ('UMICH_PRELIM', 'UMICH_FINAL', 'CB_CONFIDENCE') THEN cur
+            WHEN g.sym = 'JOBLESS_CLAIMS' THEN week_ending ELSE ref END AS release_for
+FROM g JOIN tx USING (sym) LEFT JOIN od USING (d), span WHERE g.d BETWEEN span.lo AND span.hi
 """
 
 
+SQL_MACRO_RULES = _macro_sql("SELECT '' AS release, 0 AS y, DATE '1900-01-01' AS d WHERE false", "SELECT '' AS release, 0 AS y WHERE false")
+
+
+def q_macro_scheduled(spark, sf):
+    """Macro releases with landed schedules: for a release and year either days, an empty list, a broken payload or none.
+
+    The name fetched for one release is not the expected one, so its schedules do not count.
+    """
+    t = Tables(spark, sf)
+    cal, lo, hi = _cal(spark, t, trim=False)
+    base = _stage(spark)
+    numbered = [(k, r, *v) for k, (r, v) in enumerate(RELEASES.items())]
+    releases = spark.createDataFrame(numbered, "k int, release string, release_id long, phrase string")
+    every = F.inline(F.array(*[F.struct(F.lit(k).alias("k"), F.lit(r).alias("release")) for k, r, _, _ in numbered]))
+    name = F.when(F.col("release") == "PCE", F.lit("Something Else")).otherwise(F.concat(F.lit("The "), F.initcap("phrase"), F.lit(" Report")))
+    releases.select("release_id", F.array(F.struct(name.alias("name"))).alias("releases")).write.json(f"{base}/names")
+    months = t.orders.groupBy(F.trunc(F.col("o_orderdate").cast("date"), "MM").alias("m")).agg(F.min(F.col("o_orderdate").cast("date")).alias("first_day"))
+    # twelve days a payload at most
+    payload = (months.select("*", every).withColumn("year", F.year("m"))
+                     .groupBy("release", "k", "year").agg(F.sort_array(F.collect_list(F.struct(F.date_add("first_day", F.col("k")).cast("string").alias("date")))).alias("days")))
+    kind = (F.col("k") + F.col("year")) % 3
+    text = F.to_json(F.struct("release", "year", F.when(kind == 1, F.col("days")).otherwise(F.filter("days", lambda x: F.lit(False))).alias("release_dates")))
+    payload = payload.where((kind != 0) | (F.col("year") % 2 == 0))
+    payload.select(F.when(kind == 0, F.substring(text, 1, 20)).otherwise(text).alias("value")).write.text(f"{base}/dates")
+    dates = checkpointed(read_fred_release_dates(spark, f"{base}/dates"))
+    coverage = release_coverage(read_fred_release_names(spark, f"{base}/names"), dates)
+    ev = macro_events(cal, shift_lookup(cal), dates, coverage).where(F.col("d").between(lo, hi))
+    return _macro_columns(t, ev)
+
+
+_SQL_RELEASES = "(VALUES " + ", ".join(f"({k}, '{r}')" for k, r in enumerate(RELEASES)) + ") v(k, release)"
+SQL_MACRO_SCHEDULED = _macro_sql(
+    f"SELECT release, year(m) AS y, CAST(first_day + CAST(k AS INT) AS DATE) AS d FROM om, {_SQL_RELEASES} "
+    "WHERE (k + year(m)) % 3 = 1 AND release <> 'PCE' AND year(first_day + CAST(k AS INT)) = year(m)",
+    f"SELECT DISTINCT release, year(m) AS y FROM om, {_SQL_RELEASES} WHERE (k + year(m)) % 3 <> 0 AND release <> 'PCE'")
+
+
 def _later(t: Tables):
     """Order days thirty years on, where the embedded calendars are."""
     return t.orders.select(F.add_months(F.col("o_orderdate").cast("date"), 360).alias("day"))
@@ -388,6 +464,18 @@ def q_uncovered_years(spark, sf):
     return uncovered_years(cal)
 
 
+#: in the middle of the later span
+LATER_NOW = _dt.datetime(2028, 6, 30, 12, 0, 0)
+
+
+def q_event_table(spark, sf):
+    """The whole event table over the later span: every family, what has happened by then, and the texts of that."""
+    t = Tables(spark, sf)
+    cal, lo, hi = _cal(spark, t, trim=False, days=_later(t))
+    ev = market_events(spark, cal, LATER_NOW, start=lo, end=hi)
+    return ev.withColumn("time", F.col("time").cast("timestamp_ntz"))
+
+
 def _days_sql(days: list[str]) -> str:
     return "(SELECT CAST(x AS DATE) AS d FROM (VALUES " + ", ".join(f"('{x}')" for x in days) + ") v(x))"
 
@@ -422,6 +510,20 @@ SELECT d, ((CAST(d AS TIMESTAMP) + to_minutes(mi)) AT TIME ZONE 'America/New_Yor
 FROM ev, span WHERE d BETWEEN span.lo AND span.hi
 """
 
+def _later_sql(sql: str) -> str:
+    return sql.replace(_SQL_CAL, _SQL_LATER_CAL)
+
+
+SQL_EVENT_TABLE = f"""
+WITH ev AS (
+  SELECT time, sym, event_name, release_for, schedule_source, summary_fallback FROM ({_later_sql(SQL_MACRO_RULES)}) a
+  UNION ALL SELECT time, sym, event_name, NULL, schedule_source, summary_fallback FROM ({_later_sql(SQL_CALENDAR_RULES)}) b
+  UNION ALL SELECT time, sym, event_name, NULL, schedule_source, summary_fallback FROM ({SQL_LIST_SCHEDULES}) c)
+SELECT time, sym, event_name, release_for, CASE WHEN time <= TIMESTAMP '{LATER_NOW:%Y-%m-%d %H:%M:%S}' THEN 'actual' ELSE 'expected' END AS event_date_type,
+       CASE WHEN time <= TIMESTAMP '{LATER_NOW:%Y-%m-%d %H:%M:%S}' THEN coalesce(summary_fallback, event_name || '.') END AS summarize, schedule_source
+FROM ev ORDER BY time, sym
+"""
+
 SQL_UNCOVERED_YEARS = f"""
 WITH span AS (SELECT {_LATER_SPAN} FROM orders),
 y AS (SELECT CAST(unnest(generate_series(year(lo), year(hi))) AS INT) AS year FROM span),
@@ -434,6 +536,7 @@ WHERE NOT EXISTS (SELECT 1 FROM held h WHERE h.calendar = c.calendar AND h.year
 
 QUERIES = {
     "list_schedules": (q_list_schedules, SQL_LIST_SCHEDULES),
+    "event_table": (q_event_table, SQL_EVENT_TABLE),
     "uncovered_years": (q_uncovered_years, SQL_UNCOVERED_YEARS),
     "nth_weekday": (q_nth_weekday, SQL_NTH_WEEKDAY),
     "last_weekday": (q_last_weekday, SQL_LAST_WEEKDAY),
@@ -443,5 +546,6 @@ QUERIES = {
     "event_status": (q_event_status, SQL_EVENT_STATUS),
     "calendar_rules": (q_calendar_rules, SQL_CALENDAR_RULES),
     "macro_rules": (q_macro_rules, SQL_MACRO_RULES),
+    "macro_scheduled": (q_macro_scheduled, SQL_MACRO_SCHEDULED),
     "auction_rows": (q_auction_rows, SQL_AUCTION_ROWS),
 }
