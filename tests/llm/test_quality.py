@@ -1,10 +1,14 @@
 """Quality rules against brute force and planted outliers; quality score on held-out labels."""
 
+import math
 import random
 import re
 from collections import Counter
 
+import numpy as np
+
 from tidemark.llm import quality_model, quality_rules
+from tidemark.llm import quality_rules as rules
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -96,3 +100,48 @@ def test_score(spark):
     none = quality_model.score_quality(docs, marked.limit(0)).collect()
     assert {x["score"] for x in none} == {0.5}
     assert quality_model.score_quality(docs.limit(0), marked).count() == 0
+
+
+def _least_determinant(rows, core, starts=400):
+    """The least logarithm of a determinant that concentration from random starts finds."""
+    r, best = np.random.default_rng(1), None
+    for _ in range(starts):
+        own = rows[r.choice(len(rows), rules.SIZE + 1, replace=False)]
+        for _ in range(30):
+            spread = np.cov(own.T, bias=True) + 1e-9 * np.eye(rules.SIZE)
+            diff = rows - own.mean(0)
+            distance = np.einsum("ij,jk,ik->i", diff, np.linalg.inv(spread), diff)
+            own = rows[np.argsort(distance)[:core]]
+        # correlations are shrunk by a twentieth, as the estimates' are
+        spread = np.cov(own.T, bias=True)
+        value = np.linalg.slogdet(np.where(np.eye(rules.SIZE), spread, 0.95 * spread))[1]
+        best = value if best is None else min(best, value)
+    return best
+
+
+def test_estimate_has_about_the_least_determinant(spark):
+    # spreads above the floors, correlated, and a fifth of the rows far off on one side
+    r = np.random.default_rng(2)
+    mix = np.eye(rules.SIZE) * 2 + r.normal(size=(rules.SIZE, rules.SIZE)) * 0.6
+    good, bad = r.normal(size=(160, rules.SIZE)) @ mix, r.normal(size=(40, rules.SIZE)) * 0.5 + 14
+    rows = np.concatenate([good, bad])
+    frame = spark.createDataFrame([(["sA"], *map(float, x)) for x in rows], "feeds array<string>, " + ", ".join(f"x{i} double" for i in range(rules.SIZE)))
+    (found,) = rules.estimates(frame, 1).collect()
+    core = math.ceil(rules.CORE * len(rows))
+    # the core is cut in bins, so it may have a few rows more
+    assert found["logdet"] <= _least_determinant(rows, core) + 0.1
+    diff = rows - np.array(found["mean"])
+    distance = np.einsum("ij,jk,ik->i", diff, np.array(found["inv"]).reshape(rules.SIZE, -1), diff) / found["scale"]
+    limit = rules.normal_quantile(rules.CUT)
+    assert (distance[160:] > limit).all() and (distance[:160] <= limit).all()
+
+
+def test_small_tables_are_judged(spark):
+    r = random.Random(5)
+    good = [" ".join(r.choice(["alpha", "beta", "gamma", "delta", "epsilon", "zeta"]) + str(r.randrange(1000)) for _ in range(r.randrange(60, 300))) for _ in range(140)]
+    junk = [" ".join("#" * 12 + str(r.randrange(10**9)) + "$" * 9 for _ in range(70)) for _ in range(10)]
+    docs = spark.createDataFrame([(i, t, f"l{i % 3}", f"s{i % 9}") for i, t in enumerate(good + junk)], "doc_id long, text string, lang string, source string")
+    kept = {row["doc_id"]: row["kept"] for row in rules.judge(docs).collect()}
+    assert not any(kept[i] for i in range(140, 150)) and all(kept[i] for i in range(140))
+    one = rules.judge(docs.limit(1)).collect()
+    assert [row["kept"] for row in one] == [True] and rules.judge(docs.limit(0)).count() == 0

@@ -8,16 +8,17 @@ Method: the statistics of the other texts become a vector of six logarithms
 and shares. For each language and source the minimum-covariance-determinant
 estimate of its centre and spread is found by concentration steps: distances
 under the current estimate, the share (``CORE``) of the rows that is nearest,
-mean and covariance of those, again. All steps are aggregations over the
+mean and covariance of those, again, until no group's determinant falls any more. There are
+two starts, the medians with the floors as spread, and mean and covariance of all rows; of all
+steps of both the estimate with the least determinant counts. All steps are aggregations over the
 rows: distances are counted in fine bins and a table of estimates comes to
 the rows, so no group's rows meet in one task. The spread is scaled so that the median distance is that of a normal
 sample, and each variance has a floor, so that a statistic that hardly varies
 in a group does not reject what differs from it by a trifle. Rows beyond
 ``CUT`` standard deviations of the chi-square distance (Wilson and Hilferty) are rejected.
 
-Groups with fewer than ``FEWEST`` rows that pass the base rules use the estimate of
-their language, those the estimate of all rows; if that has fewer too, only the base rules
-hold. Null language or source is a group of its own; null text has no words
+Groups with fewer than ``FEWEST`` rows that pass the base rules, five for each entry of the vector, use
+the estimate of their language, and if that has fewer too the estimate of all rows, however many those are. Null language or source is a group of its own; null text has no words
 and fails; every row is judged, also with a null or repeated id.
 """
 
@@ -34,9 +35,10 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import U64, Words, blank_table, checkpointed, numbered, pieces, sorted_unique, texts_of, without
 
-FEWEST = 200
 CORE = 0.75
-STEPS = 4
+#: most concentration steps, and the fall of a logarithm of a determinant that asks for another
+STEPS, FALL = 12, 1e-2
+STARTS = 2
 CUT = 9.0
 BIN = 0.02
 MIN_WORDS = 50
@@ -51,6 +53,8 @@ STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
 #: by vector entry: least standard deviation
 FLOORS = (0.5, 0.08, 0.35, 0.05, 0.05, 0.04)
 SIZE = len(FLOORS)
+#: rows that an estimate needs
+FEWEST = 5 * SIZE
 
 
 def repeated_lines(text: bytes) -> tuple[int, int]:
@@ -147,8 +151,7 @@ def grouped(stats: DataFrame) -> tuple[DataFrame, int]:
     sizes = rows.groupBy("pair").agg(F.first("lang").alias("lang"), F.count(F.lit(1)).alias("n"))
     of_lang, everything = Window.partitionBy("lang"), Window.partitionBy()
     own, lang, all_rows = F.col("pair"), _key("l", "lang"), F.lit("all")
-    group = (F.when(F.col("n") >= FEWEST, own).when(F.sum("n").over(of_lang) >= FEWEST, lang)
-             .when(F.sum("n").over(everything) >= FEWEST, all_rows))
+    group = F.when(F.col("n") >= FEWEST, own).when(F.sum("n").over(of_lang) >= FEWEST, lang).otherwise(all_rows)
     names = sizes.withColumn("grp", group)
     feeds = [F.when(F.col("grp") == own, own), F.when(F.max(F.col("grp") == lang).over(of_lang), lang),
              F.when(F.max(F.col("grp") == all_rows).over(everything), all_rows)]
@@ -158,8 +161,9 @@ def grouped(stats: DataFrame) -> tuple[DataFrame, int]:
 
 
 def _members(rows: DataFrame) -> DataFrame:
-    """Each row in every group that estimates from it."""
-    return rows.select(F.explode("feeds").alias("grp"), *(f"x{i}" for i in range(SIZE)))
+    """Each row in every group that estimates from it, once for each start; ``grp`` is the start's digit and the group."""
+    names = F.flatten(F.transform("feeds", lambda g: F.array(*[F.concat(F.lit(str(k)), g) for k in range(STARTS)])))
+    return rows.select(F.explode(names).alias("grp"), *(f"x{i}" for i in range(SIZE)))
 
 
 def normal_quantile(z: float, k: int = SIZE) -> float:
@@ -179,8 +183,8 @@ def _estimates(moments: pd.DataFrame) -> pd.DataFrame:
         # the floor widens a variance and leaves the correlations
         spread = spread / np.outer(own, own) * 0.95 * np.outer(wide, wide)
         spread[np.diag_indices(SIZE)] = wide**2
-        out.append((row.grp, mean.tolist(), np.linalg.inv(spread).ravel().tolist()))
-    return pd.DataFrame(out, columns=["grp", "mean", "inv"])
+        out.append((row.grp, mean.tolist(), np.linalg.inv(spread).ravel().tolist(), float(np.linalg.slogdet(spread)[1])))
+    return pd.DataFrame(out, columns=["grp", "mean", "inv", "logdet"])
 
 
 def _distance() -> Column:
@@ -192,7 +196,7 @@ def _moments(rows: DataFrame) -> DataFrame:
     sums = [F.count(F.lit(1)).alias("n"), *(F.sum(f"x{i}").alias(f"s{i}") for i in range(SIZE)),
             *(F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"p{i}_{j}") for i in range(SIZE) for j in range(i, SIZE))]
     estimate = lambda batches: map(_estimates, batches)
-    return rows.groupBy("grp").agg(*sums).mapInPandas(estimate, "grp string, mean array<double>, inv array<double>")
+    return rows.groupBy("grp").agg(*sums).mapInPandas(estimate, "grp string, mean array<double>, inv array<double>, logdet double")
 
 
 def _bins(rows: DataFrame, share: float) -> DataFrame:
@@ -205,24 +209,37 @@ def _bins(rows: DataFrame, share: float) -> DataFrame:
 
 
 def estimates(rows: DataFrame, n: int) -> DataFrame:
-    """(grp, mean, inv, scale) of every group; ``n`` is that of ``grouped``."""
+    """(grp, mean, inv, logdet, scale) of every group; ``n`` is that of ``grouped``."""
     # no more groups have rows than languages with sources, those languages and all
-    n = 2 * n + 1
+    n = STARTS * (2 * n + 1)
     members = checkpointed(_members(rows))
-    middle = members.groupBy("grp").agg(*(F.percentile_approx(f"x{i}", 0.5, 1000).alias(f"m{i}") for i in range(SIZE)))
+    first, second = members.where("grp LIKE '0%'"), members.where("grp LIKE '1%'")
+    middle = first.groupBy("grp").agg(*(F.percentile_approx(f"x{i}", 0.5, 1000).alias(f"m{i}") for i in range(SIZE)))
     start = np.diag(1 / np.array(FLOORS) ** 2).ravel().tolist()
     now = middle.select("grp", F.array(*(f"m{i}" for i in range(SIZE))).alias("mean"), F.array(*map(F.lit, start)).alias("inv"))
+    now = checkpointed(now.unionByName(_moments(second).drop("logdet")))
+    steps: list[DataFrame] = []
     for _ in range(STEPS):
-        now = checkpointed(now)
         placed = with_group(members, now, n).withColumn("bin", F.floor(F.log(_distance() + 1e-6) / BIN))
         cuts = checkpointed(_bins(placed.select("grp", "bin"), CORE))
-        core = with_group(placed.drop("mean", "inv"), cuts, n).where("bin <= cut")
-        now = _moments(core.select("grp", *(f"x{i}" for i in range(SIZE))))
-    now = checkpointed(now)
-    placed = with_group(members, now, n).select("grp", F.floor(F.log(_distance() + 1e-6) / BIN).alias("bin"))
+        core = with_group(placed.select("grp", "bin", *(f"x{i}" for i in range(SIZE))), cuts, n).where("bin <= cut")
+        now = checkpointed(_moments(core.select("grp", *(f"x{i}" for i in range(SIZE)))))
+        steps.append(now)
+        if len(steps) > 1:
+            fall = steps[-2].select("grp", F.col("logdet").alias("was")).join(now, "grp").agg(F.max(F.col("was") - F.col("logdet"))).first()[0]
+            if fall is None or fall <= FALL:
+                break
+    every = steps[0]
+    for step in steps[1:]:
+        every = every.unionByName(step)
+    # a row for each step and start
+    least = F.min_by(F.struct("mean", "inv", "logdet"), F.struct("logdet", "grp"))
+    best = checkpointed(every.groupBy(F.expr("substring(grp, 2)").alias("__grp")).agg(least.alias("e")).select(F.col("__grp").alias("grp"), "e.*"))
+    own = first.withColumn("grp", F.expr("substring(grp, 2)"))
+    placed = with_group(own, best, n).select("grp", F.floor(F.log(_distance() + 1e-6) / BIN).alias("bin"))
     half = _bins(placed, 0.5).select("grp", (F.exp((F.col("cut") + 1) * BIN) / normal_quantile(0.0)).alias("scale"))
     # a floor on the spread leaves distances smaller than a normal sample's: never scale them up
-    return now.join(half, "grp").withColumn("scale", F.greatest("scale", F.lit(1.0)))
+    return best.join(half, "grp").withColumn("scale", F.greatest("scale", F.lit(1.0)))
 
 
 def judge(docs: DataFrame) -> DataFrame:
@@ -231,7 +248,7 @@ def judge(docs: DataFrame) -> DataFrame:
     rows, n = grouped(stats)
     rows = checkpointed(rows)
     found = checkpointed(estimates(rows, n))
-    passed = with_group(rows, found, 2 * n + 1, how="left").withColumn("distance", _distance() / F.col("scale"))
+    passed = with_group(rows, found.drop("logdet"), 2 * n + 1, how="left").withColumn("distance", _distance() / F.col("scale"))
     passed = passed.withColumn("kept", F.coalesce(F.col("distance") <= normal_quantile(CUT), F.lit(True)))
     shown = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     failed = stats.where(base_failed()).select(*shown, F.lit(True).alias("base_failed"), F.lit(False).alias("kept"), F.lit(None).cast("double").alias("distance"))
