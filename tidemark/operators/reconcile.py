@@ -26,10 +26,18 @@ def reconcile(a: DataFrame, b: DataFrame, keys: Sequence[str], a_value: str,
                     F.when(both, F.abs(F.try_divide(av - bv, bv) * 100)).alias("pct_diff"))
 
 
-def reconcile_stats(rec: DataFrame, a_value: str, b_value: str, tolerance: float = 0.01) -> DataFrame:
-    """One row: per-source and per-status counts, diff statistics, mismatches."""
+def reconcile_stats(rec: DataFrame, a_value: str, b_value: str, tolerance: float = 0.01, day: str | None = None) -> DataFrame:
+    """One row: per-source and per-status counts, diff statistics, mismatches.
+
+    With ``day``, a key column, also the first and last day of each source.
+    """
     st = F.col("match_status")
+    ranges = []
+    for side, value in (("left", a_value), ("right", b_value)) if day else ():
+        own = F.when(F.col(value).isNotNull(), F.col(day))
+        ranges += [F.min(own).alias(f"{side}_from"), F.max(own).alias(f"{side}_to")]
     return rec.agg(
+        *ranges,
         F.count(a_value).alias("n_left"),
         F.count(b_value).alias("n_right"),
         F.count(F.when(st == BOTH, 1)).alias("n_both"),

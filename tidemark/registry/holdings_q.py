@@ -308,6 +308,32 @@ FROM w
 """
 
 
+def q_filing_windows_later(spark, sf):
+    """Periods 27 years on, where the archives change from receipt quarters over a transition file to three-month windows."""
+    o = Tables(spark, sf).orders.select(F.add_months(F.col("o_orderdate").cast("date"), 12 * 27).alias("d"))
+    span = o.agg(F.min("d").alias("lo"), F.max("d").alias("hi"))
+    periods = periods_with_windows(span.select(F.explode(quarter_ends(F.col("lo"), F.col("hi"))).alias("period")))
+    counts = (o.groupBy(F.trunc("d", "MM").alias("month")).count().join(window_months(periods), "month")
+               .groupBy("period").agg(F.sum("count").alias("n_orders")))
+    return periods.join(counts, "period", "left").withColumn("n_orders", F.coalesce("n_orders", F.lit(0)).cast("bigint"))
+
+
+SQL_FILING_WINDOWS_LATER = """
+WITH o AS (SELECT CAST(CAST(o_orderdate AS DATE) + INTERVAL 27 YEAR AS DATE) AS d FROM orders),
+span AS (SELECT min(d) AS lo, max(d) AS hi FROM o),
+p AS (SELECT CAST(last_day(CAST(q AS DATE) + INTERVAL 2 MONTH) AS DATE) AS period
+      FROM span, generate_series(CAST(date_trunc('quarter', lo) AS TIMESTAMP), CAST(date_trunc('quarter', hi) AS TIMESTAMP), INTERVAL 3 MONTH) g(q)),
+k AS (SELECT *, period <= DATE '2023-09-30' AS old, period = DATE '2023-12-31' AS trans, CAST(date_trunc('month', period) AS DATE) AS m FROM p),
+w AS (SELECT period, old, trans, CASE WHEN old THEN CAST(period + 1 AS DATE) WHEN trans THEN DATE '2024-01-01' ELSE m END AS window_start,
+             CAST(CASE WHEN old THEN last_day(period + INTERVAL 3 MONTH) WHEN trans THEN DATE '2024-02-29' ELSE last_day(m + INTERVAL 2 MONTH) END AS DATE) AS window_end FROM k)
+SELECT period, window_start, window_end,
+       CASE WHEN old THEN CAST(year(window_start) AS VARCHAR) || 'q' || CAST(quarter(window_start) AS VARCHAR)
+            ELSE lower(strftime(window_start, '%d%b%Y')) || '-' || lower(strftime(window_end, '%d%b%Y')) END || '_form13f.zip' AS archive_name,
+       CAST((SELECT count(*) FROM o WHERE d BETWEEN w.window_start AND w.window_end) AS BIGINT) AS n_orders
+FROM w
+"""
+
+
 def q_missing_partitions(spark, sf):
     t = Tables(spark, sf)
     o = t.orders.select(F.col("o_orderdate").cast("date").alias("day"), "o_orderpriority")
@@ -341,5 +367,6 @@ QUERIES = {
     "sorted_rank": (q_sorted_rank, SQL_SORTED_RANK),
     "day_format_parse": (q_day_format_parse, SQL_DAY_FORMAT_PARSE),
     "filing_window": (q_filing_window, SQL_FILING_WINDOW),
+    "filing_windows_later": (q_filing_windows_later, SQL_FILING_WINDOWS_LATER),
     "missing_partitions": (q_missing_partitions, SQL_MISSING_PARTITIONS),
 }

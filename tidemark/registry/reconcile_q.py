@@ -102,6 +102,19 @@ def _raw_bars(t: Tables):
                   F.count(F.lit(1)).cast("double").alias("volume")))
 
 
+def q_reconcile_ranges(spark, sf):
+    """First and last day and the number of values of each source."""
+    s = reconcile_stats(_rec(Tables(spark, sf)), "close_a", "close_b", 0.01, day="date")
+    return s.select("left_from", "left_to", "n_left", "right_from", "right_to", "n_right")
+
+
+SQL_RECONCILE_RANGES = _SQL_REC + """
+SELECT min(date) FILTER (WHERE close_a IS NOT NULL) AS left_from, max(date) FILTER (WHERE close_a IS NOT NULL) AS left_to, count(close_a) AS n_left,
+       min(date) FILTER (WHERE close_b IS NOT NULL) AS right_from, max(date) FILTER (WHERE close_b IS NOT NULL) AS right_to, count(close_b) AS n_right
+FROM rec
+"""
+
+
 def _window_bars(spark, t: Tables):
     # window end = latest date in the data, as a scalar subquery (evaluated once)
     end = t.orders.select(F.max(F.col("o_orderdate").cast("date"))).scalar()
@@ -179,6 +192,7 @@ SQL_SYMBOL_EQUAL = _SQL_BARS + "SELECT date, close FROM bars WHERE sym = 'P1'"
 
 
 QUERIES = {
+    "reconcile_ranges": (q_reconcile_ranges, SQL_RECONCILE_RANGES),
     "full_reconcile": (q_full_reconcile, SQL_FULL_RECONCILE),
     "reconcile_stats": (q_reconcile_stats, SQL_RECONCILE_STATS),
     "reconcile_top": (q_reconcile_top, SQL_RECONCILE_TOP),
