@@ -77,9 +77,73 @@ def test_empty_table_and_kept_text(spark):
     assert got[1]["kept_text"] == t and got[2]["kept_text"] == "éè" and got[2]["__x"] == "b"
 
 
-def test_cover_reaches_every_distance():
-    assert {(a - b) % sd.PERIOD for a in sd.COVER for b in sd.COVER} == set(range(sd.PERIOD))
-    assert sd.EDGE == max(min((c - p) % sd.PERIOD for c in sd.COVER) for p in range(sd.PERIOD))
+def test_smallest_gram_of_each_run():
     grams = np.array([5, 1, 1, 7, 0, 9], np.uint64)
     value, place = sd._smallest(grams, 3)
     assert value.tolist() == [1, 1, 0, 0] and place.tolist() == [1, 0, 2, 1]
+
+
+def records(seed):
+    """Texts of 50 to 75 bytes over few letters, cut from common strings at any phase, some with a byte changed."""
+    r = random.Random(seed)
+    letters = b"ab c"[:r.choice([1, 2, 4])]
+    base = [bytes(r.choice(letters) for _ in range(r.randrange(50, 200))) for _ in range(4)]
+    texts = []
+    for _ in range(r.randrange(1, 25)):
+        t = r.choice(base)
+        a = r.randrange(0, len(t) - sd.WINDOW + 1)
+        t = bytearray(t[a:a + sd.WINDOW + r.randrange(0, 26)])
+        if r.random() < 0.5:
+            t[r.randrange(len(t))] = r.randrange(256)
+        texts.append(bytes(t))
+    return texts, [r.randrange(12) for _ in texts]
+
+
+def sorted_flags(texts, own):
+    count = np.array([len(t) - sd.WINDOW + 1 for t in texts])
+    return sd.later_copies(np.frombuffer(b"".join(texts), np.uint8), np.array(own), count).tolist()
+
+
+def wanted_flags(texts, own):
+    windows = [(t[i:i + sd.WINDOW], o) for t, o in zip(texts, own) for i in range(len(t) - sd.WINDOW + 1)]
+    first = {}
+    for w, o in windows:
+        first[w] = min(first.get(w, o), o)
+    return [first[w] < o for w, o in windows]
+
+
+@pytest.mark.parametrize("bucket", [5, 50, 1 << 16])
+def test_sort_equals_brute_force(monkeypatch, bucket):
+    monkeypatch.setattr(sd, "SORT_BUCKET", bucket)
+    for seed in range(40):
+        assert sorted_flags(*records(seed)) == wanted_flags(*records(seed))
+
+
+def test_bucket_is_in_order_of_bytes():
+    for seed in range(20):
+        text = np.frombuffer(b"".join(records(seed)[0]), np.uint8)
+        at = np.arange(len(text) - sd.WINDOW + 1)
+        rank = sd.sort_bucket(at, np.concatenate([text, np.zeros(8, np.uint8)]), sd.CoverRanks(text, np.ones(len(text), bool)))
+        of = {}
+        for i, k in zip(at.tolist(), rank.tolist()):
+            if k >= 0:
+                of.setdefault(text[i:i + sd.WINDOW].tobytes(), set()).add(k)
+        assert all(len(k) == 1 for k in of.values())
+        in_order = [min(of[w]) for w in sorted(of)]
+        assert in_order == sorted(set(in_order))
+
+
+def test_a_set_that_is_no_difference_cover_fails(monkeypatch):
+    for cover in ((0, 6), (0, 7), (0, 5, 10), (0, 1, 2, 3)):
+        with pytest.raises(ValueError):
+            sd.shift_table(sd.PERIOD, cover)
+    # ranks that are not those of the shift where both stand on the cover give wrong results
+    monkeypatch.setattr(sd, "COVER", (0, 1, 3, 8))
+    assert any(sorted_flags(*records(seed)) != wanted_flags(*records(seed)) for seed in range(10))
+
+
+def test_another_difference_cover_gives_the_same(monkeypatch):
+    monkeypatch.setattr(sd, "COVER", (0, 2, 3, 7, 12))
+    monkeypatch.setattr(sd, "SHIFT", sd.shift_table(13, (0, 2, 3, 7, 12)))
+    for seed in range(20):
+        assert sorted_flags(*records(seed)) == wanted_flags(*records(seed))

@@ -11,19 +11,22 @@ when the same bytes start in a document with a smaller id.
    names it holds; names held by one document only are answered "no" and
    their suffixes leave the sort.
 3. *Blockwise sort.* The remaining records go to their buckets, one copy of
-   equal records per block of documents. A task sorts one run of buckets at a
-   time, of at most about ``SORT_WINDOWS`` suffixes. Suffixes are counted
-   from their bucket's string, so equal ones have the same phase modulo
-   ``PERIOD``. Strings at positions whose phase is in the difference cover
-   are ranked first; each suffix is then decided by the at most five bytes
-   around its next cover position and that position's rank, which resolves
-   ties of any length up to the window without comparing it byte by byte.
+   equal records per block of documents; the names only decide which task
+   meets which suffixes. A task takes a run of buckets of about
+   ``SORT_WINDOWS`` suffixes. The positions of its text whose phase modulo
+   ``PERIOD`` is in the difference cover are the sample: their strings are
+   ranked in lexicographic order, by doubling. Then the suffixes are split by
+   prefix and one lexicographic bucket at a time, of about ``SORT_BUCKET``
+   suffixes, is sorted: first by ``PERIOD`` bytes, and ties between any two
+   phases by the sample's ranks at the shift at which both stand on cover
+   positions. No suffix is compared further than its first ``PERIOD`` bytes.
 4. Covered bytes go back to the block of their document and are removed.
 
 Ids: a null id counts as larger than any other; rows with the same id never
 remove each other's bytes. Null text is the empty text. Texts under
-``WINDOW`` bytes lose nothing. An empty table gives an empty result. Equality
-of buckets and of cover strings is that of 64-bit hashes.
+``WINDOW`` bytes lose nothing. An empty table gives an empty result. Bucket
+names are 64-bit hashes, of which equal ones only bring more suffixes
+together; what is removed is decided by bytes and exact ranks.
 """
 
 from __future__ import annotations
@@ -44,15 +47,21 @@ GRAM = 24
 #: difference cover: every distance modulo 13 is a difference of two of these
 PERIOD, COVER = 13, (0, 1, 3, 9)
 SORT_WINDOWS = 1 << 18
+SORT_BUCKET = 1 << 16
 KEY_BITS = 56
 NO_ID = (1 << 63) - 1
 
-#: by phase: bytes to the next cover position
-_AHEAD = np.array([min((c - p) % PERIOD for c in COVER) for p in range(PERIOD)])
-#: most bytes that a window has outside its cover string
-EDGE = int(_AHEAD.max())
-_HEAD = np.array([((1 << 8 * EDGE) - 1) ^ ((1 << 8 * (EDGE - d)) - 1) for d in range(EDGE + 1)], U64)
-_TAIL = np.array([(1 << 8 * (EDGE - d)) - 1 for d in range(EDGE + 1)], U64)
+
+def shift_table(period: int, cover: tuple[int, ...]) -> np.ndarray:
+    """By two phases: the bytes after which positions of both phases stand on the cover."""
+    on = np.isin(np.arange(2 * period) % period, cover)
+    both = np.array([[on[i:i + period] & on[j:j + period] for j in range(period)] for i in range(period)])
+    if not both.any(axis=2).all():
+        raise ValueError(f"{cover} is no difference cover modulo {period}")
+    return both.argmax(axis=2)
+
+
+SHIFT = shift_table(PERIOD, COVER)
 
 
 def _smallest(grams: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -87,7 +96,7 @@ def _parts(texts: list[bytes]) -> Iterator[list[tuple[int, int, bytes]]]:
 
 def _records(texts: list[bytes]) -> Iterator[tuple]:
     """Per run of parts: the bytes, and of each record the bucket, the document,
-    the place in the bytes and in the text, the suffixes, the place of the bucket's string."""
+    the place in the bytes and in the text, the suffixes."""
     for held in _parts(texts):
         raw = b"".join(p for _, _, p in held)
         buf = np.frombuffer(raw, np.uint8)
@@ -103,7 +112,7 @@ def _records(texts: list[bytes]) -> Iterator[tuple]:
         shift = np.array([o for _, o, _ in held]) - (ends - sizes)
         # the smallest of many hashes is small: spread them again over the buckets
         yield (raw, mix(value[first]) >> U64(64 - KEY_BITS), np.array([d for d, _, _ in held])[of], first,
-               first + shift[of], count, anchor[new] - first)
+               first + shift[of], count)
 
 
 def _documents(table: pa.Table) -> tuple[list[int], list[bytes], list[int]]:
@@ -171,7 +180,7 @@ def _send(bits: int):
             ids, texts, _ = _documents(docs)
             seen: dict[bytes, int] = {}
             keep, done, parts = [], [], []
-            for raw, key, doc, at, start, count, anchor in _records(texts):
+            for raw, key, doc, at, start, count in _records(texts):
                 where = np.searchsorted(shared, key)
                 where[where == len(shared)] = 0
                 some = np.flatnonzero(shared[where] == key)
@@ -182,7 +191,7 @@ def _send(bits: int):
                     else:
                         parts.append(text)
                 sent, local = some[~flag], some[flag]
-                keep.append((key[sent], doc[sent], start[sent], count[sent], anchor[sent]))
+                keep.append((key[sent], doc[sent], start[sent], count[sent]))
                 done.append((doc[local], start[local], start[local] + count[local] + WINDOW - 1))
             doc, start, end = (np.concatenate(x) for x in zip(*done))
             if len(doc):
@@ -190,7 +199,7 @@ def _send(bits: int):
                 cols["bucket"].append(block % (1 << bits))
                 cols["kind"].append(0)
                 cols["payload"].append(pack(doc.astype(np.uint32), start.astype(np.int64), end.astype(np.int64)))
-            key, doc, start, count, anchor = (np.concatenate(x) for x in zip(*keep))
+            key, doc, start, count = (np.concatenate(x) for x in zip(*keep))
             order = np.argsort(key, kind="stable")
             edges = bucket_bounds(key[order], bits, KEY_BITS)
             own = np.array(ids, np.int64)
@@ -201,51 +210,118 @@ def _send(bits: int):
                     cols["bucket"].append(b)
                     cols["kind"].append(1)
                     cols["payload"].append(pack(key[o], own[doc[o]], doc[o].astype(np.uint32), start[o].astype(np.int64),
-                                                count[o].astype(np.uint8), anchor[o].astype(np.uint8), b"".join(parts[i] for i in o)))
+                                                count[o].astype(np.uint8), b"".join(parts[i] for i in o)))
         return pa.table({"block": pa.array(cols["block"], pa.int32()), "bucket": pa.array(cols["bucket"], pa.int32()),
                          "kind": pa.array(cols["kind"], pa.int32()), "payload": pa.array(cols["payload"], pa.binary())})
 
     return run
 
 
-def later_copies(text: np.ndarray, own: np.ndarray, count: np.ndarray, anchor: np.ndarray) -> np.ndarray:
-    """Sorts the suffixes of some buckets; of each, whether an equal one has a smaller id.
+def _dense(key: np.ndarray) -> np.ndarray:
+    """Rank of each key among the distinct ones."""
+    order = np.argsort(key)
+    rank = np.zeros(len(key), np.int64)
+    rank[order[1:]] = np.cumsum(key[order[1:]] != key[order[:-1]])
+    return rank
+
+
+def _pair(high: np.ndarray, low: np.ndarray) -> np.ndarray:
+    return (high.astype(U64) << U64(32)) | low.astype(U64)
+
+
+class CoverRanks:
+    """Lexicographic ranks of the sample of a text: the strings at positions on the cover.
+
+    ``wanted`` marks the places where a string of up to ``WINDOW`` bytes starts. ``ranks[d]`` ranks their
+    strings of ``WINDOW - d`` bytes, for each shift ``d``: by doubling over the sample, whose positions recur
+    after ``PERIOD`` bytes, up to the shortest length, then a byte at a time.
+    """
+
+    def __init__(self, text: np.ndarray, wanted: np.ndarray):
+        n = len(text)
+        self.code = np.full(PERIOD, -1)
+        self.code[list(COVER)] = np.arange(len(COVER))
+        padded = np.concatenate([text, np.zeros(WINDOW + 2 * PERIOD, np.uint8)])
+        sample = (np.arange(0, n + 2 * PERIOD, PERIOD)[:, None] + np.array(COVER)).ravel()
+        stride = len(COVER)
+        head = first_bytes(padded, sample, 8)
+        twelve = _dense(_pair(_dense(head), first_bytes(padded, sample + 8, PERIOD - 9)))
+        thirteen = _dense(_pair(twelve, padded[sample + PERIOD - 1]))
+        here = np.flatnonzero(wanted[np.minimum(sample, n - 1)] & (sample < n))
+        double = _dense(_pair(thirteen[here], thirteen[here + stride]))
+        rank = _dense(_pair(double, twelve[here + 2 * stride]))
+        self.slot = np.full(len(sample), -1)
+        self.slot[here] = np.arange(len(here))
+        # 13 + 13 + 12 bytes are what the largest shift leaves of a window
+        self.ranks = np.empty((PERIOD, len(here)), np.int64)
+        for d in range(PERIOD - 1, -1, -1):
+            if d < PERIOD - 1:
+                rank = _dense((rank.astype(U64) << U64(8)) | padded[sample[here] + WINDOW - 1 - d])
+            self.ranks[d] = rank
+
+    def after(self, at: np.ndarray, shift: int) -> np.ndarray:
+        """Ranks of what stands ``shift`` bytes after the starts of suffixes, which is on the cover."""
+        place = at + shift
+        return self.ranks[shift, self.slot[len(COVER) * (place // PERIOD) + self.code[place % PERIOD]]]
+
+
+def first_bytes(text: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+    """The up to eight bytes from each place as a number in the order of the bytes."""
+    view = np.lib.stride_tricks.as_strided(text, (len(text) - 7, 8), (1, 1))
+    return view[at].view(">u8").ravel().astype(U64) >> U64(64 - 8 * n)
+
+
+def sort_bucket(at: np.ndarray, padded: np.ndarray, cover: CoverRanks) -> np.ndarray:
+    """Of each suffix the number of distinct suffixes of the bucket before it; only ties are numbered, others get -1."""
+    out = np.full(len(at), -1)
+    group = _dense((_dense(first_bytes(padded, at, 8)).astype(U64) << U64(8 * (PERIOD - 8))) | first_bytes(padded, at + 8, PERIOD - 8))
+    tied = np.flatnonzero(np.bincount(group)[group] > 1)
+    group, place = group[tied], at[tied]
+    phase = place % PERIOD
+    phases = []
+    for i in range(PERIOD):
+        some = np.flatnonzero(phase == i)
+        # suffixes of one phase are in order by one rank; of equal ones the first stands for all
+        _, one, of = np.unique(_pair(group[some], cover.after(place[some], SHIFT[i, i])), return_index=True, return_inverse=True)
+        phases.append((i, some, of, group[some[one]], place[some[one]], np.arange(len(one))))
+    phases = [x for x in phases if len(x[1])]
+    for x, (i, _, _, group_i, place_i, before_i) in enumerate(phases):
+        for j, _, _, group_j, place_j, before_j in phases[:x]:
+            left = _pair(group_i, cover.after(place_i, SHIFT[i, j]))
+            right = _pair(group_j, cover.after(place_j, SHIFT[i, j]))
+            before_i += np.searchsorted(right, left)
+            before_j += np.searchsorted(left, right)
+    for _, some, of, _, _, before in phases:
+        out[tied[some]] = before[of]
+    return out
+
+
+def later_copies(text: np.ndarray, own: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Sorts the suffixes of some records; of each, whether an equal one has a smaller id.
 
-    Records are in order of id, their texts one after the other; a record has
-    ``count`` suffixes and its bucket's string at ``anchor`` from its start.
+    The records' texts stand one after the other; a record has ``count`` suffixes.
     """
-    offset = np.cumsum(count + WINDOW - 1) - (count + WINDOW - 1)
+    size = count + WINDOW - 1
+    offset = np.cumsum(size) - size
     record = np.repeat(np.arange(len(count)), count)
-    nth = np.arange(len(record)) - np.repeat(np.cumsum(count) - count, count)
-    at = offset[record] + nth
-    phase = (nth - anchor[record]) % PERIOD
-    ahead = _AHEAD[phase]
-    # ranks of the cover sample
-    covered = at + ahead
-    mark = np.zeros(len(text), bool)
-    mark[covered] = True
-    sample = np.flatnonzero(mark)
-    names = gram_hash(text, WINDOW - EDGE)[sample]
-    ordered = sorted_unique(names)
-    rank = np.zeros(len(text), np.int64)
-    rank[sample] = np.searchsorted(ordered, names)
-    # the bytes before and after the cover string
-    padded = np.concatenate([np.zeros(3, np.uint8), text, np.zeros(8, np.uint8)])
-    view = np.lib.stride_tricks.as_strided(padded, (len(text) + 4, 8), (1, 1))
-    first, final = (view[at + k].view(">u8").ravel().astype(U64) for k in (3, WINDOW - 8 + 3))
-    five = U64((1 << 8 * EDGE) - 1)
-    edge = ((first >> U64(64 - 8 * EDGE)) & _HEAD[ahead]) | (final & five & _TAIL[ahead])
-    tied = rank[covered] * 16 + phase
-    if len(ordered) < 1 << 20:
-        key = (tied.astype(U64) << U64(8 * EDGE)) | edge
-        order = np.argsort(key, kind="stable")
-        new = np.concatenate([[True], key[order[1:]] != key[order[:-1]]])
-    else:
-        order = np.lexsort((edge, tied))
-        new = np.concatenate([[True], (edge[order[1:]] != edge[order[:-1]]) | (tied[order[1:]] != tied[order[:-1]])])
-    ids = own[record[order]]
-    out = np.empty(len(order), bool)
-    out[order] = ids > ids[np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))]
+    at = np.arange(len(record)) + np.repeat(offset - (np.cumsum(count) - count), count)
+    ids = own[record]
+    within = np.arange(len(text)) - np.repeat(offset, size)
+    cover = CoverRanks(text, within < np.repeat(count + PERIOD - 1, size))
+    padded = np.concatenate([text, np.zeros(8, np.uint8)])
+    prefix = first_bytes(padded, at, 8)
+    cuts = np.unique(np.sort(prefix)[SORT_BUCKET::SORT_BUCKET])
+    bucket = np.searchsorted(cuts, prefix, "right")
+    out = np.zeros(len(at), bool)
+    for b in range(len(cuts) + 1):
+        some = np.flatnonzero(bucket == b)
+        rank = sort_bucket(at[some], padded, cover)
+        some, rank = some[rank >= 0], rank[rank >= 0]
+        if len(some):
+            order = np.argsort(rank, kind="stable")
+            new = np.flatnonzero(np.concatenate([[True], rank[order[1:]] != rank[order[:-1]]]))
+            least = np.minimum.reduceat(ids[some[order]], new)
+            out[some[order]] = ids[some[order]] > np.repeat(least, np.diff(np.append(new, len(order))))
     return out
 
 
@@ -269,14 +345,14 @@ def _sort(table: pa.Table) -> pa.Table:
     got = []
     for kind, block, payload in zip(kinds, blocks, payloads):
         if kind:
-            *fields, text = unpack(payload, U64, np.int64, np.uint32, np.int64, np.uint8, np.uint8, bytes)
+            *fields, text = unpack(payload, U64, np.int64, np.uint32, np.int64, np.uint8, bytes)
             got.append((*fields, np.full(len(fields[0]), block), text))
         else:
             out.setdefault(block, []).append(unpack(payload, np.uint32, np.int64, np.int64))
     if got:
-        key, own, doc, start, count, anchor, block = (np.concatenate(x) for x in list(zip(*got))[:-1])
+        key, own, doc, start, count, block = (np.concatenate(x) for x in list(zip(*got))[:-1])
         text = np.frombuffer(b"".join(x[-1] for x in got), np.uint8)
-        count, anchor = count.astype(np.int64), anchor.astype(np.int64)
+        count = count.astype(np.int64)
         size = count + WINDOW - 1
         offset = np.cumsum(size) - size
         by_key = np.argsort(key, kind="stable")
@@ -288,10 +364,9 @@ def _sort(table: pa.Table) -> pa.Table:
             to = max(np.searchsorted(windows, before + SORT_WINDOWS), at + 1)
             to = np.searchsorted(sorted_keys, sorted_keys[to - 1], "right")
             some = by_key[at:to]
-            some = some[np.argsort(own[some], kind="stable")]
             held = size[some]
             index = np.arange(held.sum()) - np.repeat(np.cumsum(held) - held, held) + np.repeat(offset[some], held)
-            flag = later_copies(text[index], own[some], count[some], anchor[some])
+            flag = later_copies(text[index], own[some], count[some])
             record, first, last = _runs(flag, count[some])
             record = some[record]
             begin = start[record] + first
