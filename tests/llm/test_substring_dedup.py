@@ -123,7 +123,8 @@ def test_bucket_is_in_order_of_bytes():
     for seed in range(20):
         text = np.frombuffer(b"".join(records(seed)[0]), np.uint8)
         at = np.arange(len(text) - sd.WINDOW + 1)
-        rank = sd.sort_bucket(at, np.concatenate([text, np.zeros(8, np.uint8)]), sd.CoverRanks(text, np.ones(len(text), bool)))
+        padded = np.concatenate([text, np.zeros(8, np.uint8)])
+        rank = sd.sort_bucket(at, sd.first_bytes(padded, at, 8), padded, sd.CoverRanks(text, np.ones(len(text), bool)))
         of = {}
         for i, k in zip(at.tolist(), rank.tolist()):
             if k >= 0:

@@ -217,14 +217,33 @@ def _send(bits: int):
     return run
 
 
-def _dense(key: np.ndarray) -> np.ndarray:
-    """Rank of each key among the distinct ones."""
+def _in_order(key: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order of keys of ``bits`` bits, and whether each in it differs from the one before."""
+    place = max(1, (len(key) - 1).bit_length())
+    if bits + place <= 64:
+        # keys with their places below them sort faster than places by keys
+        both = np.sort((key.astype(U64) << U64(place)) | np.arange(len(key), dtype=U64))
+        order = (both & U64((1 << place) - 1)).astype(np.int64)
+        both >>= U64(place)
+        return order, np.concatenate([[False], both[1:] != both[:-1]])[:len(key)]
     order = np.argsort(key)
-    rank = np.zeros(len(key), np.int64)
-    rank[order[1:]] = np.cumsum(key[order[1:]] != key[order[:-1]])
+    held = key[order]
+    return order, np.concatenate([[False], held[1:] != held[:-1]])[:len(key)]
+
+
+def _dense(key: np.ndarray, bits: int = 64) -> np.ndarray:
+    """Rank of each key of ``bits`` bits among the distinct ones."""
+    order, new = _in_order(key, bits)
+    rank = np.empty(len(key), np.int64)
+    rank[order] = np.cumsum(new)
     return rank
 
 
+def _then(rank: np.ndarray, low: np.ndarray, bits: int) -> tuple[np.ndarray, int]:
+    """Keys that order by rank, then by ``low``, and their bits."""
+    return (rank.astype(U64) << U64(bits)) | low.astype(U64), bits + len(rank).bit_length()
+
+
 def _pair(high: np.ndarray, low: np.ndarray) -> np.ndarray:
     return (high.astype(U64) << U64(32)) | low.astype(U64)
 
@@ -232,37 +251,45 @@ def _pair(high: np.ndarray, low: np.ndarray) -> np.ndarray:
 class CoverRanks:
     """Lexicographic ranks of the sample of a text: the strings at positions on the cover.
 
-    ``wanted`` marks the places where a string of up to ``WINDOW`` bytes starts. ``ranks[d]`` ranks their
-    strings of ``WINDOW - d`` bytes, for each shift ``d``: by doubling over the sample, whose positions recur
-    after ``PERIOD`` bytes, up to the shortest length, then a byte at a time.
+    ``wanted`` marks the places where a string of up to ``WINDOW`` bytes starts. The sample is sorted by doubling, as its
+    positions recur after ``PERIOD`` bytes: by 13, 26 and 52 bytes. ``ranks[d]`` ranks the strings of
+    ``WINDOW - d`` bytes, for each shift ``d``: one order serves all lengths, neighbours with that many bytes in common share a rank.
     """
 
     def __init__(self, text: np.ndarray, wanted: np.ndarray):
         n = len(text)
         self.code = np.full(PERIOD, -1)
         self.code[list(COVER)] = np.arange(len(COVER))
-        padded = np.concatenate([text, np.zeros(WINDOW + 2 * PERIOD, np.uint8)])
-        sample = (np.arange(0, n + 2 * PERIOD, PERIOD)[:, None] + np.array(COVER)).ravel()
+        padded = np.concatenate([text, np.zeros(WINDOW + 4 * PERIOD, np.uint8)])
+        sample = (np.arange(0, n + 3 * PERIOD, PERIOD)[:, None] + np.array(COVER)).ravel()
         stride = len(COVER)
         head = first_bytes(padded, sample, 8)
-        twelve = _dense(_pair(_dense(head), first_bytes(padded, sample + 8, PERIOD - 9)))
-        thirteen = _dense(_pair(twelve, padded[sample + PERIOD - 1]))
+        rank = _dense(head >> U64(24), 40)
+        rank = _dense(*_then(rank, head & U64((1 << 24) - 1), 24))
+        rank = _dense(*_then(rank, first_bytes(padded, sample + 8, PERIOD - 8), 8 * (PERIOD - 8)))
+        doubled = _dense(*_then(rank[:-stride], rank[stride:], len(rank).bit_length()))
         here = np.flatnonzero(wanted[np.minimum(sample, n - 1)] & (sample < n))
-        double = _dense(_pair(thirteen[here], thirteen[here + stride]))
-        rank = _dense(_pair(double, twelve[here + 2 * stride]))
-        self.slot = np.full(len(sample), -1)
+        order, new = _in_order(*_then(doubled[here], doubled[here + 2 * stride], len(doubled).bit_length()))
+        self.slot = np.full(len(sample), -1, np.int32)
         self.slot[here] = np.arange(len(here))
-        # 13 + 13 + 12 bytes are what the largest shift leaves of a window
-        self.ranks = np.empty((PERIOD, len(here)), np.int64)
+        # neighbours that differ in the 13 + 13 + 12 bytes that the largest shift leaves of a window, then in one byte more at a time
+        starts = sample[here][order]
+        pair = doubled[here][order]
+        differ = np.zeros(len(here), bool)
+        tail = [first_bytes(padded, starts + 2 * PERIOD, 8), first_bytes(padded, starts + 2 * PERIOD + 8, PERIOD - 9)]
+        for held in (pair, *tail):
+            differ[1:] |= held[1:] != held[:-1]
+        self.ranks = np.empty((PERIOD, len(here)), np.int32)
         for d in range(PERIOD - 1, -1, -1):
             if d < PERIOD - 1:
-                rank = _dense((rank.astype(U64) << U64(8)) | padded[sample[here] + WINDOW - 1 - d])
-            self.ranks[d] = rank
+                held = padded[starts + WINDOW - 1 - d]
+                differ[1:] |= held[1:] != held[:-1]
+            self.ranks[d, order] = np.cumsum(differ)
 
     def after(self, at: np.ndarray, shift: int) -> np.ndarray:
         """Ranks of what stands ``shift`` bytes after the starts of suffixes, which is on the cover."""
         place = at + shift
-        return self.ranks[shift, self.slot[len(COVER) * (place // PERIOD) + self.code[place % PERIOD]]]
+        return self.ranks[shift][self.slot[len(COVER) * (place // PERIOD) + self.code[place % PERIOD]]]
 
 
 def first_bytes(text: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
@@ -271,10 +298,13 @@ def first_bytes(text: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
     return view[at].view(">u8").ravel().astype(U64) >> U64(64 - 8 * n)
 
 
-def sort_bucket(at: np.ndarray, padded: np.ndarray, cover: CoverRanks) -> np.ndarray:
-    """Of each suffix the number of distinct suffixes of the bucket before it; only ties are numbered, others get -1."""
+def sort_bucket(at: np.ndarray, prefix: np.ndarray, padded: np.ndarray, cover: CoverRanks) -> np.ndarray:
+    """Of each suffix, with its first eight bytes, the number of distinct tied suffixes of the bucket before it.
+
+    Suffixes that share their first ``PERIOD`` bytes with no other get -1.
+    """
     out = np.full(len(at), -1)
-    group = _dense((_dense(first_bytes(padded, at, 8)).astype(U64) << U64(8 * (PERIOD - 8))) | first_bytes(padded, at + 8, PERIOD - 8))
+    group = _dense(*_then(_dense(prefix), first_bytes(padded, at + 8, PERIOD - 8), 8 * (PERIOD - 8)))
     tied = np.flatnonzero(np.bincount(group)[group] > 1)
     group, place = group[tied], at[tied]
     phase = place % PERIOD
@@ -315,7 +345,7 @@ def later_copies(text: np.ndarray, own: np.ndarray, count: np.ndarray) -> np.nda
     out = np.zeros(len(at), bool)
     for b in range(len(cuts) + 1):
         some = np.flatnonzero(bucket == b)
-        rank = sort_bucket(at[some], padded, cover)
+        rank = sort_bucket(at[some], prefix[some], padded, cover)
         some, rank = some[rank >= 0], rank[rank >= 0]
         if len(some):
             order = np.argsort(rank, kind="stable")
