@@ -62,6 +62,7 @@ def test_equals_brute_force(spark, monkeypatch, seed, block):
 def test_long_text_in_parts_and_runs_of_buckets(spark, monkeypatch):
     monkeypatch.setattr(sd, "PIECE_BYTES", 300)
     monkeypatch.setattr(sd, "SORT_WINDOWS", 500)
+    monkeypatch.setattr(sd, "MEMBER_WINDOWS", 70)
     r = random.Random(5)
     long = "".join(r.choice("abcdefgh ") for _ in range(4000))
     rows = [(1, long), (2, long[1000:3000] + "zz" + long[:400]), (3, "q" * 1500), (4, "q" * 900), (5, "ab" * 700), (6, "ba" * 600)]
@@ -101,7 +102,8 @@ def records(seed):
 
 def sorted_flags(texts, own):
     count = np.array([len(t) - sd.WINDOW + 1 for t in texts])
-    return sd.later_copies(np.frombuffer(b"".join(texts), np.uint8), np.array(own), count).tolist()
+    least = sd.least_ids(np.frombuffer(b"".join(texts), np.uint8), np.array(own), count)
+    return (np.repeat(own, count) > least).tolist()
 
 
 def wanted_flags(texts, own):

@@ -13,7 +13,7 @@ when the same bytes start in a document with a smaller id.
 3. *Blockwise sort.* The remaining records go to their buckets, one copy of
    equal records per block of documents; the names only decide which task
    meets which suffixes. A task takes a run of buckets of about
-   ``SORT_WINDOWS`` suffixes. The positions of its text whose phase modulo
+   ``SORT_WINDOWS`` suffixes, equal records once. The positions of its text whose phase modulo
    ``PERIOD`` is in the difference cover are the sample: their strings are
    ranked in lexicographic order, by doubling. Then the suffixes are split by
    prefix and one lexicographic bucket at a time, of about ``SORT_BUCKET``
@@ -48,6 +48,8 @@ GRAM = 24
 PERIOD, COVER = 13, (0, 1, 3, 9)
 SORT_WINDOWS = 1 << 18
 SORT_BUCKET = 1 << 16
+#: suffixes of equal records decided at once
+MEMBER_WINDOWS = 1 << 20
 KEY_BITS = 56
 NO_ID = (1 << 63) - 1
 
@@ -326,8 +328,8 @@ def sort_bucket(at: np.ndarray, prefix: np.ndarray, padded: np.ndarray, cover: C
     return out
 
 
-def later_copies(text: np.ndarray, own: np.ndarray, count: np.ndarray) -> np.ndarray:
-    """Sorts the suffixes of some records; of each, whether an equal one has a smaller id.
+def least_ids(text: np.ndarray, own: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Sorts the suffixes of some records; of each, the smallest id among those equal to it.
 
     The records' texts stand one after the other; a record has ``count`` suffixes.
     """
@@ -342,7 +344,7 @@ def later_copies(text: np.ndarray, own: np.ndarray, count: np.ndarray) -> np.nda
     prefix = first_bytes(padded, at, 8)
     cuts = np.unique(np.sort(prefix)[SORT_BUCKET::SORT_BUCKET])
     bucket = np.searchsorted(cuts, prefix, "right")
-    out = np.zeros(len(at), bool)
+    out = ids.copy()
     for b in range(len(cuts) + 1):
         some = np.flatnonzero(bucket == b)
         rank = sort_bucket(at[some], prefix[some], padded, cover)
@@ -351,10 +353,15 @@ def later_copies(text: np.ndarray, own: np.ndarray, count: np.ndarray) -> np.nda
             order = np.argsort(rank, kind="stable")
             new = np.flatnonzero(np.concatenate([[True], rank[order[1:]] != rank[order[:-1]]]))
             least = np.minimum.reduceat(ids[some[order]], new)
-            out[some[order]] = ids[some[order]] > np.repeat(least, np.diff(np.append(new, len(order))))
+            out[some[order]] = np.repeat(least, np.diff(np.append(new, len(order))))
     return out
 
 
+def _ranges(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges of ``count`` numbers from ``start``, one range after the other."""
+    return np.arange(count.sum()) + np.repeat(start - (np.cumsum(count) - count), count)
+
+
 def _runs(flag: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Record, first and last suffix of each run of flagged suffixes inside a record."""
     record = np.repeat(np.arange(len(count)), count)
@@ -381,12 +388,21 @@ def _sort(table: pa.Table) -> pa.Table:
             out.setdefault(block, []).append(unpack(payload, np.uint32, np.int64, np.int64))
     if got:
         key, own, doc, start, count, block = (np.concatenate(x) for x in list(zip(*got))[:-1])
-        text = np.frombuffer(b"".join(x[-1] for x in got), np.uint8)
+        raw = b"".join(x[-1] for x in got)
+        text = np.frombuffer(raw, np.uint8)
         count = count.astype(np.int64)
         size = count + WINDOW - 1
         offset = np.cumsum(size) - size
-        by_key = np.argsort(key, kind="stable")
-        windows, sorted_keys = np.cumsum(count[by_key]), key[by_key]
+        # records of the same bytes are sorted once, with the smallest id
+        seen: dict[bytes, int] = {}
+        same = np.array([seen.setdefault(raw[a:a + n], len(seen)) for a, n in zip(offset.tolist(), size.tolist())])
+        del seen, raw
+        by_same = np.argsort(same, kind="stable")
+        copies = np.bincount(same)
+        begins = np.cumsum(copies) - copies
+        one, smallest = by_same[begins], np.minimum.reduceat(own[by_same], begins)
+        by_key = np.argsort(key[one], kind="stable")
+        windows, sorted_keys = np.cumsum(count[one][by_key]), key[one][by_key]
         at = 0
         while at < len(by_key):
             # whole buckets, of about SORT_WINDOWS suffixes together
@@ -394,16 +410,20 @@ def _sort(table: pa.Table) -> pa.Table:
             to = max(np.searchsorted(windows, before + SORT_WINDOWS), at + 1)
             to = np.searchsorted(sorted_keys, sorted_keys[to - 1], "right")
             some = by_key[at:to]
-            held = size[some]
-            index = np.arange(held.sum()) - np.repeat(np.cumsum(held) - held, held) + np.repeat(offset[some], held)
-            flag = later_copies(text[index], own[some], count[some])
-            record, first, last = _runs(flag, count[some])
-            record = some[record]
-            begin = start[record] + first
-            end = start[record] + last + WINDOW
-            order = np.argsort(block[record], kind="stable")
-            for group in np.split(order, np.flatnonzero(np.diff(block[record][order])) + 1) if len(order) else []:
-                out.setdefault(int(block[record][group[0]]), []).append((doc[record][group], begin[group], end[group]))
+            held = count[one[some]]
+            least = least_ids(text[_ranges(offset[one[some]], size[one[some]])], smallest[some], held)
+            members = by_same[_ranges(begins[some], copies[some])]
+            place = np.repeat(np.cumsum(held) - held, copies[some])
+            parts = np.cumsum(count[members]) // MEMBER_WINDOWS
+            for few, where in zip(*(np.split(x, np.flatnonzero(np.diff(parts)) + 1) for x in (members, place))):
+                flag = np.repeat(own[few], count[few]) > least[_ranges(where, count[few])]
+                record, first, last = _runs(flag, count[few])
+                record = few[record]
+                begin = start[record] + first
+                end = start[record] + last + WINDOW
+                order = np.argsort(block[record], kind="stable")
+                for group in np.split(order, np.flatnonzero(np.diff(block[record][order])) + 1) if len(order) else []:
+                    out.setdefault(int(block[record][group[0]]), []).append((doc[record][group], begin[group], end[group]))
             at = to
     cols = {"__block": list(out), "spans": [pack(*(np.concatenate(x) for x in zip(*v))) for v in out.values()]}
     return pa.table({"__block": pa.array(cols["__block"], pa.int32()), "spans": pa.array(cols["spans"], pa.binary())})
