@@ -30,10 +30,52 @@ def test_statistics_equal_brute_force():
             assert got == [p for p in range(2) if text[max(0, i + 1 - len(templates[p])):i + 1] == templates[p] and i + 1 >= len(templates[p])]
 
 
+def slow_chain(anchors):
+    """All sets of anchors with both places increasing."""
+    best = (0, 0, 0, 0)
+    for bits in range(1, 1 << len(anchors)):
+        own = sorted(a for i, a in enumerate(anchors) if bits >> i & 1)
+        if any(x[0] >= y[0] or x[1] >= y[1] for x, y in zip(own, own[1:])):
+            continue
+        covered, gaps = own[0][2], 0
+        for x, y in zip(own, own[1:]):
+            covered += min(y[2], y[0] - x[0], y[1] - x[1])
+            gaps += max(0, y[0] - y[2] - x[0])
+        best = max(best, (ls.WORD * covered - gaps, covered, -(own[0][0] - own[0][2] + 1), -own[-1][0]))
+    return best[0], best[1], -best[2], -best[3]
+
+
 def test_chain_takes_the_heaviest():
-    assert ls.chain([(4, 4, 5), (20, 3, 4), (12, 9, 5)], 12) == (10, 0, 12)
-    assert ls.chain([], 5)[0] == 0
-    assert ls.chain([(3, 3, 4), (4, 3, 4)], 4)[0] == 4
+    assert ls.chain([(4, 4, 5), (20, 3, 4), (12, 9, 5)], 12)[1:] == (10, 0, 12)
+    assert ls.chain([], 5) == (0, 0, 0, 0)
+    assert ls.chain([(3, 3, 4), (4, 3, 4)], 4)[1] == 4
+    assert ls.chain([(6, 6, 6), (37, 3, 4), (16, 3, 4), (9, 16, 9), (32, 19, 5), (21, 18, 8)], 20)[1] == 15
+    r = random.Random(8)
+    for _ in range(1500):
+        size, length = r.choice([8, 20, 40]), r.choice([20, 60, 400])
+        anchors = []
+        for _ in range(r.randrange(1, 8)):
+            end, place = r.randrange(length), r.randrange(size)
+            anchors.append((end, place, r.randrange(1, 1 + min(end + 1, place + 1))))
+        assert ls.chain(anchors, size) == slow_chain(anchors), anchors
+
+
+def labels_of(text):
+    phrases, templates = tuple(ls.PHRASES.items()), tuple((t, label) for label, t in ls.TEMPLATES.items())
+    return {s["label"] for s in ls.settled(ls.scan(text.encode(), ls._automaton(phrases, templates), phrases, templates)["spans"])}
+
+
+def test_overlapping_and_scattered():
+    notice = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {}General Public License as published by the Free Software Foundation"
+    assert labels_of(notice.format("")) == {"gpl"}
+    assert labels_of(notice.format("Affero ")) == {"agpl"}
+    assert labels_of(notice.format("Lesser ")) == {"lgpl"}
+    assert labels_of(notice.format("Affero ") + " x " * 5 + notice.format("")) == {"agpl", "gpl"}
+    assert labels_of(ls.TEMPLATES["cc-by"]) == {"cc-by"} and labels_of(ls.TEMPLATES["cc-by-nc"]) == {"cc-by-nc"}
+    mit = words(ls.TEMPLATES["mit"])
+    cut = [" ".join(mit[i:i + 6]) for i in range(0, len(mit), 6)]
+    assert labels_of((" other" * 10000 + " ").join(cut)) == set()
+    assert labels_of(" other other ".join(cut)) == {"mit"}
 
 
 def brute_base(text):

@@ -11,9 +11,11 @@ reset the stream, so only stretches of template words are walked.
   match at least as long; this is looked up in a table made beforehand.
 * Long matches (``LEAST`` words or more) that do not go on to the right are
   anchors with a place in the text and in a template. For each template they are
-  chained: the heaviest chain with both places increasing, found with a tree
-  of best chains by template place, gives the covered share of the template.
-  A share of ``COVERED`` or more adds the template's label.
+  chained: the heaviest chain with both places increasing gives the covered
+  share of the template. A gap in the text costs, so that a chain ends
+  where the words up to the next match outweigh it: scattered pieces are no span.
+  A share of ``COVERED`` or more adds the template's label; of spans that overlap in
+  the text the one covered best does (an AGPL notice holds most of the GPL's).
 
 Null text is the empty text; texts without words and an empty table give
 empty or no findings. Every place counts, repeats included.
@@ -21,6 +23,7 @@ empty or no findings. Every place counts, repeats included.
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import repeat
@@ -35,6 +38,8 @@ from tidemark.llm.common import texts_of, word_table
 _TABLE = word_table()
 LEAST = 4
 COVERED = 0.5
+#: what a covered word weighs in a chain, in words of a gap
+WORD = 8
 
 #: fixed values: phrase, label
 PHRASES = {
@@ -152,31 +157,51 @@ class Automaton:
         return out
 
 
-def chain(anchors: list[tuple[int, int, int]], size: int) -> tuple[int, int, int]:
-    """(covered words, first, last word of the text) of the heaviest chain.
+def chain(anchors: list[tuple[int, int, int]], size: int) -> tuple[int, int, int, int]:
+    """(weight, covered words, first, last word of the text) of the heaviest chain; ``size`` is that of the template.
 
     An anchor is (last word in the text, last word in the template, words).
-    Both places increase along a chain and anchors count the words that the
-    one before does not cover. ``best`` holds, as a binary indexed tree over template
-    places, the best chain that ends at a place or before.
+    Both places increase along a chain. An anchor adds the words that the one
+    before it covers neither in the text nor in the template, ``WORD`` each, and
+    costs 1 for each word of the text between the two. Of chains with the same weight
+    that with more words is taken, then the one that starts first, then the one that ends first.
+
+    An anchor that ends ``size`` words back or more lies before any match that
+    ends here, so that its cost differs only by the distance: of those one is
+    kept for each template place. The others are compared one by one.
     """
-    best: list[tuple[int, int, int, int]] = [(0, 0, -1, -1)] * (size + 1)
-    top = (0, 0, 0)
-    for text_end, place, n in sorted(anchors):
-        got = (0, 0, -1, -1)
-        i = place
-        while i > 0:
-            got = max(got, best[i])
-            i -= i & -i
-        covered, first, last_text, last_place = got
-        new = min(n, text_end - last_text, place - last_place)
-        here = (covered + new, first if covered else text_end - n + 1, text_end, place)
-        top = max(top, (here[0], -here[1], text_end))
-        i = place + 1
-        while i <= size:
-            best[i] = max(best[i], here)
-            i += i & -i
-    return top[0], -top[1], top[2]
+    far: list[tuple[int, int, int] | None] = [None] * size
+    near: deque[tuple[int, int, int, int, int]] = deque()
+    top = (0, 0, 0, 0)
+    for end, place, n in sorted(anchors):
+        while near and end - near[0][0] >= size:
+            e, q, weight, covered, first = near.popleft()
+            there = (weight + e, covered, -first)
+            if far[q] is None or far[q] < there:
+                far[q] = there
+        begin = end - n + 1
+        best = (WORD * n, n, -begin)
+        for q in range(place):
+            if far[q] is not None:
+                weight, covered, first = far[q]
+                new = min(n, place - q)
+                best = max(best, (weight - begin + 1 + WORD * new, covered + new, first))
+        for e, q, weight, covered, first in near:
+            if e < end and q < place:
+                new = min(n, end - e, place - q)
+                best = max(best, (weight + WORD * new - max(0, begin - 1 - e), covered + new, -first))
+        near.append((end, place, best[0], best[1], -best[2]))
+        top = max(top, (*best, -end))
+    return top[0], top[1], -top[2], -top[3]
+
+
+def settled(spans: list[dict]) -> list[dict]:
+    """Of the spans with a share of ``COVERED`` or more those that meet no better one; better is the greater share, then more words, then the label."""
+    out: list[dict] = []
+    for s in sorted(spans, key=lambda s: (-s["share"], -s["covered"], s["label"])):
+        if s["share"] >= COVERED and all(s["last"] < t["first"] or t["last"] < s["first"] for t in out):
+            out.append(s)
+    return out
 
 
 @lru_cache(4)
@@ -205,19 +230,20 @@ def scan(text: bytes, auto: Automaton, phrases: tuple, templates: tuple) -> dict
     for number, own in sorted(anchors.items()):
         if number >= len(phrases):
             size = len(auto.templates[number])
-            covered, first, last = chain(own, size)
-            spans.append({"label": templates[number - len(phrases)][1], "share": covered / size, "first": first, "last": last})
+            _, covered, first, last = chain(own, size)
+            spans.append({"label": templates[number - len(phrases)][1], "share": covered / size, "covered": covered, "first": first, "last": last})
     return {"n_words": len(words), "places": places, "spans": spans}
 
 
 def license_scan(docs: DataFrame, phrases: dict[str, str] | None = None, templates: dict[str, str] | None = None) -> DataFrame:
     """Per row: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, spans.
 
-    ``score`` is the largest covered share of a template, 1 where a base phrase stands.
+    ``score`` is the largest covered share of a template, 1 where a base phrase stands. ``spans`` holds the heaviest chain of
+    every template with a long match, whatever its share.
     """
     phrases_ = tuple((PHRASES if phrases is None else phrases).items())
     templates_ = tuple((t, label) for label, t in (TEMPLATES if templates is None else templates).items())
-    span = pa.list_(pa.struct([("label", pa.string()), ("share", pa.float64()), ("first", pa.int64()), ("last", pa.int64())]))
+    span = pa.list_(pa.struct([("label", pa.string()), ("share", pa.float64()), ("covered", pa.int64()), ("first", pa.int64()), ("last", pa.int64())]))
     kinds = {"n_words": pa.int64(), "n_base": pa.int64(), "first_word": pa.int64(), "last_word": pa.int64(), "base_labels": pa.string(),
              "labels": pa.string(), "score": pa.float64(), "spans": span}
 
@@ -229,7 +255,7 @@ def license_scan(docs: DataFrame, phrases: dict[str, str] | None = None, templat
                 got = scan(text, auto, phrases_, templates_)
                 starts = [s for s, _ in got["places"]]
                 base = {phrases_[p][1] for _, p in got["places"]}
-                labels = base | {s["label"] for s in got["spans"] if s["share"] >= COVERED}
+                labels = base | {s["label"] for s in settled(got["spans"])}
                 share = max([0.0, *(s["share"] for s in got["spans"])])
                 rows.append((got["n_words"], len(starts), min(starts, default=None), max(starts, default=None), ",".join(sorted(base)),
                              ",".join(sorted(labels)), 1.0 if base else min(1.0, share), got["spans"]))
@@ -238,4 +264,4 @@ def license_scan(docs: DataFrame, phrases: dict[str, str] | None = None, templat
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         run, "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, "
-             "spans array<struct<label:string,share:double,first:long,last:long>>")
+             "spans array<struct<label:string,share:double,covered:long,first:long,last:long>>")

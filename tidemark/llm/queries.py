@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.llm import chat, decontaminate, disclosure, golay_simhash, langid, license_scan, mixing, periodic_runs, ppm, quality_model, quality_rules, substring_dedup, token_align
 from tidemark.llm.common import small_batches
@@ -18,7 +19,8 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return license_scan.license_scan(table(spark, sf_dir, "documents")).drop("spans")
+    told = F.transform("spans", lambda s: F.concat_ws(":", s["label"], s["first"], s["last"], s["covered"]))
+    return license_scan.license_scan(table(spark, sf_dir, "documents")).withColumn("spans", F.concat_ws(",", F.array_sort(told)))
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
