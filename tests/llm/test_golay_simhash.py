@@ -72,13 +72,35 @@ def test_links_and_components(spark, monkeypatch):
     fps += [hub ^ (1 << a) ^ (1 << b) for a in range(16) for b in range(a)]
     fps = list(dict.fromkeys(fps))
     df = spark.createDataFrame([(x - (1 << 64) if x >> 63 else x,) for x in fps], "fp long").repartition(5)
-    roots = {x["fp"] % (1 << 64): x["root"] for x in g.components(g.links_between(df, 3)).collect()}
     want = slow_groups(list(range(len(fps))), fps)
-    got = [roots.get(f, f - (1 << 64) if f >> 63 else f) for f in fps]
-    pairs = {}
-    for a, b in zip(got, want):
-        assert pairs.setdefault(a, b) == b
-    assert len(pairs) == len(set(want))
+    for most_rows in (None, 20):  # the hub's keys are dealt into tiles
+        roots = {x["fp"] % (1 << 64): x["root"] for x in g.components(g.links_between(df, 3, most_rows)).collect()}
+        got = [roots.get(f, f - (1 << 64) if f >> 63 else f) for f in fps]
+        pairs = {}
+        for a, b in zip(got, want):
+            assert pairs.setdefault(a, b) == b
+        assert len(pairs) == len(set(want))
+
+
+def test_one_key_over_many_groups(spark):
+    r = random.Random(9)
+    low = r.getrandbits(32)  # two segments in common: one key holds every row
+    fps = sorted({low | r.getrandbits(32) << 32 for _ in range(20000)})
+    df = spark.createDataFrame([(x - (1 << 64) if x >> 63 else x,) for x in fps], "fp long").repartition(4)
+    groups = g.grouped(df, 2000).groupBy("key", "part").count().orderBy("count", ascending=False).collect()
+    assert groups[0]["count"] < 2400 and sum(x["part"] >= 0 for x in groups) >= 190
+    together = {(x["a"], x["b"]) for x in g.links_between(df, 3, 2000).collect()}
+    near = np.array(fps, np.uint64)
+    parent = np.arange(len(fps))
+    for i in range(len(fps)):
+        for j in np.flatnonzero(np.bitwise_count(near[i + 1:] ^ near[i]) <= 3) + i + 1:
+            parent[max(g._find(parent, i), g._find(parent, int(j)))] = min(g._find(parent, i), g._find(parent, int(j)))
+    place = {x - (1 << 64) if x >> 63 else x: i for i, x in enumerate(fps)}
+    got = np.arange(len(fps))
+    for a, b in together:
+        x, y = g._find(got, place[a]), g._find(got, place[b])
+        got[max(x, y)] = min(x, y)
+    assert [g._find(got, i) for i in range(len(fps))] == [g._find(parent, i) for i in range(len(fps))]
 
 
 def test_documents(spark):

@@ -14,9 +14,10 @@ Of two words at distance one each is among the other's neighbours, so that
 they have an index in common. So every linked pair shares a key.
 
 *Join and verify.* Only different fingerprints are compared: copies are one
-row long before. A task reads the fingerprints of a key in order and compares
-them in tiles, so its memory does not depend on the size of a group; it keeps
-a spanning forest of the links inside the group, not all pairs. The links
+row long before. A key with more than ``GROUP`` fingerprints is dealt into tiles
+by a hash, and every pair of tiles is a group of its own, of about ``GROUP``
+fingerprints; so neither a task's memory nor its time depends on the size of a
+key. Of a group a spanning forest of its links is kept, not all pairs. The links
 give components by alternating minimum steps, each written to the shared
 folder.
 
@@ -45,6 +46,8 @@ SEGMENT = BITS // SEGMENTS
 GENERATOR = 0b110001110101
 #: fingerprints compared at a time
 TILE = 2048
+#: fingerprints in a group; larger keys are dealt into pairs of tiles
+GROUP = 1 << 15
 
 
 # ------------------------------------------------------------- fingerprints
@@ -184,17 +187,17 @@ def _key_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _link_batches(most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by key and fingerprint; a key may go on in the next batch."""
-        held_key, held = np.zeros(0, np.int64), np.zeros(0, U64)
+        """Rows come sorted by key, part and fingerprint; a group may go on in the next batch."""
+        held_key, held_part, held = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, U64)
 
-        def links(key: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
-            cut = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))
+        def links(cut: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
             size, first = np.diff(cut), cut[:-1]
+            group = np.repeat(np.arange(len(size)), size)
             # small groups: neighbours at each distance in the sorted order, all groups together
             a, b = [], []
             small = np.repeat(size <= 16, size)
             for step in range(1, 16):
-                i = np.flatnonzero(small[:-step] & (key[step:] == key[:-step])) if step < len(key) else np.zeros(0, np.int64)
+                i = np.flatnonzero(small[:-step] & (group[step:] == group[:-step])) if step < len(group) else np.zeros(0, np.int64)
                 i = i[np.bitwise_count(fp[i] ^ fp[i + step]) <= most]
                 a.append(fp[i])
                 b.append(fp[i + step])
@@ -206,25 +209,41 @@ def _link_batches(most: int):
             return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).view(np.int64)) for x in (a, b)], ["a", "b"])
 
         for batch in batches:
-            key = np.concatenate([held_key, batch.column(0).to_numpy()])
-            fp = np.concatenate([held, batch.column(1).to_numpy().view(U64)])
+            key = np.concatenate([held_key, batch.column("key").to_numpy()])
+            part = np.concatenate([held_part, batch.column("part").to_numpy()])
+            fp = np.concatenate([held, batch.column("fp").to_numpy().view(U64)])
             if len(key):
-                last = np.searchsorted(key, key[-1])
+                cut = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (part[1:] != part[:-1]), [True]]))
+                last = cut[-2]
                 if last:
-                    yield links(key[:last], fp[:last])
-                held_key, held = key[last:], fp[last:]
+                    yield links(cut[:-1], fp[:last])
+                held_key, held_part, held = key[last:], part[last:], fp[last:]
         if len(held):
-            yield links(held_key, held)
+            yield links(np.array([0, len(held)]), held)
 
     return run
 
 
-def links_between(fps: DataFrame, most: int) -> DataFrame:
+def grouped(fps: DataFrame, most_rows: int) -> DataFrame:
+    """(key, part, fp): any two fingerprints with a common key share a group (key, part), which has about ``most_rows`` rows at most.
+
+    The keys that are too large are few: each has over ``most_rows`` of the rows.
+    """
+    keyed = fps.select("fp").mapInArrow(_key_batches, "key long, fp long")
+    tiles = F.ceil(F.col("n") * 2 / most_rows).cast("long")
+    large = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most_rows).select("key", tiles.alias("tiles"))
+    dealt = keyed.join(checkpointed(large), "key", "left").withColumn("tile", F.pmod(F.xxhash64("fp"), "tiles"))
+    others = F.filter(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1), lambda o: o != F.col("tile"))
+    pairs = F.transform(others, lambda o: F.least(o, "tile") * F.col("tiles") + F.greatest(o, "tile"))
+    whole = F.array(F.lit(-1).cast("long"))
+    return dealt.select("key", F.explode(F.when(F.col("tiles").isNull(), whole).otherwise(pairs)).alias("part"), "fp")
+
+
+def links_between(fps: DataFrame, most: int, most_rows: int | None = None) -> DataFrame:
     """(a, b): links that connect what all links of at most ``most`` bits connect; ``fps`` has different values."""
     if most > SEGMENTS - 1:
         raise ValueError("the keys are complete up to three differing bits")
-    keyed = fps.select("fp").mapInArrow(_key_batches, "key long, fp long")
-    ordered = keyed.repartition("key").sortWithinPartitions("key", "fp")
+    ordered = grouped(fps, most_rows or GROUP).repartition("key", "part").sortWithinPartitions("key", "part", "fp")
     return ordered.mapInArrow(_link_batches(most), "a long, b long").distinct()
 
 
