@@ -4,6 +4,8 @@ import hashlib
 import random
 import re
 
+import numpy as np
+
 from tidemark.llm import decontaminate as dc
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -63,3 +65,16 @@ def test_empty_tables(spark):
     items = spark.createDataFrame([], "item_id long, text string")
     assert [tuple(x)[1:4] for x in dc.contamination(docs, items).collect()] == [(2, 0, 0)]
     assert dc.contamination(docs.limit(0), items).count() == 0
+
+
+def test_bitmap_grows_with_the_benchmark(spark, monkeypatch):
+    r = random.Random(12)
+    fps = [r.getrandbits(64) for _ in range(5000)]
+    windows = spark.createDataFrame([(x - (1 << 64) if x >> 63 else x,) for x in fps], "fp long")
+    other = np.array([r.getrandbits(64) for _ in range(20000)], np.uint64)
+    for bits, size, share in (((10, 26), 17, 0.06), ((10, 12), 12, 0.8), ((20, 26), 20, 0.01)):
+        monkeypatch.setattr(dc, "SLOT_BITS", bits)
+        marked = dc.bitmap(windows)
+        assert len(marked) * 8 == 1 << size
+        assert dc._marked(marked, np.array(fps, np.uint64)).all()
+        assert dc._marked(marked, other).mean() < share

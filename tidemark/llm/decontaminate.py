@@ -5,9 +5,10 @@ item). Of each window the smallest k-gram hash is its fingerprint, with
 k = (span + 1) // 2 words, so that any two equal windows have the same
 fingerprint: every shared span of at least ``SPAN`` words is met. The
 documents are winnowed alike in one pass. Windows whose fingerprint is not
-marked in a bitmap of the benchmark's fingerprints stop there; the bitmap has a
-fixed size (``2**SLOT_BITS`` bits) whatever the benchmark's, so that a larger
-benchmark only lets more through. The others are joined with the benchmark on
+marked in a bitmap of the benchmark's fingerprints stop there. The bitmap has
+``SLOTS`` bits or more for each of them, so that one in ``SLOTS`` windows that are not
+the benchmark's goes on, from ``2**SLOT_BITS[0]`` up to ``2**SLOT_BITS[1]`` bits (8 MB); a
+still larger benchmark only lets more through. The others are joined with the benchmark on
 fingerprint and words, which extends each hit to its whole window and leaves
 no false match.
 
@@ -28,7 +29,9 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import U64, Words, checkpointed, numbered, pieces, texts_of, without, word_table
 
 SPAN = 10
-SLOT_BITS = 22
+#: bits of the bitmap for each fingerprint of the benchmark; its least and greatest size as powers of two
+SLOTS = 16
+SLOT_BITS = (22, 26)
 _TABLE = word_table()
 _HIT = "array<struct<start:long,len:int,fp:long,window:binary>>"
 
@@ -49,8 +52,10 @@ def window_fingerprints(words: Words, span: int) -> tuple[np.ndarray, np.ndarray
     return own, value[own]
 
 
-def _slot(fp: np.ndarray) -> np.ndarray:
-    return (fp >> U64(64 - SLOT_BITS)).astype(np.int64)
+def _marked(bits: np.ndarray, fp: np.ndarray) -> np.ndarray:
+    """Which fingerprints have their leading bits marked in the packed bitmap."""
+    slot = fp >> U64(64 - (len(bits) * 8).bit_length() + 1)
+    return (bits[slot >> U64(3)] >> (slot & U64(7)).astype(np.uint8) & np.uint8(1)).astype(bool)
 
 
 def benchmark_windows(benchmark: DataFrame, span: int = SPAN) -> DataFrame:
@@ -77,20 +82,23 @@ def benchmark_windows(benchmark: DataFrame, span: int = SPAN) -> DataFrame:
 
 
 def bitmap(windows: DataFrame) -> np.ndarray:
-    """Which leading bits a fingerprint has; at most 2**SLOT_BITS / 32 rows reach the driver."""
-    slots = windows.select(F.shiftrightunsigned("fp", 64 - SLOT_BITS).alias("slot"))
-    words = slots.select(F.shiftright("slot", 5).alias("at"), F.expr("shiftleft(1L, CAST(slot & 31 AS INT))").alias("bit"))
-    out = np.zeros(1 << (SLOT_BITS - 5), np.uint32)
+    """Which leading bits a fingerprint has, packed; one row for 64 bits at most reaches the driver."""
+    least, most = SLOT_BITS
+    count = windows.agg(F.count_distinct("fp").alias("n")).first()["n"]
+    size = min(most, max(least, (count * SLOTS).bit_length()))
+    slots = windows.select(F.shiftrightunsigned("fp", 64 - size).alias("slot"))
+    words = slots.select(F.shiftright("slot", 6).alias("at"), F.expr("shiftleft(1L, CAST(slot & 63 AS INT))").alias("bit"))
+    out = np.zeros(1 << (size - 6), "<i8")
     for row in words.groupBy("at").agg(F.bit_or("bit").alias("bits")).toLocalIterator():
         out[row["at"]] = row["bits"]
-    return np.unpackbits(out.astype("<u4").view(np.uint8), bitorder="little")
+    return out.view(np.uint8)
 
 
 def _candidates(marked: np.ndarray, spans: list[int]):
-    packed = np.packbits(marked).tobytes()
+    packed = marked.tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.unpackbits(np.frombuffer(packed, np.uint8))
+        held = np.frombuffer(packed, np.uint8)
         for batch in batches:
             texts = texts_of(batch.column(1))
             n_words, hits = [], []
@@ -100,7 +108,7 @@ def _candidates(marked: np.ndarray, spans: list[int]):
                 found: list[list] = [[] for _ in range(a, b)]
                 for n in spans:
                     own, fp = window_fingerprints(words, n)
-                    some = held[_slot(fp)].astype(bool)
+                    some = _marked(held, fp)
                     for i, f in zip(own[some], fp[some]):
                         t = words.text[i]
                         found[t].append({"start": int(i - words.bounds[t]), "len": n, "fp": int(f.astype(np.int64)), "window": words.words(i, n)})
