@@ -65,3 +65,29 @@ def test_empty_table_and_no_words(spark):
     assert mixing.mix_documents(rows_of(spark, [])).count() == 0
     got = mixing.mix_documents(rows_of(spark, [(1, None, None), (2, "", "a")])).collect()
     assert all(x["taken"] == 0 and x["target"] == 0 for x in got)
+
+
+def test_rows_alike_are_spread(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "LEAF", 500)
+    monkeypatch.setattr(mixing, "ALIKE", 50)
+    seen = spark.sparkContext.accumulator(0)
+    node = mixing._node
+
+    def counted(last):
+        run = node(last)
+
+        def count(frame):
+            assert len(frame) < 1000
+            seen.add(len(frame))
+            return run(frame)
+
+        return count
+
+    monkeypatch.setattr(mixing, "_node", counted)
+    rows = [(None, "a", 7)] * 6000 + [(i, "b", 5) for i in range(1000)] + [(3, None, 11)] * 1000
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, source string, size long").repartition(4)).collect()
+    assert seen.value >= 6000 and len(got) == 8000
+    for source in ("a", "b", None):
+        own = [x for x in got if x["source"] == source]
+        assert abs(sum(x["taken"] for x in own) - own[0]["target"]) <= 11
+        assert all(x["taken"] <= 3 * x["size"] for x in own)

@@ -9,14 +9,15 @@ that no probability changes on average. So a source's words are exactly
 conserved until its last open document, a small one, which alone is rounded.
 
 The pairing is a reduction tree: leaves of about ``LEAF`` documents, dealt by a hash of
-id and source, settle all but one document of each source; groups of ``FAN``
+id, source and size (rows that share all three, if more than ``ALIKE``, also by their number in
+the table), settle all but one document of each source; groups of ``FAN``
 nodes settle what is left of theirs, until one node remains. A hot source is
 spread over all leaves and no task holds more than a leaf, or ``FAN`` open
 documents of each source. Draws are hashes of the documents' ids, so that reruns and lost tasks agree.
 
 Null source is a source of its own (last in the order of weights). Null and
-empty texts have size 0 and are taken 0 times. Rows with the same id and
-source are separate documents with draws alike. An empty table gives an empty result.
+empty texts have size 0 and are taken 0 times. Rows with the same id,
+source and size are separate documents with draws alike. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import checkpointed, texts_of
 
 LEAF = 20_000
+#: rows with the same id, source and size that may go to one leaf
+ALIKE = 1_000
 FAN = 64
 EPS = 1e-9
 
@@ -158,7 +161,10 @@ def mix(sized: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: float =
     rows = rows.withColumn("whole", whole.cast("long")).withColumn("p", F.greatest(F.col("share") - whole, F.lit(0.0)))
     n = max(1, sized.count())
     nodes = -(-n // LEAF)
-    rows = checkpointed(rows.withColumn("key", F.xxhash64("doc_id", "source", "size")).withColumn("node", F.pmod(F.xxhash64("doc_id", "source", F.lit(1)), F.lit(nodes))))
+    rows = rows.withColumn("key", F.xxhash64("doc_id", "source", "size"))
+    alike = checkpointed(sized.groupBy(F.xxhash64("doc_id", "source", "size").alias("key")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > ALIKE).select("key", "n"))
+    number = F.when(F.col("n").isNull(), F.lit(0).cast("long")).otherwise(F.col("row"))
+    rows = checkpointed(rows.join(alike, "key", "left").withColumn("node", F.pmod(F.xxhash64("key", number), F.lit(nodes))).drop("n"))
     open_ = (F.col("p") > EPS) & (F.col("p") < 1 - EPS)
     schema = "row long, key long, source_no long, size long, p double, node long"
     left = rows.select("row", "key", "source_no", "size", "p", "node").where("p > 0")
