@@ -58,7 +58,7 @@ def q_text_roundtrip(spark, sf):
                         F.date_format(F.trunc(F.col("o_orderdate").cast("date"), "MM"), "yyyy-MM-dd").alias("day"))
     base = _stage(spark)
     csv_dir = os.path.join(base, "csv")
-    (o.repartition("day").write.partitionBy("day").option("header", True)
+    (o.hint("rebalance", "day").write.partitionBy("day").option("header", True)
        .option("compression", "gzip").csv(csv_dir))
     bars = read_csv_typed(spark, os.path.join(csv_dir, "day=*", "*.csv.gz"), "key long, price double, prio string")
     bars = bars.withColumn("date", file_date(r"day=(\d{4}-\d{2}-\d{2})"))

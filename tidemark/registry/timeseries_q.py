@@ -159,11 +159,11 @@ FROM events e LEFT JOIN d ON d.day = CAST(e.ts AS DATE) WHERE e.event_type = 'pu
 
 def q_policy_change_text(spark, sf):
     """Rate series = daily max event value; before/after as-of lookups around
-    each Monday; held / cut / raised text (or null when inconclusive)."""
+    each day; held / cut / raised text (or null when inconclusive)."""
     t = Tables(spark, sf)
     rate = (t.events.groupBy(F.col("ts").cast("date").alias("d"))
              .agg(F.max("value").alias("rate")).withColumn("k", F.lit(1)))
-    probes = (rate.where(F.weekday("d") == 0).select(F.col("d").alias("decision"), "k")
+    probes = (rate.select(F.col("d").alias("decision"), "k")
                   .withColumn("after_probe", F.date_add("decision", 3)))
     ten = _dt.timedelta(days=10)
     b = asof_backward(probes, rate, ["k"], "decision", "d", ten, ["rate"], prefix="b_")
@@ -179,7 +179,7 @@ def q_policy_change_text(spark, sf):
 
 SQL_POLICY_CHANGE_TEXT = """
 WITH r AS (SELECT CAST(ts AS DATE) AS d, max(value) AS rate FROM events GROUP BY 1),
-p AS (SELECT d AS decision, d + 3 AS after_probe FROM r WHERE isodow(d) = 1),
+p AS (SELECT d AS decision, d + 3 AS after_probe FROM r),
 b AS (SELECT p.*, CASE WHEN r.d >= p.decision - 10 THEN r.d END AS b_d,
              CASE WHEN r.d >= p.decision - 10 THEN r.rate END AS b_rate
       FROM p ASOF LEFT JOIN r ON p.decision >= r.d),
