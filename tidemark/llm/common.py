@@ -7,6 +7,7 @@ the batch size nor on the size of the table.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,6 +16,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.session import checkpoint_dir
 from tidemark.session import checkpointed as checkpointed
 
 U64 = np.uint64
@@ -66,14 +68,30 @@ def crc_mod(column: str, n: int) -> Column:
     return F.crc32(F.col(column).cast("string").cast("binary")) % n
 
 
+_OWN = "__n of the table"
+
+
 def numbered(docs: DataFrame) -> DataFrame:
-    """``docs``, written once, with a number ``__n`` that no two rows share."""
-    return checkpointed(docs.withColumn("__n", F.monotonically_increasing_id()))
+    """``docs``, written once as Parquet in the shared folder, with a number ``__n`` that no two rows share.
+
+    A column of that name keeps its values under another one until ``unnumbered`` gives it back.
+    """
+    folder = f"{checkpoint_dir(docs.sparkSession).rstrip('/')}/numbered-{uuid.uuid4().hex}"
+    kept = docs.select(*(F.col(f"`{c}`").alias(_OWN + c) if c.lower() == "__n" else F.col(f"`{c}`") for c in docs.columns))
+    rows = kept.withColumn("__n", F.monotonically_increasing_id())
+    rows.write.parquet(folder)
+    return docs.sparkSession.read.schema(rows.schema).parquet(folder)
+
+
+def unnumbered(rows: DataFrame) -> DataFrame:
+    """Numbered rows as they were."""
+    left = rows.drop("__n")
+    return left.select(*(F.col(f"`{c}`").alias(c.removeprefix(_OWN)) for c in left.columns))
 
 
 def without(rows: DataFrame, gone: DataFrame) -> DataFrame:
     """The numbered rows whose number is not in ``gone`` (``__n``), without the number."""
-    return rows.join(gone, "__n", "left_anti").drop("__n")
+    return unnumbered(rows.join(gone, "__n", "left_anti"))
 
 
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:

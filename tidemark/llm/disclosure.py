@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Words, checkpointed, numbered, pieces, word_table
+from tidemark.llm.common import Words, checkpointed, numbered, pieces, unnumbered, word_table
 
 KINDS = ("email", "ip", "card", "phone")
 #: the kind of a span that the corpus gives
@@ -357,7 +357,8 @@ def sanitise(docs: DataFrame) -> DataFrame:
     merged = F.aggregate("__spans", F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("done")), _replaced,
                          lambda held: F.concat(held["done"], F.substring(F.col("text"), (held["at"] + 1).cast("int"), F.length("text"))))
     out = rows.join(spans, "__n")
-    return out.withColumn("text", F.when(F.size("__spans") > 0, merged).otherwise(F.col("text"))).select(*docs.columns)
+    out = out.withColumn("text", F.when(F.size("__spans") > 0, merged).otherwise(F.col("text")))
+    return unnumbered(out.select(*(F.col(f"`{c}`") for c in rows.columns)))
 
 
 def _replaced(held, span):
