@@ -62,13 +62,24 @@ STAGES = [("quality rules", quality), ("SimHash near-dedup", near_copies), ("suf
 ORACLE_SQL = None
 
 
+def discard(spark: SparkSession, folder: str) -> None:
+    """Removes a finished stage's rows from the shared folder."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; what each returns is written to the shared folder and read again."""
+    """All stages over ``documents``; what each returns is written to the shared folder and read again.
+
+    A stage's rows are removed when those of the next one are written; the last one's stay.
+    """
     place = f"{checkpoint_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
     for number, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{place}/{number}")
         docs = spark.read.parquet(f"{place}/{number}")
+        if number:
+            discard(spark, f"{place}/{number - 1}")
     return docs
 
 
