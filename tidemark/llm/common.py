@@ -7,7 +7,6 @@ the batch size nor on the size of the table.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,7 +15,6 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import checkpoint_dir
 from tidemark.session import checkpointed as checkpointed
 
 U64 = np.uint64
@@ -72,15 +70,13 @@ _OWN = "__n of the table"
 
 
 def numbered(docs: DataFrame) -> DataFrame:
-    """``docs``, written once as Parquet in the shared folder, with a number ``__n`` that no two rows share.
+    """``docs``, written once, with a number ``__n`` that no two rows share.
 
+    A checkpoint, as Spark removes it when nothing refers to it any more (``spark.cleaner.referenceTracking.cleanCheckpoints``).
     A column of that name keeps its values under another one until ``unnumbered`` gives it back.
     """
-    folder = f"{checkpoint_dir(docs.sparkSession).rstrip('/')}/numbered-{uuid.uuid4().hex}"
     kept = docs.select(*(F.col(f"`{c}`").alias(_OWN + c) if c.lower() == "__n" else F.col(f"`{c}`") for c in docs.columns))
-    rows = kept.withColumn("__n", F.monotonically_increasing_id())
-    rows.write.parquet(folder)
-    return docs.sparkSession.read.schema(rows.schema).parquet(folder)
+    return checkpointed(kept.withColumn("__n", F.monotonically_increasing_id()))
 
 
 def unnumbered(rows: DataFrame) -> DataFrame:
