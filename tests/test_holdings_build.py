@@ -1,15 +1,20 @@
 import datetime as dt
+import json
 import os
+import time
+import zipfile
 
+import pyarrow as pa
 import pytest
 from pyspark.errors import PythonException
 from pyspark.sql import functions as F
 
 from tidemark.plans import holdings_build
-from tidemark.plans.holdings_build import build_holdings
+from tidemark.plans.holdings_build import batches, build_holdings
+from tidemark.sources import zips
 from tidemark.sources.readers import read_zip_member
 from tidemark.sources.schemas import MEMBERS
-from tidemark.sources.zips import list_archives, write_members
+from tidemark.sources.zips import MemberPartition, MemberReader, list_archives, write_members
 
 D = dt.date
 
@@ -82,3 +87,82 @@ def test_a_run_lost_before_the_manifest_is_repeated(spark, archives, tmpdir_path
             build_holdings(spark, archives, out, manifest, periods)
     assert build_holdings(spark, archives, out, manifest, periods).first()["n_rows"] == 3
     assert spark.read.parquet(out).count() == 3
+
+
+def test_batches_keep_the_order_and_the_limit():
+    assert batches([3, 3, 9, 1, 4, 6], lambda x: x, 6) == [[3, 3], [9], [1, 4], [6]]
+    assert batches([], lambda x: x, 6) == []
+
+
+def test_periods_are_built_a_few_archives_at_a_time(spark, archives, tmpdir_path, monkeypatch):
+    periods = spark.createDataFrame([(D(2020, 3, 31),), (D(2020, 6, 30),), (D(2020, 9, 30),)], "period date")
+    assert build_holdings(spark, archives, f"{tmpdir_path}/one", f"{tmpdir_path}/m1", periods).count() == 3
+    read = []
+
+    def noted(*args, names):
+        read.append(names)
+        return read_zip_member(*args, names=names)
+    monkeypatch.setattr(holdings_build, "read_zip_member", noted)
+    monkeypatch.setattr(holdings_build, "BATCH_BYTES", 1)
+    done = build_holdings(spark, archives, f"{tmpdir_path}/many", f"{tmpdir_path}/m2", periods)
+    assert [tuple(r) for r in done.collect()] == [(D(2020, 3, 31), 3), (D(2020, 6, 30), 1), (D(2020, 9, 30), 0)]
+    assert read == [[f"2020q{q}_form13f.zip"] for q in (2, 3, 4) for _ in MEMBERS]
+    one, many = (sorted(map(str, spark.read.parquet(f"{tmpdir_path}/{x}").collect())) for x in ("one", "many"))
+    assert one == many
+
+
+def test_a_build_leaves_no_shuffle_files(spark, archives, tmpdir_path):
+    def files():
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {n for n in (found.apply(i).getName() for i in range(found.size())) if n.startswith("shuffle_")}
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    # the periods are planned outside: their own few rows stay
+    periods = spark.createDataFrame([(D(2020, 3, 31),), (D(2020, 6, 30),)], "period date")
+    plan = holdings_build.planned
+    left = []
+
+    def planned(*args):
+        rows = plan(*args).collect()
+        left.append(files())
+        return spark.createDataFrame(rows, "period date")
+    write = holdings_build.write_partitioned
+    after = []
+
+    def written(*args):
+        write(*args)
+        for _ in range(100):
+            if not files() - before:
+                break
+            time.sleep(0.1)
+        after.append(files() - before)
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(holdings_build, "planned", planned)
+        m.setattr(holdings_build, "write_partitioned", written)
+        before = files()
+        was = spark.conf.get(key)
+        m.setattr(holdings_build, "existing_keys", lambda *a: None)
+        build_holdings(spark, archives, f"{tmpdir_path}/out", f"{tmpdir_path}/manifest", periods)
+    assert len(after) == 1 and not {n for n in after[0] if n not in left[0]}
+    assert spark.conf.get(key) == was
+
+
+def test_lines_are_the_same_whatever_the_pieces(tmpdir_path, monkeypatch):
+    rows = [b"a\t1\tx", b"", b"b\t2", b"c\t\r3\tz\textra", b"\r", b"d\t\xe2\x82\ty", "\u00e9\t\u20ac\t".encode(), b"e"]
+    path = f"{tmpdir_path}/x.zip"
+    with zipfile.ZipFile(path, "w") as z:
+        z.writestr("in/M.tsv", b"\xef\xbb\xbfA\tB\tC\r\n" + b"\r\n".join(rows[:4]) + b"\n" + b"\n".join(rows[4:]))
+        z.writestr("EMPTY.tsv", b"A\tB\tC")
+    reader = MemberReader({k: json.dumps(v) for k, v in {"archives": [path], "members": ["M.tsv"], "columns": ["C", "A", "Z", "B"], "optional": ["Z"]}.items()})
+    expected = [("x", "a", None, "1"), (None, "b", None, "2"), ("z", "c", None, "\r3"), ("y", "d", None, "\ufffd"), ("", "\u00e9", None, "\u20ac"), (None, "e", None, None)]
+    for n in (1, 2, 3, 7, 1 << 20):
+        monkeypatch.setattr(zips, "CHUNK_BYTES", n)
+        got = [tuple(r.values()) for b in reader.read(MemberPartition(path, "m.TSV")) for r in b.to_pylist()]
+        assert got == [(path, "m.TSV", *r) for r in expected]
+        assert sum(b.num_rows for b in reader.read(MemberPartition(path, "EMPTY.tsv"))) == 0
+
+
+def test_runs_of_archive_and_member():
+    names = ["archive", "member", "line"]
+    two = [pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in rows], pa.schema([(n, pa.string()) for n in names])) for rows in (
+        [("a", "m", "1"), ("a", "m", "2"), ("a", "n", "3"), ("b", "n", "4")], [], [("b", "n", "5")])]
+    assert list(zips._runs(iter(two))) == [("a", "m", ["1", "2"]), ("a", "n", ["3"]), ("b", "n", ["4"]), ("b", "n", ["5"])]

@@ -42,7 +42,7 @@ def filings(sub: DataFrame, cov: DataFrame, periods: DataFrame,
     if "archive" in sub.columns:
         kept = ["archive"]
         if own_archive_only:
-            s = s.where(F.regexp_extract(F.col("archive"), r"([^/]+)$", 1) == F.col("_archive"))
+            s = s.where(F.substring_index("archive", "/", -1) == F.col("_archive"))
         else:
             s = keep_one(s, ["period", "ACCESSION_NUMBER"], [F.col("archive")])
     s = s.where(strip_chars("SUBMISSIONTYPE").isin(*FORMS)).drop("_ptext", "_archive")

@@ -2,16 +2,38 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+from typing import TypeVar
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import shuffles_removed
 from ..sources.readers import read_zip_member
 from ..sources.schemas import MEMBERS
 from ..sources.sinks import existing_keys, write_manifest, write_partitioned
+from ..sources.zips import archive_sizes
 from .holdings import holdings_13f, output_order
 from .periods import filing_window, missing_keys
 
 _MANIFEST = "period date, n_rows long"
+T = TypeVar("T")
+
+#: bytes of archives that one plan reads; a larger archive has a plan of its own
+BATCH_BYTES = 64 << 20
+
+
+def batches(items: Sequence[T], size: Callable[[T], int], most: int) -> list[list[T]]:
+    """The items in order, in lists of at most ``most`` together; one that is larger is alone."""
+    out: list[list[T]] = []
+    held = 0
+    for x in items:
+        if not out or held + size(x) > most:
+            out.append([])
+            held = 0
+        out[-1].append(x)
+        held += size(x)
+    return out
 
 
 def planned(spark: SparkSession, periods: DataFrame, manifest: str, force: bool = False) -> DataFrame:
@@ -25,7 +47,9 @@ def build_holdings(spark: SparkSession, zips: str, out: str, manifest: str, peri
                    symbols: DataFrame | None = None, force: bool = False) -> DataFrame:
     """Build the periods that are missing, and return what was built: (period, n_rows).
 
-    Only the archives of those periods are read, together by one plan. The table is
+    Only the archives of those periods are read, up to ``BATCH_BYTES`` of them by one plan, so that
+    the disk for shuffles grows with the largest archive and not with all of them. Each plan
+    reads ``symbols``: a stored table. The table is
     partitioned by period, each file sorted by ``output_order``. The manifest gets
     a period after its data is committed, so a run that is lost in between is
     repeated and overwrites its own partitions. A period without a filing has
@@ -36,9 +60,13 @@ def build_holdings(spark: SparkSession, zips: str, out: str, manifest: str, peri
     if not rows:
         return spark.createDataFrame([], _MANIFEST)
     todo = spark.createDataFrame([(r["period"],) for r in rows], "period date")
-    names = sorted({r["name"] for r in rows})
-    sub, cov, info, om2 = (read_zip_member(spark, zips, member, cols, names=names) for member, cols in MEMBERS.items())
-    write_partitioned(holdings_13f(sub, cov, info, om2, todo, symbols), out, ["period_of_report"], output_order())
+    sizes = {a.rpartition("/")[2]: n for a, n in archive_sizes(zips, [r["name"] for r in rows]).items()}
+    with shuffles_removed(spark):
+        for some in batches(rows, lambda r: sizes.get(r["name"], 0), BATCH_BYTES):
+            own = spark.createDataFrame([(r["period"],) for r in some], "period date")
+            names = sorted({r["name"] for r in some})
+            sub, cov, info, om2 = (read_zip_member(spark, zips, member, cols, names=names) for member, cols in MEMBERS.items())
+            write_partitioned(holdings_13f(sub, cov, info, om2, own, symbols), out, ["period_of_report"], output_order())
     there = existing_keys(spark, out, ["period_of_report"])
     counts = todo.withColumn("n_rows", F.lit(0).cast("long"))
     if there is not None:

@@ -2,32 +2,49 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import sec_date_text
-from ..plans.holdings_build import build_holdings
+from ..plans.holdings_build import batches, build_holdings
 from ..plans.mapping import symbol_mapping, symbol_table
 from ..plans.periods import filing_window
+from ..session import shuffles_removed
 from ..sources.schemas import MEMBERS
+from ..sources.sinks import write_table
 from ..sources.zips import write_members
 from .base import Tables
 from .holdings_q import _replies
 from .io_q import _stage
 
+#: filings whose archives one job writes; an archive of more has a job of its own
+LANDED_FILINGS = 1_000_000
+_LINE_COLUMNS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus"]
+
 
 def _quarter_end(day):
     return F.last_day(F.add_months(F.trunc(day, "quarter"), 2))
 
 
-def _members(t: Tables) -> dict:
-    """The rows of each archive member, with ``archive`` and ``place``; amendments stand in the next quarter's archive, too."""
+def _additive() -> Column:
+    return F.col("o_orderstatus") == "P"
+
+
+def _filings(t: Tables) -> DataFrame:
+    """The orders with ``day``, ``period`` and ``archive``; amendments stand in the next quarter's archive, too."""
     o = t.orders.withColumn("day", F.col("o_orderdate").cast("date")).withColumn("period", _quarter_end(F.col("day")))
-    additive = F.col("o_orderstatus") == "P"
     own, later = filing_window(F.col("period"))[2], filing_window(_quarter_end(F.date_add("period", 1)))[2]
-    o = o.withColumn("archive", F.explode(F.when(additive, F.array(own, later)).otherwise(F.array(own))))
+    return o.withColumn("archive", F.explode(F.when(_additive(), F.array(own, later)).otherwise(F.array(own))))
+
+
+def _members(o: DataFrame, lines: DataFrame) -> dict:
+    """The rows of each archive member, with ``archive`` and ``place``, from the filings and their lines."""
+    additive = _additive()
     number = F.col("o_orderkey").cast("string")
-    key = o.select(F.col("o_orderkey").alias("l_orderkey"), "archive")
-    lines = t.lineitem.join(key, "l_orderkey").withColumn("place", F.col("l_orderkey") * 8 + F.col("l_linenumber"))
+    lines = lines.withColumn("place", F.col("l_orderkey") * 8 + F.col("l_linenumber"))
     line_no = F.col("l_linenumber")
     filings = o.withColumn("place", F.col("o_orderkey"))
     values = {
@@ -48,26 +65,54 @@ def _members(t: Tables) -> dict:
     return {m: (rows, [fields.get(c, F.lit("")) for c in MEMBERS[m]]) for m, (rows, fields) in values.items()}
 
 
-def q_holdings_build(spark, sf):
-    """Archives landed from the tables, all their periods built, with the mapping, in two runs: the second has nothing to do."""
-    t = Tables(spark, sf)
-    base = _stage(spark)
+def _lines(o: DataFrame, lines: DataFrame) -> DataFrame:
+    """(archive, member, place, line) of the filings and their lines, with the header of each member."""
     rows = None
-    for member, (source, fields) in _members(t).items():
+    for member, (source, fields) in _members(o, lines).items():
         line = F.concat_ws("\t", *[F.coalesce(f.cast("string"), F.lit("")) for f in fields])
         own = source.select("archive", F.lit(member).alias("member"), F.col("place").cast("long").alias("place"), line.alias("line"))
         rows = own if rows is None else rows.unionByName(own)
-    archives = rows.select("archive").distinct()
-    heads = None
+    # every archive has a filing
+    archives = o.select("archive").distinct()
     for member, cols in MEMBERS.items():
         head = archives.select("archive", F.lit(member).alias("member"), F.lit(-1).cast("long").alias("place"), F.lit("\t".join(cols)).alias("line"))
-        heads = head if heads is None else heads.unionByName(head)
-    write_members(rows.unionByName(heads), f"{base}/zips")
-    cache = symbol_mapping(t.lineitem.select(F.col("l_partkey").cast("string").alias("cusip")), *_replies(t), "2024-01-02")
+        rows = rows.unionByName(head)
+    return rows
+
+
+def _land(spark, t: Tables, base: str) -> None:
+    """The archives under ``base``/zips, a few by one job: the lines are joined once, to a table by archive that goes at the end."""
+    o, place = _filings(t), f"{base}/lines"
+    key = o.select(F.col("o_orderkey").alias("l_orderkey"), "archive")
+    joined = t.lineitem.select(*_LINE_COLUMNS).join(key, "l_orderkey")
+    (joined.sortWithinPartitions("archive", "l_orderkey").write.option("compression", "zstd").partitionBy("archive").parquet(place))
+    lines = spark.read.schema(joined.schema).parquet(place)
+    # one row an archive
+    sizes = o.groupBy("archive").agg(F.count(F.lit(1)).alias("n")).orderBy("archive").collect()
+    for some in batches(sizes, lambda r: r["n"], LANDED_FILINGS):
+        here = reduce(or_, [F.col("archive").eqNullSafe(F.lit(r["archive"])) for r in some])
+        write_members(_lines(o.where(here), lines.where(here)), f"{base}/zips")
+    _discard(spark, place)
+
+
+def _discard(spark, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def q_holdings_build(spark, sf):
+    """Archives landed from the tables, all their periods built, with the mapping, in two runs: the second has nothing to do."""
+    t = Tables(spark, sf)
+    base = _stage(spark)
+    with shuffles_removed(spark):
+        _land(spark, t, base)
+        cache = symbol_mapping(t.lineitem.select(F.col("l_partkey").cast("string").alias("cusip")), *_replies(t), "2024-01-02")
+        write_table(symbol_table(cache), f"{base}/symbols")
     periods = t.orders.select(_quarter_end(F.col("o_orderdate").cast("date")).alias("period")).distinct()
-    paths = (f"{base}/zips", f"{base}/out", f"{base}/manifest", periods, symbol_table(cache))
+    paths = (f"{base}/zips", f"{base}/out", f"{base}/manifest", periods, spark.read.parquet(f"{base}/symbols"))
     first, second = build_holdings(spark, *paths), build_holdings(spark, *paths)
-    counts = first.withColumnsRenamed({"period": "period_of_report", "n_rows": "manifest_rows"})
+    # one row a quarter
+    counts = F.broadcast(first.withColumnsRenamed({"period": "period_of_report", "n_rows": "manifest_rows"}))
     built = spark.read.parquet(f"{base}/out").join(counts, "period_of_report")
     return built.withColumn("built_again", F.lit(second.count()).cast("long"))
 

@@ -22,6 +22,8 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -88,6 +90,21 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return folder
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """What is made and run inside leaves no shuffle files: they go when their job ends, not when the driver collects its garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` written once to the shared folder; later reads do not compute it again."""
     checkpoint_dir(df.sparkSession)

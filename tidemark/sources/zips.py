@@ -14,10 +14,13 @@ import re
 import zipfile
 from collections.abc import Iterator
 from fnmatch import fnmatchcase
-from itertools import groupby, islice
+from itertools import chain, groupby, pairwise
 from pathlib import PurePosixPath
+from typing import IO
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,8 +29,8 @@ from pyspark.sql.types import StructType
 
 from .schemas import all_strings
 
-#: lines of a member that are held at a time
-CHUNK_LINES = 20_000
+#: bytes of a member that are held at a time; a longer line is held whole
+CHUNK_BYTES = 2 << 20
 
 
 def _file_system(path: str) -> tuple[fs.FileSystem, str, str]:
@@ -43,18 +46,23 @@ def list_archives(path: str, names: list[str] | None = None) -> list[str]:
 
     With ``names`` only archives called so. The list has a row for each archive, not for their contents.
     """
+    return sorted(archive_sizes(path, names))
+
+
+def archive_sizes(path: str, names: list[str] | None = None) -> dict[str, int]:
+    """The bytes of each of the files of ``list_archives``."""
     # a pattern is no valid part of a URI: only its folder is looked up
     folder, _, last = path.rstrip("/").rpartition("/")
     pattern = bool(re.search(r"[*?\[]", last))
     system, inner, before = _file_system(folder or "/" if pattern else path)
     info = system.get_file_info(inner)
     if info.type == fs.FileType.File:
-        found = [info.path]
+        found = [info]
     else:
-        found = [f.path for f in system.get_file_info(fs.FileSelector(inner)) if f.type == fs.FileType.File]
-        found = [f for f in found if fnmatchcase(f.rpartition("/")[2], last if pattern else "*.zip")]
+        found = [f for f in system.get_file_info(fs.FileSelector(inner)) if f.type == fs.FileType.File]
+        found = [f for f in found if fnmatchcase(f.base_name, last if pattern else "*.zip")]
     wanted = None if names is None else set(names)
-    return sorted(before + f for f in found if wanted is None or f.rpartition("/")[2] in wanted)
+    return {before + f.path: f.size for f in found if wanted is None or f.base_name in wanted}
 
 
 def find_member(archive: zipfile.ZipFile, member: str) -> zipfile.ZipInfo | None:
@@ -70,6 +78,29 @@ def _fields(line: bytes) -> list[str]:
     return line.removesuffix(b"\n").removesuffix(b"\r").decode("utf-8", "replace").split("\t")
 
 
+def _whole_lines(file: IO[bytes]) -> Iterator[bytes]:
+    """The bytes of a file in pieces that end where a line does."""
+    held: list[bytes] = []
+    while data := file.read(CHUNK_BYTES):
+        # bytes: a line ends at \n alone, a lone \r stays in its field
+        cut = data.rfind(b"\n") + 1
+        if cut:
+            yield b"".join([*held, data[:cut]])
+            held = []
+        held.append(data[cut:])
+    yield b"".join(held)
+
+
+def _columns(lines: bytes, places: list[int | None]) -> list[pa.Array]:
+    """The fields at ``places`` of each line that is not empty; null where a line has no such field."""
+    rows = pc.split_pattern(pa.array([lines.decode("utf-8", "replace")]), "\n").flatten()
+    if b"\r" in lines:
+        rows = pc.if_else(pc.equal(pc.utf8_trim(rows, "\r"), ""), "", pc.replace_substring_regex(rows, r"\r\z", ""))
+    parts = pc.split_pattern(rows.filter(pc.not_equal(rows, "")), "\t")
+    starts, n_fields = parts.offsets.to_numpy()[:-1], pc.list_value_length(parts).to_numpy()
+    return [pa.nulls(len(parts), pa.string()) if p is None else parts.values.take(pa.array(starts + p, mask=n_fields <= p)) for p in places]
+
+
 class MemberPartition(InputPartition):
     def __init__(self, archive: str, member: str):
         self.archive, self.member = archive, member
@@ -92,18 +123,18 @@ class MemberReader(DataSourceReader):
             info = find_member(archive, partition.member)
             if info is None:
                 raise FileNotFoundError(f"{partition.archive} has no member {partition.member}")
-            with archive.open(info) as lines:
-                # bytes: a line ends at \n alone, a lone \r stays in its field
-                header = _fields(next(lines, b"").removeprefix(b"\xef\xbb\xbf"))
+            with archive.open(info) as file:
+                pieces = _whole_lines(file)
+                head, _, rest = next(pieces).partition(b"\n")
+                header = _fields(head.removeprefix(b"\xef\xbb\xbf"))
                 places = [header.index(c) if c in header else None for c in self.cols]
                 absent = [c for c, p in zip(self.cols, places) if p is None and c not in self.optional]
                 if absent:
                     raise ValueError(f"{partition.member} of {partition.archive} has no column {', '.join(absent)}")
-                rows = (_fields(line) for line in lines if line.strip(b"\r\n"))
-                while held := list(islice(rows, CHUNK_LINES)):
-                    values = [[f[p] if p is not None and p < len(f) else None for f in held] for p in places]
-                    same = [[x] * len(held) for x in (partition.archive, partition.member)]
-                    yield pa.RecordBatch.from_arrays([pa.array(v, pa.string()) for v in (*same, *values)], names)
+                for lines in chain([rest], pieces):
+                    values = _columns(lines, places)
+                    same = [pa.repeat(x, len(values[0])) for x in (partition.archive, partition.member)]
+                    yield pa.RecordBatch.from_arrays([*same, *values], names)
 
 
 class ZipMembers(DataSource):
@@ -127,6 +158,15 @@ def read_members(spark: SparkSession, archives: list[str], members: list[str], c
     return spark.read.format("zip_members").options(**{k: json.dumps(v) for k, v in options.items()}).load()
 
 
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str | None, str, list[str]]]:
+    """Archive, member and lines of each stretch of rows that share the first two."""
+    for b in batches:
+        names = [b.column(c).dictionary_encode("encode") for c in ("archive", "member")]
+        changed = np.any([np.diff(n.indices.to_numpy()) != 0 for n in names], axis=0)
+        for start, end in pairwise([0, *(np.flatnonzero(changed) + 1).tolist(), b.num_rows] if b.num_rows else []):
+            yield *(n[start].as_py() for n in names), b.column("line").slice(start, end - start).to_pylist()
+
+
 def write_members(lines: DataFrame, folder: str) -> DataFrame:
     """Archives under ``folder`` from rows (archive, member, place, line): one task writes an archive, as a stream, members and lines in order.
 
@@ -136,16 +176,15 @@ def write_members(lines: DataFrame, folder: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, inner, _ = _file_system(folder)
         system.create_dir(inner, recursive=True)
-        rows = (r for b in batches for r in zip(*(b.column(c).to_pylist() for c in ("archive", "member", "line"))))
-        for name, own in groupby(rows, lambda r: r[0]):
+        for name, own in groupby(_runs(batches), lambda r: r[0]):
             counts = []
             with system.open_output_stream(f"{inner.rstrip('/')}/{name}") as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
                 for member, said in groupby(own, lambda r: r[1]):
                     counts.append([member, 0])
-                    with archive.open(member, "w") as f:
-                        for _, _, line in said:
-                            f.write(line.encode() + b"\n")
-                            counts[-1][1] += 1
+                    with archive.open(member, "w", force_zip64=True) as f:
+                        for _, _, some in said:
+                            f.write("\n".join([*some, ""]).encode())
+                            counts[-1][1] += len(some)
             yield pa.RecordBatch.from_arrays([pa.array([name] * len(counts)), pa.array([c[0] for c in counts]), pa.array([c[1] for c in counts], pa.int64())],
                                              ["archive", "member", "n"])
 
