@@ -3,18 +3,21 @@ import json
 import os
 import time
 import zipfile
+import zlib
 
 import pyarrow as pa
 import pytest
 from pyspark.errors import PythonException
 from pyspark.sql import functions as F
 
+from tidemark.operators import resolve_references
 from tidemark.plans import holdings_build
 from tidemark.plans.holdings_build import batches, build_holdings
+from tidemark.session import settings
 from tidemark.sources import zips
 from tidemark.sources.readers import read_zip_member
 from tidemark.sources.schemas import MEMBERS
-from tidemark.sources.zips import MemberPartition, MemberReader, list_archives, write_members
+from tidemark.sources.zips import MemberPartition, MemberReader, join_packed, joined_crc, list_archives, pack_lines, write_members
 
 D = dt.date
 
@@ -166,3 +169,89 @@ def test_runs_of_archive_and_member():
     two = [pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in rows], pa.schema([(n, pa.string()) for n in names])) for rows in (
         [("a", "m", "1"), ("a", "m", "2"), ("a", "n", "3"), ("b", "n", "4")], [], [("b", "n", "5")])]
     assert list(zips._runs(iter(two))) == [("a", "m", ["1", "2"]), ("a", "n", ["3"]), ("b", "n", ["4"]), ("b", "n", ["5"])]
+
+
+def test_a_large_member_is_read_by_several_tasks(spark, archives, tmpdir_path, monkeypatch):
+    """One task read a whole member: with an archive a plan, the other cores had nothing to do."""
+    path = f"{tmpdir_path}/x.zip"
+    lines = [f"{i}\t{'x' * (i * 7 % 90)}" for i in range(200)]
+    with zipfile.ZipFile(path, "w") as z:
+        z.writestr("M.tsv", "\n".join(["A\tB", *lines, ""]))
+    monkeypatch.setattr(zips, "PIECE_BYTES", 1000)
+    options = {k: json.dumps(v) for k, v in {"archives": [path], "members": ["M.tsv"], "columns": ["A", "B"], "optional": []}.items()}
+    for most in (1, 3, 4, 100):
+        monkeypatch.setattr(zips, "MOST_PIECES", most)
+        for n in (1, 50, 1 << 20):
+            monkeypatch.setattr(zips, "CHUNK_BYTES", n)
+            reader = MemberReader(options)
+            parts = reader.partitions()
+            assert len(parts) == min(most, -(-os.path.getsize(path) // 1000)) if most < 4 else len(parts) > 3
+            got = [[f"{r['A']}\t{r['B']}" for b in reader.read(p) for r in b.to_pylist()] for p in parts]
+            # each line once, whatever the limits of the pieces; pieces of many lines all have some
+            assert sum(got, []) == lines
+            assert most == 100 or all(got)
+
+
+def test_pieces_that_end_at_every_byte():
+    data = [b"a\n", b"\n", b"bc\n", b"d"]
+    whole = b"".join(data)
+    for cut in range(len(whole) + 1):
+        for more in range(cut, len(whole) + 1):
+            pieces = [b"".join(zips._lines_from(iter(data), 0, s, e)) for s, e in ((0, cut), (cut, more), (more, None))]
+            assert b"".join(pieces) == whole
+            assert all(p.endswith(b"\n") for p in pieces if p and not whole.endswith(p))
+
+
+def test_lines_of_an_archive_are_packed_by_the_tasks_that_have_them(spark, tmpdir_path, monkeypatch):
+    """One task packed a whole archive, after all its lines had been sent to it."""
+    monkeypatch.setattr(zips, "HELD_BYTES", 64)
+    row = "concat_ws('\t', id, sha2(cast(id as string), 256))"
+    df = spark.range(0, 40000, 1, 5).selectExpr("concat(id % 3, '.zip') archive", "if(id % 2 = 0, 'A.tsv', 'B.tsv') member", f"{row} line")
+    head = spark.range(3).selectExpr("concat(id, '.zip') archive", "explode(array('A.tsv', 'B.tsv', 'EMPTY.tsv')) member", "'K\tV' line")
+    stretches = pack_lines(df, f"{tmpdir_path}/packed", 1)
+    with settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch="500"):
+        rows = stretches.collect()
+    assert {r.task for r in rows if r.archive == "0.zip" and r.member == "A.tsv"} == set(range(5)) and max(r.seq for r in rows) > 0
+    done = join_packed(pack_lines(head, f"{tmpdir_path}/packed").union(spark.createDataFrame(rows, stretches.schema)), f"{tmpdir_path}/zips")
+    assert sum(r.n for r in done.collect()) == 40009 and done.count() == 9
+    for k in range(3):
+        with zipfile.ZipFile(f"{tmpdir_path}/zips/{k}.zip") as z:
+            assert z.testzip() is None and z.namelist() == ["A.tsv", "B.tsv", "EMPTY.tsv"]
+            for m, odd in (("A.tsv", 0), ("B.tsv", 1)):
+                head, *said = z.read(m).decode().splitlines()
+                assert head == "K\tV" and [int(x.split("\t")[0]) for x in said] == [i for i in range(40000) if i % 3 == k and i % 2 == odd]
+            assert z.read("EMPTY.tsv") == b"K\tV\n"
+    back = read_zip_member(spark, f"{tmpdir_path}/zips", "b.tsv", ["K", "V"])
+    assert back.selectExpr("sum(cast(K as long))", "count(V)").first()[:] == (sum(range(1, 40000, 2)), 20000)
+
+
+def test_the_sum_of_two_stretches():
+    a, b = b"first\n" * 7, bytes(range(256)) * 300
+    assert joined_crc(zlib.crc32(a), zlib.crc32(b), len(b)) == zlib.crc32(a + b)
+    assert joined_crc(zlib.crc32(a), zlib.crc32(b""), 0) == zlib.crc32(a) and joined_crc(0, zlib.crc32(b), len(b)) == zlib.crc32(b)
+
+
+def test_each_member_is_read_once_a_plan(spark, archives, tmpdir_path, monkeypatch):
+    """The filings were read again for every use of them: 16 times."""
+    frames = []
+    write = holdings_build.write_partitioned
+
+    def written(df, *args):
+        frames.append(df._jdf.queryExecution().optimizedPlan().toString())
+        write(df, *args)
+    monkeypatch.setattr(holdings_build, "write_partitioned", written)
+    periods = spark.createDataFrame([(D(2020, 3, 31),)], "period date")
+    build_holdings(spark, archives, f"{tmpdir_path}/out", f"{tmpdir_path}/manifest", periods)
+    # lines and other managers here, the two members of filings in the table that is stored
+    assert [f.count("zip_members") for f in frames] == [2]
+    assert not [x for x in os.listdir(spark.conf.get("spark.checkpoint.dir")) if x.startswith("scratch-")]
+
+
+def test_names_of_each_row_are_those_of_its_pair(spark):
+    rows = spark.createDataFrame([("a", "2, 1"), ("a", "2, 1"), ("a", "1 1"), ("a", "9"), ("a", ""), ("a", None), ("b", "3"), (None, "1"), ("c", "1")], "doc string, refs string")
+    lookup = spark.createDataFrame([("a", 1, "Z"), ("a", 1, "Y"), ("a", 2, None), ("a", 2, "X"), ("a", None, "W"), ("b", 3, None), (None, 1, "V")], "doc string, seq long, name string")
+    args = (rows, "doc", "refs", lookup, "seq", {"names": "name"})
+    pairs = {(r.doc, r.refs): r.names for r in resolve_references(*args).collect()}
+    got = [tuple(r) for r in resolve_references(*args, each_row=True).collect()]
+    assert sorted(got, key=str) == sorted(((*r, pairs.get(tuple(r))) for r in rows.collect()), key=str)
+    assert pairs["a", "2, 1"] == "Y; Z; X" and pairs["a", "1 1"] == "Y; Y; Z; Z" and pairs["b", "3"] is None

@@ -6,7 +6,8 @@ joined by ``"; "`` in number order, nulls dropped, empty -> null.
 
 The group is the natural pair (document key, reference text), never a row
 id, and its size is the number of digit runs in one text field, so the
-collected list is bounded by the length of that field.
+collected list is bounded by the length of that field. Where every row is
+wanted with its names, the list is that of one document's numbered names.
 """
 
 from __future__ import annotations
@@ -36,18 +37,30 @@ def ordered_concat(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]
     return g.select(*keys, *outs)
 
 
-def resolve_references(rows: DataFrame, doc_key: str, ref_text: str, lookup: DataFrame,
-                       lookup_seq: str, values: dict[str, str], sep: str = "; ") -> DataFrame:
+def resolve_references(rows: DataFrame, doc_key: str | Sequence[str], ref_text: str, lookup: DataFrame,
+                       lookup_seq: str, values: dict[str, str], sep: str = "; ", each_row: bool = False) -> DataFrame:
     """Distinct (doc_key, ref_text) pairs -> names resolved through ``lookup``.
 
-    ``lookup`` has ``doc_key``, ``lookup_seq`` (bigint) and the value columns.
+    ``lookup`` has ``doc_key`` (one column or several), ``lookup_seq`` (bigint) and the value columns.
     Numbers without a lookup row contribute nothing. Returns one row per pair
-    that has at least one number, with ``values`` columns (may be null).
+    that has at least one number, with ``values`` columns (may be null). With ``each_row`` it returns
+    all of ``rows`` with these columns: one join by document, where a document's lookup rows
+    are one list (as long as the document's own table), in place of joins by number and by text.
     """
-    pairs = rows.select(doc_key, ref_text).where(F.col(ref_text).isNotNull()).distinct()
-    seqs = (pairs.select(doc_key, ref_text, F.explode(digit_runs(ref_text)).alias("_seq_txt"))
+    keys = [doc_key] if isinstance(doc_key, str) else [*doc_key]
+    if each_row:
+        item = F.struct(F.col(lookup_seq).alias("_seq"), *[F.col(v).alias(o) for o, v in values.items()])
+        lists = lookup.where(F.col(lookup_seq).isNotNull()).groupBy(*keys).agg(F.collect_list(item).alias("_list"))
+        numbers = digit_runs(ref_text).cast("array<bigint>")
+        # a number that stands twice gives its names twice
+        found = F.flatten(F.transform(numbers, lambda n: F.filter("_list", lambda x: x["_seq"] == n)))
+        joined = rows.join(lists, keys, "left").withColumn("_items", F.sort_array(found)).drop("_list")
+        outs = {o: F.nullif(F.concat_ws(sep, F.col("_items")[o]), F.lit("")) for o in values}
+        return joined.withColumns(outs).drop("_items")
+    pairs = rows.select(*keys, ref_text).where(F.col(ref_text).isNotNull()).distinct()
+    seqs = (pairs.select(*keys, ref_text, F.explode(digit_runs(ref_text)).alias("_seq_txt"))
                  .withColumn("_seq", F.col("_seq_txt").cast("bigint"))
                  .drop("_seq_txt"))
-    lk = lookup.select(doc_key, F.col(lookup_seq).alias("_seq"), *values.values())
-    joined = seqs.join(lk, [doc_key, "_seq"], "left")
-    return ordered_concat(joined, [doc_key, ref_text], ["_seq"], {o: v for o, v in values.items()}, sep)
+    lk = lookup.select(*keys, F.col(lookup_seq).alias("_seq"), *values.values())
+    joined = seqs.join(lk, [*keys, "_seq"], "left")
+    return ordered_concat(joined, [*keys, ref_text], ["_seq"], {o: v for o, v in values.items()}, sep)

@@ -8,6 +8,8 @@ accession; nothing is collected to the driver.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -76,29 +78,30 @@ def filing_meta(kept: DataFrame) -> DataFrame:
 
 
 def other_manager_names(rows: DataFrame, om2: DataFrame) -> DataFrame:
-    """(ACCESSION_NUMBER, OTHERMANAGER) -> names and CIKs joined by ``"; "`` in number order."""
-    lookup = om2.select("ACCESSION_NUMBER", try_long("SEQUENCENUMBER").alias("seq"),
+    """``rows`` with names and CIKs of the numbers in OTHERMANAGER, joined by ``"; "`` in number order."""
+    keys = _filing_keys(om2, rows)
+    lookup = om2.select(*keys, try_long("SEQUENCENUMBER").alias("seq"),
                         strip_chars("NAME").alias("om_name"), strip_chars("CIK").alias("om_cik"))
-    return resolve_references(rows, "ACCESSION_NUMBER", "OTHERMANAGER", lookup, "seq",
-                              {"other_manager_names": "om_name", "other_manager_ciks": "om_cik"})
+    return resolve_references(rows, keys, "OTHERMANAGER", lookup, "seq",
+                              {"other_manager_names": "om_name", "other_manager_ciks": "om_cik"}, each_row=True)
 
 
 def holdings_13f(sub: DataFrame, cov: DataFrame, info: DataFrame, om2: DataFrame, periods: DataFrame,
-                 symbols: DataFrame | None = None, own_archive_only: bool = True) -> DataFrame:
+                 symbols: DataFrame | None = None, own_archive_only: bool = True,
+                 stored: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """The 27-column holdings table for every period in ``periods`` (column ``period``).
 
     ``symbols``: optional (cusip, sym, sym_und) from ``mapping.symbol_table``;
-    without it both columns are null (the skip-mapping mode).
+    without it both columns are null (the skip-mapping mode). ``stored`` may write the
+    filings, which are used twice, and give them back, so that their members are read once.
     """
-    meta = filing_meta(effective_filings(filings(sub, cov, periods, own_archive_only)))
+    meta = filing_meta(effective_filings(stored(filings(sub, cov, periods, own_archive_only))))
     if "FIGI" not in info.columns:  # column added to the data sets in 2023
         info = info.withColumn("FIGI", F.lit(None).cast("string"))
     # the holding lines are large and the filing metadata small; AQE decides
     # the strategy from the measured metadata size
     df = info.join(meta, _filing_keys(info, meta))
-    keys = _filing_keys(om2, meta)
-    om = other_manager_names(df, om2.join(meta.select(*keys), keys, "left_semi"))
-    df = df.join(om, ["ACCESSION_NUMBER", "OTHERMANAGER"], "left")
+    df = other_manager_names(df, om2)
     # Spark resolves names case-insensitively: derived columns get internal
     # names until the final projection (``cusip`` would clash with ``CUSIP``)
     df = df.select(

@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import shuffles_removed
+from ..session import joins_by_hash, scratch, shuffles_removed
 from ..sources.readers import read_zip_member
 from ..sources.schemas import MEMBERS
-from ..sources.sinks import existing_keys, write_manifest, write_partitioned
+from ..sources.sinks import existing_keys, write_manifest, write_partitioned, write_table
 from ..sources.zips import archive_sizes
 from .holdings import holdings_13f, output_order
 from .periods import filing_window, missing_keys
@@ -21,6 +23,8 @@ T = TypeVar("T")
 
 #: bytes of archives that one plan reads; a larger archive has a plan of its own
 BATCH_BYTES = 64 << 20
+#: plans that run at once, so that the cores which one leaves idle have work
+AT_ONCE = 2
 
 
 def batches(items: Sequence[T], size: Callable[[T], int], most: int) -> list[list[T]]:
@@ -47,9 +51,9 @@ def build_holdings(spark: SparkSession, zips: str, out: str, manifest: str, peri
                    symbols: DataFrame | None = None, force: bool = False) -> DataFrame:
     """Build the periods that are missing, and return what was built: (period, n_rows).
 
-    Only the archives of those periods are read, up to ``BATCH_BYTES`` of them by one plan, so that
-    the disk for shuffles grows with the largest archive and not with all of them. Each plan
-    reads ``symbols``: a stored table. The table is
+    Only the archives of those periods are read, up to ``BATCH_BYTES`` of them by one plan, ``AT_ONCE`` plans
+    at a time, so that the disk for shuffles grows with the largest archive and not with all of them. Each plan
+    reads ``symbols``: a stored table. Its filings are stored, too, as long as it runs. The table is
     partitioned by period, each file sorted by ``output_order``. The manifest gets
     a period after its data is committed, so a run that is lost in between is
     repeated and overwrites its own partitions. A period without a filing has
@@ -61,12 +65,31 @@ def build_holdings(spark: SparkSession, zips: str, out: str, manifest: str, peri
         return spark.createDataFrame([], _MANIFEST)
     todo = spark.createDataFrame([(r["period"],) for r in rows], "period date")
     sizes = {a.rpartition("/")[2]: n for a, n in archive_sizes(zips, [r["name"] for r in rows]).items()}
-    with shuffles_removed(spark):
-        for some in batches(rows, lambda r: sizes.get(r["name"], 0), BATCH_BYTES):
-            own = spark.createDataFrame([(r["period"],) for r in some], "period date")
-            names = sorted({r["name"] for r in some})
-            sub, cov, info, om2 = (read_zip_member(spark, zips, member, cols, names=names) for member, cols in MEMBERS.items())
-            write_partitioned(holdings_13f(sub, cov, info, om2, own, symbols), out, ["period_of_report"], output_order())
+
+    def members(some: list[Row]) -> list[DataFrame]:
+        names = sorted({r["name"] for r in some})
+        # an archive is known by its name: all are of one folder
+        return [read_zip_member(spark, zips, member, cols, names=names).withColumn("archive", F.substring_index("archive", "/", -1))
+                for member, cols in MEMBERS.items()]
+
+    def build(some: list[Row], sub: DataFrame, cov: DataFrame, info: DataFrame, om2: DataFrame) -> None:
+        own = spark.range(1).select(F.explode(F.array(*[F.lit(r["period"]) for r in some])).alias("period"))
+        with scratch(spark) as place:
+            def stored(df: DataFrame) -> DataFrame:
+                write_table(df, place)
+                return spark.read.schema(df.schema).parquet(place)
+            df = holdings_13f(sub, cov, info, om2, own, symbols, stored=stored)
+            write_partitioned(df, out, ["period_of_report"], output_order(), "zstd", len(some) == 1)
+
+    with shuffles_removed(spark), joins_by_hash(spark), ThreadPoolExecutor(AT_ONCE) as pool:
+        run = inheritable_thread_target(spark)(build)
+        running = [pool.submit(run, some, *members(some)) for some in batches(rows, lambda r: sizes.get(r["name"], 0), BATCH_BYTES)]
+        try:
+            for r in running:
+                r.result()
+        finally:
+            # after a failure no other plan begins
+            pool.shutdown(cancel_futures=True)
     there = existing_keys(spark, out, ["period_of_report"])
     counts = todo.withColumn("n_rows", F.lit(0).cast("long"))
     if there is not None:

@@ -3,25 +3,22 @@
 from __future__ import annotations
 
 from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import sec_date_text
-from ..plans.holdings_build import batches, build_holdings
+from ..plans.holdings_build import build_holdings
 from ..plans.mapping import symbol_mapping, symbol_table
 from ..plans.periods import filing_window
-from ..session import shuffles_removed
+from ..session import discard, joins_by_hash, shuffles_removed
 from ..sources.schemas import MEMBERS
 from ..sources.sinks import write_table
-from ..sources.zips import write_members
+from ..sources.zips import join_packed, pack_lines
 from .base import Tables
 from .holdings_q import _replies
 from .io_q import _stage
 
-#: filings whose archives one job writes; an archive of more has a job of its own
-LANDED_FILINGS = 1_000_000
 _LINE_COLUMNS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus"]
 
 
@@ -40,73 +37,70 @@ def _filings(t: Tables) -> DataFrame:
     return o.withColumn("archive", F.explode(F.when(_additive(), F.array(own, later)).otherwise(F.array(own))))
 
 
-def _members(o: DataFrame, lines: DataFrame) -> dict:
-    """The rows of each archive member, with ``archive`` and ``place``, from the filings and their lines."""
+def _filing_members() -> dict[str, dict]:
+    """The fields of the members with a line for each filing."""
     additive = _additive()
     number = F.col("o_orderkey").cast("string")
-    lines = lines.withColumn("place", F.col("l_orderkey") * 8 + F.col("l_linenumber"))
+    return {
+        "SUBMISSION.tsv": {"ACCESSION_NUMBER": number, "FILING_DATE": sec_date_text(F.col("day")), "CIK": F.col("o_custkey"),
+                           "SUBMISSIONTYPE": F.when(additive, "13F-HR/A").when(F.col("o_orderkey") % 11 == 0, "13F-NT").otherwise(" 13F-HR "),
+                           "PERIODOFREPORT": sec_date_text(F.col("period"))},
+        "COVERPAGE.tsv": {"ACCESSION_NUMBER": number, "ISAMENDMENT": F.when(additive, "Y").otherwise("N"), "AMENDMENTNO": F.dayofmonth("day"),
+                          "AMENDMENTTYPE": F.when(additive, "NEW HOLDINGS"), "FILINGMANAGER_NAME": F.concat(F.lit("M"), "o_custkey"),
+                          "REPORTTYPE": F.col("o_orderpriority")},
+    }
+
+
+def _line_members() -> dict[str, dict]:
+    """The fields of the members with lines for the lines of a filing."""
     line_no = F.col("l_linenumber")
-    filings = o.withColumn("place", F.col("o_orderkey"))
-    values = {
-        "SUBMISSION.tsv": (filings, {"ACCESSION_NUMBER": number, "FILING_DATE": sec_date_text(F.col("day")), "CIK": F.col("o_custkey"),
-                                     "SUBMISSIONTYPE": F.when(additive, "13F-HR/A").when(F.col("o_orderkey") % 11 == 0, "13F-NT").otherwise(" 13F-HR "),
-                                     "PERIODOFREPORT": sec_date_text(F.col("period"))}),
-        "COVERPAGE.tsv": (filings, {"ACCESSION_NUMBER": number, "ISAMENDMENT": F.when(additive, "Y").otherwise("N"), "AMENDMENTNO": F.dayofmonth("day"),
-                                    "AMENDMENTTYPE": F.when(additive, "NEW HOLDINGS"), "FILINGMANAGER_NAME": F.concat(F.lit("M"), "o_custkey"),
-                                    "REPORTTYPE": F.col("o_orderpriority")}),
-        "INFOTABLE.tsv": (lines, {"ACCESSION_NUMBER": F.col("l_orderkey"), "INFOTABLE_SK": line_no, "NAMEOFISSUER": F.concat(F.lit("I"), "l_partkey"),
-                                  "TITLEOFCLASS": F.col("l_returnflag"), "CUSIP": F.concat(F.lit(" "), "l_partkey", F.lit(" ")), "FIGI": F.concat(F.lit("F"), "l_partkey"),
-                                  "VALUE": F.floor("l_extendedprice"), "SSHPRNAMT": F.floor("l_quantity"), "SSHPRNAMTTYPE": F.lit("SH"), "PUTCALL": F.col("l_linestatus"),
-                                  "INVESTMENTDISCRETION": F.lit("SOLE"), "OTHERMANAGER": F.concat(line_no, F.lit(", "), line_no % 3 + 1),
-                                  "VOTING_AUTH_SOLE": F.floor("l_quantity"), "VOTING_AUTH_SHARED": line_no, "VOTING_AUTH_NONE": F.lit("0")}),
-        "OTHERMANAGER2.tsv": (lines.where(line_no <= 3), {"ACCESSION_NUMBER": F.col("l_orderkey"), "SEQUENCENUMBER": line_no, "CIK": F.col("l_suppkey"),
-                                                          "NAME": F.concat(F.lit(" S"), "l_suppkey", F.lit(" "))}),
+    return {
+        "INFOTABLE.tsv": {"ACCESSION_NUMBER": F.col("l_orderkey"), "INFOTABLE_SK": line_no, "NAMEOFISSUER": F.concat(F.lit("I"), "l_partkey"),
+                          "TITLEOFCLASS": F.col("l_returnflag"), "CUSIP": F.concat(F.lit(" "), "l_partkey", F.lit(" ")), "FIGI": F.concat(F.lit("F"), "l_partkey"),
+                          "VALUE": F.floor("l_extendedprice"), "SSHPRNAMT": F.floor("l_quantity"), "SSHPRNAMTTYPE": F.lit("SH"), "PUTCALL": F.col("l_linestatus"),
+                          "INVESTMENTDISCRETION": F.lit("SOLE"), "OTHERMANAGER": F.concat(line_no, F.lit(", "), line_no % 3 + 1),
+                          "VOTING_AUTH_SOLE": F.floor("l_quantity"), "VOTING_AUTH_SHARED": line_no, "VOTING_AUTH_NONE": F.lit("0")},
+        "OTHERMANAGER2.tsv": {"ACCESSION_NUMBER": F.col("l_orderkey"), "SEQUENCENUMBER": line_no, "CIK": F.col("l_suppkey"),
+                              "NAME": F.concat(F.lit(" S"), "l_suppkey", F.lit(" "))},
     }
-    return {m: (rows, [fields.get(c, F.lit("")) for c in MEMBERS[m]]) for m, (rows, fields) in values.items()}
 
 
-def _lines(o: DataFrame, lines: DataFrame) -> DataFrame:
-    """(archive, member, place, line) of the filings and their lines, with the header of each member."""
-    rows = None
-    for member, (source, fields) in _members(o, lines).items():
-        line = F.concat_ws("\t", *[F.coalesce(f.cast("string"), F.lit("")) for f in fields])
-        own = source.select("archive", F.lit(member).alias("member"), F.col("place").cast("long").alias("place"), line.alias("line"))
-        rows = own if rows is None else rows.unionByName(own)
-    # every archive has a filing
-    archives = o.select("archive").distinct()
-    for member, cols in MEMBERS.items():
-        head = archives.select("archive", F.lit(member).alias("member"), F.lit(-1).cast("long").alias("place"), F.lit("\t".join(cols)).alias("line"))
-        rows = rows.unionByName(head)
-    return rows
+def _texts(rows: DataFrame, members: dict[str, dict], **only: Column) -> DataFrame:
+    """(archive, member, line): a line of each of the members for each row, of those in ``only`` where its condition holds."""
+    texts = []
+    for member, fields in members.items():
+        line = F.concat_ws("\t", *[F.coalesce(fields[c].cast("string"), F.lit("")) if c in fields else F.lit("") for c in MEMBERS[member]])
+        name = member.partition(".")[0]
+        texts.append(F.struct(F.lit(member).alias("member"), (F.when(only[name], line) if name in only else line).alias("line")))
+    return rows.select("archive", F.inline(F.array(*texts))).where(F.col("line").isNotNull())
 
 
 def _land(spark, t: Tables, base: str) -> None:
-    """The archives under ``base``/zips, a few by one job: the lines are joined once, to a table by archive that goes at the end."""
-    o, place = _filings(t), f"{base}/lines"
+    """The archives under ``base``/zips: lines are joined once and packed by the tasks that have them."""
+    o, packed = _filings(t), f"{base}/packed"
     key = o.select(F.col("o_orderkey").alias("l_orderkey"), "archive")
-    joined = t.lineitem.select(*_LINE_COLUMNS).join(key, "l_orderkey")
-    (joined.sortWithinPartitions("archive", "l_orderkey").write.option("compression", "zstd").partitionBy("archive").parquet(place))
-    lines = spark.read.schema(joined.schema).parquet(place)
-    # one row an archive
-    sizes = o.groupBy("archive").agg(F.count(F.lit(1)).alias("n")).orderBy("archive").collect()
-    for some in batches(sizes, lambda r: r["n"], LANDED_FILINGS):
-        here = reduce(or_, [F.col("archive").eqNullSafe(F.lit(r["archive"])) for r in some])
-        write_members(_lines(o.where(here), lines.where(here)), f"{base}/zips")
-    _discard(spark, place)
-
-
-def _discard(spark, folder: str) -> None:
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    lines = t.lineitem.select(*_LINE_COLUMNS).join(key, "l_orderkey").sortWithinPartitions("l_orderkey", "l_linenumber")
+    rows = [_texts(o.sortWithinPartitions("o_orderkey"), _filing_members()), _texts(lines, _line_members(), OTHERMANAGER2=F.col("l_linenumber") <= 3)]
+    for n, some in enumerate(rows, 1):
+        write_table(pack_lines(some, packed, n), f"{base}/stretches/{n}")
+    # every archive has a filing
+    stretches = [spark.read.parquet(f"{base}/stretches/{n}") for n in (1, 2)]
+    heads = F.array(*[F.struct(F.lit(m).alias("member"), F.lit("\t".join(cols)).alias("line")) for m, cols in MEMBERS.items()])
+    first = pack_lines(stretches[0].select("archive").distinct().select("archive", F.inline(heads)), packed)
+    join_packed(reduce(DataFrame.unionByName, [first, *stretches]), f"{base}/zips")
+    discard(spark, packed)
+    discard(spark, f"{base}/stretches")
 
 
 def q_holdings_build(spark, sf):
     """Archives landed from the tables, all their periods built, with the mapping, in two runs: the second has nothing to do."""
     t = Tables(spark, sf)
     base = _stage(spark)
-    with shuffles_removed(spark):
+    with shuffles_removed(spark), joins_by_hash(spark):
         _land(spark, t, base)
-        cache = symbol_mapping(t.lineitem.select(F.col("l_partkey").cast("string").alias("cusip")), *_replies(t), "2024-01-02")
+        # the mapping asks for its identifiers three times
+        write_table(t.lineitem.select("l_partkey").distinct().select(F.col("l_partkey").cast("string").alias("cusip")), f"{base}/cusips")
+        cache = symbol_mapping(spark.read.parquet(f"{base}/cusips"), *_replies(t), "2024-01-02")
         write_table(symbol_table(cache), f"{base}/symbols")
     periods = t.orders.select(_quarter_end(F.col("o_orderdate").cast("date")).alias("period")).distinct()
     paths = (f"{base}/zips", f"{base}/out", f"{base}/manifest", periods, spark.read.parquet(f"{base}/symbols"))

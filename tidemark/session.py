@@ -22,8 +22,9 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -91,18 +92,49 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 @contextmanager
-def shuffles_removed(spark: SparkSession) -> Iterator[None]:
-    """What is made and run inside leaves no shuffle files: they go when their job ends, not when the driver collects its garbage."""
-    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, "true")
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """A path in the shared folder for what is only needed inside."""
+    place = f"{checkpoint_dir(spark).rstrip('/')}/scratch-{uuid.uuid4().hex}"
+    try:
+        yield place
+    finally:
+        discard(spark, place)
+
+
+def discard(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def settings(spark: SparkSession, **conf: str) -> Iterator[None]:
+    """The settings, written with ``__`` for a dot, hold inside; then those of before again."""
+    conf = {k.replace("__", "."): v for k, v in conf.items()}
+    before = {k: spark.conf.get(k, None) for k in conf}
     try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
         yield
     finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def shuffles_removed(spark: SparkSession) -> AbstractContextManager[None]:
+    """What is made and run inside leaves no shuffle files: they go when their job ends, not when the driver collects its garbage."""
+    return settings(spark, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true")
+
+
+def joins_by_hash(spark: SparkSession) -> AbstractContextManager[None]:
+    """Joins inside need no sort where the partitions of one side are as small as Spark makes them, by their measured sizes.
+
+    Partitions that one key makes large are split, also where a second join on the same key follows.
+    """
+    return settings(spark, spark__sql__adaptive__maxShuffledHashJoinLocalMapThreshold=spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes"),
+                    spark__sql__adaptive__forceOptimizeSkewedJoin="true")
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

@@ -12,15 +12,16 @@ from pyspark.sql import functions as F
 
 def write_partitioned(df: DataFrame, path: str, keys: Sequence[str],
                       sort_within: Sequence[Column] | None = None,
-                      compression: str = "zstd") -> None:
+                      compression: str = "zstd", one: bool = False) -> None:
     """Overwrite only the partitions present in ``df`` (dynamic overwrite).
 
     Rows are clustered by the partition keys first so each task writes few
-    files; ``sort_within`` orders rows inside each file (no global sort).
+    files; ``sort_within`` orders rows inside each file (no global sort). With ``one`` all
+    rows have the same keys, so that each task writes one file where its rows are.
     Never write to a path the same plan reads from.
     """
     # AQE splits the partitions of large days and joins those of small ones
-    out = df.hint("rebalance", *keys)
+    out = df if one else df.hint("rebalance", *keys)
     if sort_within:
         out = out.sortWithinPartitions(*[F.col(k) for k in keys], *sort_within)
     (out.write.mode("overwrite").option("compression", compression).option("partitionOverwriteMode", "dynamic")
