@@ -283,7 +283,9 @@ def pack_lines(lines: DataFrame, folder: str, rank: int = 0) -> DataFrame:
         rows = []
         with system.open_output_stream(file) as out:
             for archive, member, some in _runs(_gathered(batches)):
-                s = open_.setdefault((archive, member), _Stretch())
+                if archive is None or member is None:
+                    raise ValueError("lines without an archive or member")
+                s = open_.get((archive, member)) or open_.setdefault((archive, member), _Stretch())
                 s.add(some)
                 if s.packed >= most:
                     rows.append((archive, member, rank, task, file, *s.write(out)))
